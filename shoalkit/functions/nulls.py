@@ -118,3 +118,15 @@ def any_flag(cols, value: str = FLAG) -> Column:
 def null_safe_eq(a: Column, b: Column) -> Column:
     """NULL matches NULL (local R joins)."""
     return a.eqNullSafe(b)
+
+
+def r_round(c, digits: int = 0) -> Column:
+    """R's ``round(x, digits)`` on doubles: rounds the binary value.
+
+    Spark's ``round`` rounds the shortest decimal text of a double half-up, so a value
+    printed as 174.255 (stored as 174.25499999...) goes up; R (and DuckDB) pick the
+    nearer candidate of the stored value and give 174.25. Scaling first makes Spark
+    round the stored value too; the result is a DOUBLE.
+    """
+    scale = float(10 ** digits)
+    return F.round(_c(c).cast("double") * F.lit(scale), 0) / F.lit(scale)

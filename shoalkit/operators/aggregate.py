@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import strict_mean
+from ..functions.nulls import r_round, strict_mean
 
 # Largest number of distinct right-hand combinations ``complete`` ships to the
 # executors as a literal list. Above it, the grid is built with a chunked equi-join.
@@ -49,7 +49,7 @@ def length_stats(df: DataFrame, keys, value: str, digits: int = 2,
     """Mean (rounded), min, max and sample standard deviation per group, NULLs skipped."""
     v = F.col(value)
     return df.groupBy(*keys).agg(
-        F.round(F.avg(v), digits).alias(f"mean_{prefix}"),
+        r_round(F.avg(v), digits).alias(f"mean_{prefix}"),
         F.min(v).alias(f"min_{prefix}"),
         F.max(v).alias(f"max_{prefix}"),
         F.stddev_samp(v).alias(f"sd_{prefix}"),

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import in_set, lenient_sum, safe_div, strict_sum
+from ..functions.nulls import in_set, lenient_sum, r_round, safe_div, strict_sum
 from ..operators.aggregate import MAX_LITERAL_VALUES, _literal_rows, expand_grid
 from ..operators.joins import life_stage
 
@@ -63,7 +63,7 @@ def cpue(site: DataFrame, fish: DataFrame, years, as_of=None, species=None) -> D
                             values=vals)
     return out.select("site_id", "el_sec", "rvr_code", "rch_code", "startdatetime", "spp_code",
                       "fish_ct",
-                      F.round(safe_div(F.col("fish_ct"), F.col("el_sec") / 3600), 2).alias("cpue"),
+                      r_round(safe_div(F.col("fish_ct"), F.col("el_sec") / 3600), 2).alias("cpue"),
                       as_of_col(as_of).alias("last_modified"))
 
 
@@ -86,7 +86,7 @@ def cpue_life_stage(site: DataFrame, fish: DataFrame, bounds: DataFrame, species
     return out.select("site_id", "el_sec", "rvr_code", "rch_code", "startdatetime",
                       parts.getItem(0).alias("spp_code"), parts.getItem(1).alias("life_stage"),
                       "fish_ct",
-                      F.round(safe_div(F.col("fish_ct"), F.col("el_sec") / 3600), 2).alias("cpue"),
+                      r_round(safe_div(F.col("fish_ct"), F.col("el_sec") / 3600), 2).alias("cpue"),
                       as_of_col(as_of).alias("last_modified"))
 
 
@@ -104,7 +104,7 @@ def effort_stats(site: DataFrame, fish: DataFrame, species=("SM",), keys=("pass"
     catch_name = catch_name or "catch"
     site_stats = (site.groupBy(*keys)
                   .agg(F.count(F.lit(1)).alias("n_site"),
-                       F.round(strict_sum("el_sec") / 3600, 2).alias("effort_hr")))
+                       r_round(strict_sum("el_sec") / 3600, 2).alias("effort_hr")))
     catch = (fish.filter(in_set("species", species))
              .groupBy("site_id", "species").agg(F.count(F.lit(1)).alias("_ct"))
              .join(site.select("site_id", *keys), "site_id")
@@ -114,7 +114,7 @@ def effort_stats(site: DataFrame, fish: DataFrame, species=("SM",), keys=("pass"
     j = grid.join(catch, cond, "left")
     out = j.select(*[grid[k] for k in keys], grid["species"].alias("_sp"), "n_site", "effort_hr",
                    F.coalesce(catch["_catch"], F.lit(0).cast("bigint")).alias(catch_name))
-    out = out.withColumn("cpue", F.round(safe_div(F.col(catch_name), F.col("effort_hr")), 2))
+    out = out.withColumn("cpue", r_round(safe_div(F.col(catch_name), F.col("effort_hr")), 2))
     cols = [*keys, "n_site", "effort_hr", catch_name, "cpue"]
     if species_col:
         return out.select(*cols, F.col("_sp").alias(species_col))
@@ -135,14 +135,16 @@ def cpue_by(site: DataFrame, fish: DataFrame, keys=("pass", "reach")) -> DataFra
         site.select("site_id", *keys, "el_sec"), "site_id", "left")
     # sites seen through their fish (an orphan fish forms a site with NULL attributes)
     seen = fs.select("site_id", *keys, "el_sec").distinct()
-    effort = seen.groupBy(*keys).agg(F.round(strict_sum(F.col("el_sec") / 3600), 2).alias("effort"))
+    # sum(el_sec / 3600) summed exactly: integer seconds first, one division, so the
+    # rounding does not depend on the order in which partial sums meet
+    effort = seen.groupBy(*keys).agg(r_round(strict_sum("el_sec") / 3600, 2).alias("effort"))
     catch = fs.groupBy(*keys, "species").agg(F.count(F.lit(1)).alias("_catch"))
     grid = expand_grid(effort, catch, ["species"])
     cond = [grid[k].eqNullSafe(catch[k]) for k in keys] + [grid["species"].eqNullSafe(catch["species"])]
     j = grid.join(catch, cond, "left")
     out = j.select(*[grid[k] for k in keys], grid["species"], "effort",
                    F.coalesce(catch["_catch"], F.lit(0).cast("bigint")).alias("catch"))
-    return out.withColumn("cpue", F.round(safe_div(F.col("catch"), F.col("effort")), 2))
+    return out.withColumn("cpue", r_round(safe_div(F.col("catch"), F.col("effort")), 2))
 
 
 def cpue_rollup(cpue_table: DataFrame, species: str = "SM", keys=("reach",)) -> DataFrame:
@@ -150,4 +152,4 @@ def cpue_rollup(cpue_table: DataFrame, species: str = "SM", keys=("reach",)) ->
     return (cpue_table.filter(F.col("species") == species)
             .groupBy(*keys)
             .agg(lenient_sum("effort").alias("effort"), lenient_sum("catch").alias("catch"))
-            .withColumn("cpue", F.round(safe_div(F.col("catch"), F.col("effort")), 2)))
+            .withColumn("cpue", r_round(safe_div(F.col("catch"), F.col("effort")), 2)))
