@@ -121,12 +121,16 @@ def null_safe_eq(a: Column, b: Column) -> Column:
 
 
 def r_round(c, digits: int = 0) -> Column:
-    """R's ``round(x, digits)`` on doubles: rounds the binary value.
+    """R's ``round(x, digits)`` on doubles.
 
     Spark's ``round`` rounds the shortest decimal text of a double half-up, so a value
-    printed as 174.255 (stored as 174.25499999...) goes up; R (and DuckDB) pick the
-    nearer candidate of the stored value and give 174.25. Scaling first makes Spark
-    round the stored value too; the result is a DOUBLE.
+    printed as 1.005 (stored as 1.00499999...) goes up, and an exact tie such as 0.125
+    goes up too. R rounds the stored value and sends exact ties to even (0.12; and
+    ``round(2.5)`` is 2). Scaling by 10^digits and rounding half-even reproduces that;
+    SQL engines spell it ``round_even``. The result is a DOUBLE.
     """
     scale = float(10 ** digits)
-    return F.round(_c(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
+    x = _c(c).cast("double")
+    if digits == 0:
+        return F.bround(x, 0)
+    return F.bround(x * F.lit(scale), 0) / F.lit(scale)

@@ -18,7 +18,7 @@ register("dp_cpue", W("site", "fish") + f"""
 , sp AS (SELECT DISTINCT species FROM c)
 SELECT s.site_id, s.el_sec, s.rvr_code, s.rch_code, s.startdatetime, sp.species AS spp_code,
   coalesce(c.n, 0) AS fish_ct,
-  round(CASE WHEN s.el_sec = 0 THEN NULL ELSE coalesce(c.n, 0) / (s.el_sec / 3600) END, 2) AS cpue,
+  round_even(CASE WHEN s.el_sec = 0 THEN NULL ELSE coalesce(c.n, 0) / (s.el_sec / 3600) END, 2) AS cpue,
   {AS_OF_SQL} AS last_modified
 FROM s CROSS JOIN sp LEFT JOIN c ON c.site_id = s.site_id AND c.species = sp.species
 """)(lambda spark, d: effort.cpue(T(spark, d).site, T(spark, d).fish, YEARS))

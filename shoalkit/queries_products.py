@@ -123,7 +123,7 @@ register("dp_cpue_life_stage", W("site", "fish", "stage_bounds") + f"""
 , v AS (SELECT DISTINCT ls FROM c)
 SELECT s.site_id, s.el_sec, s.rvr_code, s.rch_code, s.startdatetime, split_part(v.ls, '_', 1) AS spp_code,
   split_part(v.ls, '_', 2) AS life_stage, coalesce(c.n, 0) AS fish_ct,
-  round(CASE WHEN s.el_sec = 0 THEN NULL ELSE coalesce(c.n, 0) / (s.el_sec / 3600) END, 2) AS cpue,
+  round_even(CASE WHEN s.el_sec = 0 THEN NULL ELSE coalesce(c.n, 0) / (s.el_sec / 3600) END, 2) AS cpue,
   {AS_OF_SQL} AS last_modified
 FROM s CROSS JOIN v LEFT JOIN c ON c.site_id = s.site_id AND c.ls = v.ls""")(
     lambda spark, d: effort.cpue_life_stage(T(spark, d).site, T(spark, d).fish, T(spark, d).stage_bounds,
@@ -131,7 +131,7 @@ FROM s CROSS JOIN v LEFT JOIN c ON c.site_id = s.site_id AND c.ls = v.ls""")(
 
 register("dp_update_cpue", W("site", "fish") + _ROLLUP_SQL + """
 SELECT pass, reach, species, effort, catch,
-  round(CASE WHEN effort = 0 THEN NULL ELSE catch / effort END, 2) AS cpue FROM fc""")(
+  round_even(CASE WHEN effort = 0 THEN NULL ELSE catch / effort END, 2) AS cpue FROM fc""")(
     lambda spark, d: effort.cpue_by(*year_tables(T(spark, d))))
 
 register("dp_year_fish", W("site", "fish") + f"""

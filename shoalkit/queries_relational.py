@@ -142,7 +142,7 @@ SELECT site_id, rmi, avg(ilon) AS ilon, avg(ilat) AS ilat FROM fish GROUP BY sit
     lambda spark, d: agg.mean_point(T(spark, d).fish, ["site_id", "rmi"], "ilon", "ilat"))
 
 register("agg_length_stats", W("site", "fish") + """
-SELECT s.reach, round(avg(f.tot_length), 2) AS mean_tl, min(f.tot_length) AS min_tl, max(f.tot_length) AS max_tl,
+SELECT s.reach, round_even(avg(f.tot_length), 2) AS mean_tl, min(f.tot_length) AS min_tl, max(f.tot_length) AS max_tl,
   stddev_samp(f.tot_length) AS sd_tl
 FROM fish f LEFT JOIN site s ON f.site_id = s.site_id WHERE f.species = 'SM' GROUP BY s.reach""")(
     lambda spark, d: agg.length_stats(
@@ -152,10 +152,10 @@ FROM fish f LEFT JOIN site s ON f.site_id = s.site_id WHERE f.species = 'SM' GRO
 _EFFORT_SQL = """
 , f AS (SELECT site_id, count(*) AS ct FROM fish WHERE species IN ('SM') GROUP BY site_id)
 SELECT {keys}, count(*) AS n_site,
-  round(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) AS effort_hr,
+  round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) AS effort_hr,
   coalesce(sum(f.ct), 0) AS {catch},
-  round(CASE WHEN round(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) = 0 THEN NULL
-        ELSE coalesce(sum(f.ct), 0) / round(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) END, 2) AS cpue{extra}
+  round_even(CASE WHEN round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) = 0 THEN NULL
+        ELSE coalesce(sum(f.ct), 0) / round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) END, 2) AS cpue{extra}
 FROM {site} s LEFT JOIN f ON s.site_id = f.site_id GROUP BY {keys}"""
 
 register("agg_effort_stats", W("site", "fish") + _EFFORT_SQL.format(
@@ -192,17 +192,17 @@ _ROLLUP_SQL = """
           AND c.pass IS NOT DISTINCT FROM l.pass AND c.el_sec IS NOT DISTINCT FROM l.el_sec
           AND c.species IS NOT DISTINCT FROM r.species)
 , fc AS (SELECT pass, reach, species,
-          round(CASE WHEN count(el_sec) = count(*) THEN sum(el_sec) END / 3600, 2) AS effort,
+          round_even(CASE WHEN count(el_sec) = count(*) THEN sum(el_sec) END / 3600, 2) AS effort,
           sum(fish_count) AS catch FROM g GROUP BY pass, reach, species)"""
 
 register("agg_rollup_two_level", W("site", "fish") + _ROLLUP_SQL + """
 SELECT pass, reach, species, effort, catch,
-  round(CASE WHEN effort = 0 THEN NULL ELSE catch / effort END, 2) AS cpue FROM fc""")(
+  round_even(CASE WHEN effort = 0 THEN NULL ELSE catch / effort END, 2) AS cpue FROM fc""")(
     lambda spark, d: effort.cpue_by(*year_tables(T(spark, d))))
 
 register("agg_rollup_reach", W("site", "fish") + _ROLLUP_SQL + """
 SELECT reach, coalesce(sum(effort), 0) AS effort, coalesce(sum(catch), 0) AS catch,
-  round(CASE WHEN coalesce(sum(effort), 0) = 0 THEN NULL ELSE coalesce(sum(catch), 0) / coalesce(sum(effort), 0) END, 2) AS cpue
+  round_even(CASE WHEN coalesce(sum(effort), 0) = 0 THEN NULL ELSE coalesce(sum(catch), 0) / coalesce(sum(effort), 0) END, 2) AS cpue
 FROM fc WHERE species = 'SM' GROUP BY reach""")(
     lambda spark, d: effort.cpue_rollup(effort.cpue_by(*year_tables(T(spark, d))), "SM"))
 
