@@ -80,7 +80,7 @@ def date_time(date: Column, time: Column) -> Column:
 
 def mdy_time(date_text: Column, time_text: Column, date_format: str = "M/d/yyyy") -> Column:
     """``as.POSIXct(paste(mdy(date), time))`` without a session time zone."""
-    return date_time(F.try_to_date(date_text, F.lit(date_format)), time_text)
+    return date_time(F.try_to_date(date_text, date_format), time_text)
 
 
 def mile_correction(col: Column, reach: Column, reaches=("DESO", "ECHO"), offset: float = 120) -> Column:
