@@ -38,4 +38,5 @@ def W(*names: str) -> str:
 
 
 # import the query modules so they register themselves
-from . import queries_core, queries_quality, queries_relational, queries_products, queries_etl  # noqa: E402,F401
+from . import (queries_core, queries_etl, queries_integrity, queries_products,  # noqa: E402,F401
+               queries_quality, queries_relational)
