@@ -4,14 +4,22 @@
 task. ``global_index`` instead range-partitions on the full sort key (Spark samples
 the composite key, so a timestamp shared by a third of the rows is still split by the
 tie-break), sorts inside partitions, tags each row with its partition and position,
-seals that layout with a reliable checkpoint in the shared checkpoint folder, counts
-rows per partition and adds each partition's offset through a broadcast of one row
-per partition (bounded by the partition count, not by the data).
+keeps that layout (persisted, or sealed with a reliable checkpoint in the shared
+checkpoint folder), counts rows per partition (one number per partition reaches the
+driver: bounded by the partition count, not by the data) and adds each partition's
+offset from a literal array.
+
+Why the layout must be kept: the counts and the numbering are two jobs, and a range
+exchange planned twice samples its bounds twice. Persisting keeps one physical RDD
+for both; a lost executor's blocks are recomputed through that same RDD (same range
+bounds, same total order inside partitions), so offsets stay consistent. ``reliable``
+swaps the persist for ``checkpoint()`` when the lineage above is long or expensive.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import pad_int, paste
@@ -26,25 +34,33 @@ def _order(c) -> Column:
 
 
 def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, reliable: bool = False) -> DataFrame:
     """Gap-free 1..n (from ``start``) in ``order``; ties must be broken by ``order``.
 
     The result does not depend on the partition count. Columns: ``df``'s plus ``name``.
+    One action runs here: the per-partition row counts (one number per partition),
+    which also materializes the kept layout exactly once.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [_order(c) for c in order]
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("_rid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    pid = F.shiftright(F.col("_rid"), _POS_BITS).alias("_pid")
-    counts = ranged.groupBy(pid).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = ranged.join(F.broadcast(offsets), F.shiftright(F.col("_rid"), _POS_BITS) == F.col("_pid"))
-    idx = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)
-    return out.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
+    if reliable:
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
+    else:
+        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    pid = F.shiftright(F.col("_rid"), _POS_BITS)
+    counts = dict(ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    n_parts = max(counts) + 1 if counts else 1
+    offsets, acc = [], 0
+    for p in range(n_parts):
+        offsets.append(acc)
+        acc += counts.get(p, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int"))
+    idx = off + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)
+    return ranged.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
 
 
 def build_key(parts, number, width: int = 3, sep: str = "_") -> Column:
