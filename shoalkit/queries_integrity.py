@@ -272,3 +272,16 @@ def _q_csv_infer(spark, d):
 
 
 register("src_csv_infer", W("site") + "SELECT project_code, year, start_rmi, crew, el_sec FROM site")(_q_csv_infer)
+
+
+def _q_dbf(spark, d):
+    from .sources.dbf import read_dbf, write_dbf
+    t = T(spark, d)
+    folder = scratch_path(spark, "dbf")
+    write_dbf(t.raw_site, folder, "site", prefix="123a")
+    write_dbf(t.raw_water, folder, "water", prefix="123a")
+    got = read_dbf(spark, folder, family="site")
+    return got.select(*[F.col(f.name).cast(f.dataType) for f in t.raw_site.schema.fields])
+
+
+register("src_dbf_scan", W("raw_site") + "SELECT * FROM raw_site")(_q_dbf)

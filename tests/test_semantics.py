@@ -138,3 +138,19 @@ def test_cpue_known_answer(spark):
     zero = df.groupBy("site_id").agg(F.sum("fish_ct").alias("c")).filter("c = 0").select("site_id")
     # every fish-less site is kept with all-zero rows
     assert no_fish.join(zero, "site_id", "left_anti").count() == 0
+
+
+def test_dbf_round_trip_and_families(spark, tmp_path):
+    from shoalkit.fixtures import tables
+    from shoalkit.sources.dbf import read_dbf, write_dbf
+    t = tables(spark, SF_MID)
+    src = t.raw_fish.limit(5000)
+    write_dbf(src.repartition(3), str(tmp_path), "fish", prefix="a")
+    write_dbf(t.raw_water.limit(100), str(tmp_path), "water", prefix="a")
+    got = read_dbf(spark, str(tmp_path), family="fish", records_per_partition=700)
+    assert got.rdd.getNumPartitions() >= 8
+    back = got.select(*[F.col(f.name).cast(f.dataType) for f in src.schema.fields])
+    assert back.exceptAll(src).count() == 0 and src.exceptAll(back).count() == 0
+    both = read_dbf(spark, str(tmp_path))
+    assert both.count() == 5100
+    assert "h2o_notes" in both.columns and "species" in both.columns
