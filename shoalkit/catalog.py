@@ -39,4 +39,4 @@ def W(*names: str) -> str:
 
 # import the query modules so they register themselves
 from . import (queries_core, queries_etl, queries_integrity, queries_products,  # noqa: E402,F401
-               queries_quality, queries_relational, queries_reports)
+               queries_quality, queries_relational, queries_reports, queries_warehouse)

@@ -177,6 +177,72 @@ BODIES: dict[str, str] = {
   SELECT staid, sta_name, rvr_code, temp_stat FROM (VALUES
     ('09261000', 'Jensen, Utah', 'GR', '00003'), ('09315000', 'Green River, Utah', 'GR', '00011'),
     ('09180500', 'Near Cisco, Utah (Dewey)', 'CO', '00003')) AS t(staid, sta_name, rvr_code, temp_stat)""",
+    # ---- normalised warehouse tables (study events, encounters, lookups) ----
+    "wh_study_event": """
+  SELECT o_orderkey AS ID, concat('S', CAST(o_orderkey AS STRING)) AS SampleNumber,
+    CAST(1 + o_orderkey % 3 AS INT) AS StudyID, CAST(1 + o_custkey % 2 AS INT) AS GearTypeID,
+    CAST(1 + c_nationkey % 5 AS INT) AS OrgID, CAST(1 + c_nationkey % 4 AS INT) AS RiverID,
+    CAST(1 + o_custkey % 10 AS INT) AS PersonID, o_orderdate AS StartDateTime, o_orderdate AS EndDateTime,
+    (o_orderkey % 3500) / CAST(10 AS DOUBLE) AS StartRMI,
+    (o_orderkey % 3500 - o_custkey % 70 + 5) / CAST(10 AS DOUBLE) AS EndRMI,
+    CAST(1 + o_orderkey % 3 AS INT) AS Pass, CAST(floor(o_totalprice / 50) AS INT) AS ElectrofishingSeconds,
+    CASE o_orderkey % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'L' ELSE 'B' END AS Shoreline,
+    concat('B', CAST(o_custkey % 3 AS STRING)) AS Boat, o_orderpriority AS Crew, o_orderstatus AS Notes,
+    CAST(o_custkey % 900 AS INT) AS Conductivity, (o_custkey % 250) / CAST(10 AS DOUBLE) AS RiverTemperature,
+    CAST(o_custkey % 40 AS INT) AS Turbidity
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    "wh_study": """
+  SELECT ID, Code, Name FROM (VALUES (1, '123a', 'Humpback chub monitoring'), (2, '123d', 'Walleye removal'),
+    (3, '138', 'Smallmouth bass removal')) AS t(ID, Code, Name)""",
+    "wh_gear": "SELECT ID, Code FROM (VALUES (1, 'EL'), (2, 'EH')) AS t(ID, Code)",
+    "wh_org": """
+  SELECT CAST(n_nationkey + 1 AS INT) AS ID, concat(n_name, ' wildlife ', lower(n_name)) AS Name
+  FROM {nation} WHERE n_nationkey < 5""",
+    "wh_hydro": """
+  SELECT ID, Code, Name, BasinID FROM (VALUES (1, 'GR', 'Green River', 1), (2, 'CO', 'Colorado River', 1),
+    (3, 'SJ', 'San Juan River', 1), (4, 'OT', 'Other', 2)) AS t(ID, Code, Name, BasinID)""",
+    "wh_person": """
+  SELECT CAST(c_custkey AS INT) AS ID, concat('First', CAST(c_custkey AS STRING)) AS FirstName, c_name AS LastName
+  FROM {customer} WHERE c_custkey <= 10""",
+    "wh_species": """
+  SELECT ID, Code, CommonName, ScientificName FROM (VALUES (1, 'SM', 'smallmouth bass', 'Micropterus dolomieu'),
+    (2, 'CS', 'Colorado pikeminnow', 'Ptychocheilus lucius'), (3, 'RZ', 'razorback sucker', 'Xyrauchen texanus'),
+    (4, 'HB', 'humpback chub', 'Gila cypha'), (5, 'BT', 'bonytail', 'Gila elegans'),
+    (6, 'CC', 'channel catfish', 'Ictalurus punctatus'), (7, 'WE', 'walleye', 'Sander vitreus'),
+    (8, 'NP', 'northern pike', 'Esox lucius')) AS t(ID, Code, CommonName, ScientificName)""",
+    "wh_individual": """
+  SELECT p_partkey AS ID, CAST(2 + p_partkey % 4 AS INT) AS SpeciesID, CAST(1 + p_partkey % 3 AS INT) AS Sex FROM {part}""",
+    "wh_encounter": """
+  SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING)) AS ID,
+    l_partkey AS IndividualID, concat('S', CAST(l_orderkey AS STRING)) AS SampleNumber, l_shipdate AS EncounterDateTime,
+    (l_partkey % 3500) / CAST(10 AS DOUBLE) AS RiverMile, CAST(l_quantity AS INT) * 25 AS Length,
+    CAST(floor(l_extendedprice / 30) AS INT) AS Weight, CASE l_linenumber % 2 WHEN 0 THEN 'Y' ELSE 'N' END AS RipeFlag,
+    CASE l_suppkey % 2 WHEN 0 THEN 'Y' ELSE 'N' END AS TuberclesFlag, CAST(l_suppkey % 20 AS INT) AS RayCount,
+    CAST(1 + l_linenumber % 3 AS INT) AS DispositionTypeID,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 600000 + l_suppkey * CAST(10 AS DOUBLE) END AS UTMX,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 4200000 + l_partkey * CAST(10 AS DOUBLE) END AS UTMY,
+    l_linestatus AS Notes, l_orderkey % 2 = 0 AS Recapture
+  FROM {lineitem} WHERE l_partkey % 11 IN (2, 3, 4, 5)""",
+    "wh_tag": """
+  SELECT p_partkey AS ID, p_partkey AS IndividualID, CAST(1 + p_partkey % 2 AS INT) AS TagType,
+    lpad(CAST(p_partkey AS STRING), 9, '0') AS TagCode FROM {part} WHERE p_partkey % 3 <> 0""",
+    "wh_tag_type": "SELECT ID, TagType FROM (VALUES (1, '134'), (2, '400')) AS t(ID, TagType)",
+    "wh_disposition": "SELECT ID, Code FROM (VALUES (1, 'RA'), (2, 'DE'), (3, 'TR')) AS t(ID, Code)",
+    "wh_sex": "SELECT ID, Code FROM (VALUES (1, 'M'), (2, 'F'), (3, 'U')) AS t(ID, Code)",
+    "wh_ntf": """
+  SELECT concat('S', CAST(l_orderkey AS STRING)) AS SampleNumber, l_shipdate AS DateTime,
+    (l_partkey % 3500) / CAST(10 AS DOUBLE) AS RiverMile,
+    CASE l_partkey % 11 WHEN 6 THEN 'CC' WHEN 7 THEN 'WE' WHEN 8 THEN 'NP' WHEN 9 THEN 'QQ' ELSE 'SM' END AS Species,
+    CAST(l_quantity AS INT) * 25 AS Length, CAST(floor(l_extendedprice / 30) AS INT) AS Weight,
+    CASE l_linestatus WHEN 'F' THEN 'F' ELSE 'M' END AS Sex, 'N' AS Ripe,
+    CASE l_returnflag WHEN 'A' THEN 'DE' WHEN 'R' THEN 'RA' ELSE 'TR' END AS DispositionType,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 600000 + l_suppkey * CAST(10 AS DOUBLE) END AS UTMX,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 4200000 + l_partkey * CAST(10 AS DOUBLE) END AS UTMY,
+    CASE WHEN l_orderkey % 4 = 0 THEN CAST(l_orderkey AS STRING) END AS FloyTag1,
+    CASE WHEN l_orderkey % 4 = 0 THEN 'RED' END AS FloyTag1Color, CAST(l_orderkey % 3 AS INT) AS Recap1,
+    CAST(NULL AS STRING) AS FloyTag2, CAST(NULL AS STRING) AS FloyTag2Color, CAST(l_orderkey % 2 AS INT) AS Recap2,
+    l_linestatus AS Notes
+  FROM {lineitem} WHERE l_partkey % 11 NOT IN (2, 3, 4, 5)""",
 }
 
 _REF = re.compile(r"\{(\w+)\}")
