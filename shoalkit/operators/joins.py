@@ -30,8 +30,11 @@ def keyed_join(left: DataFrame, right: DataFrame, on: dict, how: str = "left",
     """Join on ``{left_col: right_col}``; one output column per key pair.
 
     Keys keep the left name; for right/full joins the key is coalesced so rows only on
-    the right keep their key. Right key columns are dropped.
+    the right keep their key. Right key columns are dropped. A full join runs as
+    ``_full_join`` (two skew-splittable parts) instead of a full outer sort-merge join.
     """
+    if how in ("full", "full_outer", "outer", "fullouter"):
+        return _full_join(left, right, on, null_safe)
     l, r = left.alias("_l"), right.alias("_r")
     cond = None
     for lk, rk in on.items():
@@ -41,11 +44,8 @@ def keyed_join(left: DataFrame, right: DataFrame, on: dict, how: str = "left",
     cols = []
     rkeys = set(on.values())
     for c in left.columns:
-        if c in on:
-            if how in ("right", "right_outer", "full", "full_outer", "outer"):
-                cols.append(F.coalesce(F.col(f"_l.{c}"), F.col(f"_r.{on[c]}")).alias(c))
-            else:
-                cols.append(F.col(f"_l.{c}").alias(c))
+        if c in on and how in ("right", "right_outer"):
+            cols.append(F.coalesce(F.col(f"_l.{c}"), F.col(f"_r.{on[c]}")).alias(c))
         else:
             cols.append(F.col(f"_l.{c}").alias(c))
     if how in ("left_semi", "semi", "left_anti", "anti"):
@@ -59,6 +59,38 @@ def keyed_join(left: DataFrame, right: DataFrame, on: dict, how: str = "left",
     return j.select(*cols)
 
 
+def _full_join(left: DataFrame, right: DataFrame, on: dict, null_safe: bool) -> DataFrame:
+    """Full outer join as (right LEFT JOIN left) UNION ALL (left rows with no right key).
+
+    AQE cannot split a skewed partition of a full outer sort-merge join, so a key that
+    holds a third of the child rows would sit in one task. Here the child (right) side
+    is the streamed side of a left outer join, which AQE splits, and the unmatched
+    parents come from an anti-join against the right side's *distinct* keys, which are
+    reduced map-side before they move.
+    """
+    inv = {rk: lk for lk, rk in on.items()}
+    matched = keyed_join(right, left, inv, "left", null_safe)  # right columns first
+    rkeys = right.select(*[F.col(rk).alias(lk) for lk, rk in on.items()]).distinct()
+    lonly = keyed_join(left, rkeys, {k: k for k in on}, "left_anti", null_safe)
+    lnames = set(left.columns)
+    rnames = {c: (c if c not in lnames else f"{c}_r") for c in right.columns if c not in inv}
+    out_cols = list(left.columns) + list(rnames.values())
+    m_sel = []
+    for c in left.columns:
+        if c in on:
+            m_sel.append(F.col(on[c]).alias(c))
+        else:
+            src = c if c not in set(right.columns) or c in on else f"{c}_r"
+            m_sel.append(F.col(src).alias(c))
+    for c, n in rnames.items():
+        m_sel.append(F.col(c).alias(n))
+    part1 = matched.select(*m_sel)
+    types = {f.name: f.dataType for f in right.schema.fields}
+    part2 = lonly.select(*[F.col(c) for c in left.columns],
+                         *[F.lit(None).cast(types[c]).alias(n) for c, n in rnames.items()])
+    return part1.unionByName(part2).select(*out_cols)
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: dict, null_safe: bool = False,
            max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left lookup of a small dimension by code (names may differ: ``{'reach': 'rch_code'}``)."""

@@ -285,3 +285,21 @@ def _q_dbf(spark, d):
 
 
 register("src_dbf_scan", W("raw_site") + "SELECT * FROM raw_site")(_q_dbf)
+
+
+def _q_stream(spark, d):
+    from .streaming.batch_stream import load_stream
+    t = T(spark, d)
+    src = _site_cols(t)
+    landing = scratch_path(spark, "landing")
+    # two proofed deliveries land; one availableNow run loads both
+    src.filter(F.col("pass") == 1).write.parquet(landing + "/delivery=1")
+    src.filter(F.col("pass") != 1).write.parquet(landing + "/delivery=2")
+    root = scratch_path(spark, "store")
+    rules = {"site": {"pk": ["site_id"], "not_null": ["site_id", "project_code", "year"]}}
+    load_stream(spark, landing + "/delivery=*", "site", src.schema, root, scratch_path(spark, "stream-ckpt"),
+                rules=rules, max_files=1)
+    return files.read_store(spark, root, "site").drop("batch_id")
+
+
+register("st_batch_load", W("site") + _SITE_SQL)(_q_stream)
