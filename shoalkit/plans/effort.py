@@ -24,7 +24,10 @@ DEFAULT_AS_OF = _dt.datetime(2020, 12, 31, 0, 0, 0)
 
 
 def as_of_col(as_of=None):
-    return F.lit(as_of or DEFAULT_AS_OF).cast("timestamp_ntz")
+    """The run timestamp as a TIMESTAMP_NTZ literal (built from text: no time zone)."""
+    ts = as_of or DEFAULT_AS_OF
+    text = ts.strftime("%Y-%m-%d %H:%M:%S") if hasattr(ts, "strftime") else str(ts)
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def _site_item_counts(sites: DataFrame, items: DataFrame, item: str, out_item: str,

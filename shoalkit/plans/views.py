@@ -80,3 +80,14 @@ def view_ntf(fish: DataFrame, site: DataFrame, meta: DataFrame, floy: DataFrame,
     return j.select(*_fish_cols(j), "floy_id", "floy_num", "floy_color", "floy_recap", *_opt(j, "floy_ref"),
                     F.col("disp").alias("DISP"), F.lit("EL").alias("GEAR"), *_opt(j, "epsg"),
                     *_opt(j, "loc_x", "UTM X"), *_opt(j, "loc_y", "UTM Y"), "pit_num")
+
+
+def register_views(site: DataFrame, meta: DataFrame, water: DataFrame, fish: DataFrame,
+                   pit: DataFrame, floy: DataFrame, prefix: str = "vw_") -> dict:
+    """Create the three datasheets as temp views (``vw_site``, ``vw_rare``, ``vw_ntf``)
+    so they can be queried by name with ``spark.sql``."""
+    views = {"site": view_site(site, meta, water), "rare": view_rare(fish, site, meta, pit),
+             "ntf": view_ntf(fish, site, meta, floy, pit)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+    return views

@@ -154,3 +154,19 @@ def test_dbf_round_trip_and_families(spark, tmp_path):
     both = read_dbf(spark, str(tmp_path))
     assert both.count() == 5100
     assert "h2o_notes" in both.columns and "species" in both.columns
+
+
+def test_views_by_name_and_timezone_free_stamp(spark):
+    from shoalkit.fixtures import tables
+    from shoalkit.plans.effort import as_of_col
+    from shoalkit.plans.views import register_views
+    t = tables(spark, SF_MID)
+    register_views(t.site, t.meta, t.water_qual, t.fish, t.pittag, t.floytag)
+    assert spark.sql("SELECT count(*) FROM vw_rare").first()[0] == 33573
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+        v = spark.range(1).select(as_of_col().cast("string")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert v == "2020-12-31 00:00:00"
