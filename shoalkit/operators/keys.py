@@ -4,16 +4,17 @@
 task. ``global_index`` instead range-partitions on the full sort key (Spark samples
 the composite key, so a timestamp shared by a third of the rows is still split by the
 tie-break), sorts inside partitions, tags each row with its partition and position,
-keeps that layout (persisted, or sealed with a reliable checkpoint in the shared
-checkpoint folder), counts rows per partition (one number per partition reaches the
+seals that layout with a reliable checkpoint in the shared checkpoint folder (or,
+with ``reliable=False``, a persist), counts rows per partition (one number per partition reaches the
 driver: bounded by the partition count, not by the data) and adds each partition's
 offset from a literal array.
 
 Why the layout must be kept: the counts and the numbering are two jobs, and a range
-exchange planned twice samples its bounds twice. Persisting keeps one physical RDD
-for both; a lost executor's blocks are recomputed through that same RDD (same range
-bounds, same total order inside partitions), so offsets stay consistent. ``reliable``
-swaps the persist for ``checkpoint()`` when the lineage above is long or expensive.
+exchange planned twice samples its bounds twice. The checkpoint gives both one
+physical layout, survives executor loss without recomputation, and cuts the (often
+long) lineage out of every later plan, which keeps analysis of the downstream ETL
+plans cheap. A persist also keeps one RDD for both passes (lost blocks are recomputed
+through the same range bounds) and skips the write.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def _order(c) -> Column:
 
 
 def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
-                 partitions: int | None = None, reliable: bool = False) -> DataFrame:
+                 partitions: int | None = None, reliable: bool = True) -> DataFrame:
     """Gap-free 1..n (from ``start``) in ``order``; ties must be broken by ``order``.
 
     The result does not depend on the partition count. Columns: ``df``'s plus ``name``.

@@ -79,7 +79,8 @@ def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True
     store = read_store_tables(spark, root)
     upload_id = next_upload_id(store.get("site"))
     batch = strip_batch(proofed, upload_id)
-    violations = validate_batch(spark, batch, store)
+    # the report is small and is both the load decision and the return value
+    violations = validate_batch(spark, batch, store).persist()
     blocked = violations.filter(F.col("severity") == "error").limit(1).count() > 0
     written = []
     if write and not blocked:

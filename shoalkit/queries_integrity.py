@@ -153,9 +153,11 @@ FROM site""")(_q_upload_id)
 def proofed_batch(t):
     """The ETL tables with their QC flags, as the proofing step receives them."""
     from .operators import quality as qc
-    site = etl.build_site(t.raw_site, t.tbl_reach)
+    # site and fish feed several tables: written once to the shared checkpoint folder,
+    # which also cuts their long lineage out of every later plan
+    site = etl.build_site(t.raw_site, t.tbl_reach).checkpoint()
     samp_n = etl.key_map(site)
-    fish = etl.build_fish(t.raw_fish, samp_n)
+    fish = etl.build_fish(t.raw_fish, samp_n).checkpoint()
     return {
         "meta": etl.meta_rows(t.raw_site, "Pat", "Doe", "UDWR-M", "EL"),
         "site": qc.site_qc(site),
@@ -171,7 +173,6 @@ def _q_batch(spark, d):
     return violations
 
 
-register("ld_batch")(_q_batch)
 
 
 # ------------------------------------------------------------------ sinks and file sources
@@ -303,3 +304,78 @@ def _q_stream(spark, d):
 
 
 register("st_batch_load", W("site") + _SITE_SQL)(_q_stream)
+
+
+# ------------------------------------------------------------------ oracle for ld_batch
+def _ld_batch_sql() -> str:
+    from .queries_etl import FISH_ETL_SQL, RAW_SITE_CLEAN, _TS
+    tables_sql = FISH_ETL_SQL + f"""
+, pr AS (SELECT key_aaa, key_aa, key_a, nullif(pit_type, 'Z') AS pit_type, nullif(pit_num, 'Z') AS pit_num,
+    nullif(pit_recap, 'Z') AS pit_recap, nullif(pit_notes, 'Z') AS pit_notes FROM raw_pittag WHERE pit_num IS NOT NULL)
+, pittag_b AS (SELECT pr.key_aaa AS pit_id, pr.key_aa AS fish_id, CAST(pr.pit_type AS VARCHAR) AS pit_type,
+    upper(pr.pit_num) AS pit_num, pr.pit_recap, pr.pit_notes FROM pr)
+, fl AS (SELECT key_aab, key_aa, nullif(floy_color, 'Z') AS floy_color, nullif(floy_num, 'Z') AS floy_num,
+    nullif(floy_recap, 'Z') AS floy_recap, nullif(floy_notes, 'Z') AS floy_notes FROM raw_floytag WHERE floy_num IS NOT NULL)
+, floytag_b AS (SELECT key_aab AS floy_id, key_aa AS fish_id, floy_color, floy_num, floy_recap, floy_notes FROM fl)
+, water_qual_b AS (SELECT w.key_ab AS water_id, k.site_id FROM raw_water w LEFT JOIN km k ON w.key_a = k.key_a)
+, site_b AS (SELECT site_id, project AS project_code, year, river, reach, pass, startdatetime, enddatetime, start_rmi,
+    end_rmi, shoreline, el_sec, boat, crew, site_notes, 1 AS upload_id FROM se)
+, fish_b AS (SELECT fish_id, site_id, rmi, datetime, species, tot_length, weight, sex, rep_cond, tubercles, ray_ct, disp,
+    fish_notes, loc_x, loc_y, epsg FROM fe)
+, meta_b AS (SELECT DISTINCT lower(nullif(project, 'Z')) AS project_code,
+    CAST(year(try_strptime(nullif(date, 'Z') || ' ' || nullif(starttime, 'Z'), {_TS})) AS INTEGER) AS year,
+    'Pat' AS principal_fname, 'Doe' AS principal_lname, 'UDWR-M' AS agency, 'EL' AS data_type FROM raw_site)"""
+    cols = {
+        "meta": ["project_code", "year", "principal_fname", "principal_lname", "agency", "data_type"],
+        "site": ["site_id", "project_code", "year", "river", "reach", "pass", "startdatetime", "enddatetime",
+                 "start_rmi", "end_rmi", "shoreline", "el_sec", "boat", "crew", "site_notes", "upload_id"],
+        "water_qual": ["water_id", "site_id"],
+        "fish": ["fish_id", "site_id", "rmi", "datetime", "species", "tot_length", "weight", "sex", "rep_cond",
+                 "tubercles", "ray_ct", "disp", "fish_notes", "loc_x", "loc_y", "epsg"],
+        "pittag": ["pit_id", "fish_id", "pit_type", "pit_num", "pit_recap", "pit_notes"],
+        "floytag": ["floy_id", "fish_id", "floy_color", "floy_num", "floy_recap", "floy_notes"],
+    }
+    parts = []
+
+    def key(cs):
+        return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NA')" for c in cs)
+
+    for table, rule in ck.STORE_RULES.items():
+        if table not in cols:
+            continue
+        have = cols[table]
+        src = f"{table}_b"
+        uniq = ([("primary_key", rule["pk"])] if rule.get("pk") else []) + [("unique", u) for u in rule.get("unique", [])]
+        for name, cs in uniq:
+            if not all(c in have for c in cs):
+                continue
+            nn = " AND ".join(f"{c} IS NOT NULL" for c in cs)
+            parts.append(f"SELECT {_v(table, name, ','.join(cs), key(cs), 'count(*)')} FROM {src} WHERE {nn} "
+                         f"GROUP BY {', '.join(cs)} HAVING count(*) > 1")
+        for c in rule.get("not_null", []):
+            if c in have:
+                parts.append(f"SELECT {_v(table, 'not_null', c, 'CAST(NULL AS VARCHAR)', 'count(*)')} FROM {src} "
+                             f"WHERE {c} IS NULL HAVING count(*) > 0")
+        for c, values in rule.get("domain", {}).items():
+            if c in have:
+                sev = "warn" if None in values else "error"
+                lst = ", ".join(f"'{v}'" for v in values if v is not None)
+                parts.append(f"SELECT {_v(table, 'domain', c, f'CAST({c} AS VARCHAR)', 'count(*)', sev)} FROM {src} "
+                             f"WHERE {c} IS NOT NULL AND {c} NOT IN ({lst}) GROUP BY {c}")
+        for c in rule.get("nonzero", []):
+            if c in have:
+                parts.append(f"SELECT {_v(table, 'nonzero', c, 'CAST(NULL AS VARCHAR)', 'count(*)')} FROM {src} "
+                             f"WHERE {c} = 0 HAVING count(*) > 0")
+        for cs, ptable, pcs in rule.get("fk", []):
+            if ptable not in cols or not all(c in have for c in cs):
+                continue
+            nn = " AND ".join(f"c.{c} IS NOT NULL" for c in cs)
+            match = " AND ".join(f"p.{pc} = c.{c}" for c, pc in zip(cs, pcs))
+            parts.append(f"SELECT {_v(table, 'foreign_key', ','.join(cs), key(['c.' + c for c in cs]), 'count(*)')} "
+                         f"FROM {src} c WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {ptable}_b p WHERE {match}) "
+                         f"GROUP BY {', '.join('c.' + c for c in cs)}")
+    return (W("raw_site", "tbl_reach", "raw_fish", "raw_pittag", "raw_floytag", "raw_water") + tables_sql
+            + "\nSELECT * FROM (" + "\nUNION ALL ".join(parts) + ") v")
+
+
+register("ld_batch", _ld_batch_sql())(_q_batch)

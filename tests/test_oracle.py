@@ -12,7 +12,7 @@ KEYS = sorted(entry.oracle_sql())
 
 def test_every_query_has_an_oracle_or_is_listed():
     no_oracle = set(entry.queries()) - set(entry.oracle_sql())
-    assert no_oracle <= {"ld_batch", "st_batch_load"}, no_oracle
+    assert no_oracle == set(), no_oracle
 
 
 def test_entry_smoke(spark):
