@@ -43,10 +43,11 @@ def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
     which also materializes the kept layout exactly once.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [_order(c) for c in order]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_rid", F.monotonically_increasing_id()))
+    # without an explicit count AQE sizes the ranges from the data: it merges only
+    # contiguous ranges, so partition order is still the global order
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = ranged.sortWithinPartitions(*cols).withColumn("_rid", F.monotonically_increasing_id())
     if reliable:
         ensure_checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)
