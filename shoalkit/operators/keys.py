@@ -35,7 +35,8 @@ def _order(c) -> Column:
 
 
 def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
-                 partitions: int | None = None, reliable: bool = True) -> DataFrame:
+                 partitions: int | None = None, reliable: bool = True,
+                 cache_input: bool = False) -> DataFrame:
     """Gap-free 1..n (from ``start``) in ``order``; ties must be broken by ``order``.
 
     The result does not depend on the partition count. Columns: ``df``'s plus ``name``.
@@ -44,13 +45,18 @@ def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
     """
     spark = df.sparkSession
     cols = [_order(c) for c in order]
+    # the range exchange reads its input twice (bound sampling, then the shuffle write):
+    # keep the input for those two passes only
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if cache_input else df
     # without an explicit count AQE sizes the ranges from the data: it merges only
     # contiguous ranges, so partition order is still the global order
-    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    ranged = src.repartitionByRange(partitions, *cols) if partitions else src.repartitionByRange(*cols)
     ranged = ranged.sortWithinPartitions(*cols).withColumn("_rid", F.monotonically_increasing_id())
     if reliable:
         ensure_checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)
+        if cache_input:
+            src.unpersist()
     else:
         ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     pid = F.shiftright(F.col("_rid"), _POS_BITS)
