@@ -68,6 +68,37 @@ STORE_RULES = {
              "domain": {"vial_type": VIAL_TYPES}, "fk": [(["fish_id"], "fish", ["fish_id"])]},
 }
 
+# Column types of the store tables (the DDL as Spark schemas).
+STORE_SCHEMAS = {
+    "meta": "meta_id int, project_code string, year int, principal_fname string, principal_lname string, "
+            "agency string, data_type string",
+    "site": "site_id string, project_code string, year int, river string, reach string, pass int, "
+            "start_rmi double, end_rmi double, startdatetime timestamp_ntz, enddatetime timestamp_ntz, "
+            "shoreline string, el_sec int, boat string, crew string, site_notes string, upload_id int",
+    "water_qual": "water_id string, site_id string, cond_amb int, cond_spec int, rvr_temp decimal(4,1), "
+                  "secchi int, water_notes string",
+    "fish": "fish_id string, site_id string, datetime timestamp_ntz, rmi double, species string, tot_length int, "
+            "weight int, sex string, rep_cond string, tubercles string, ray_ct string, disp string, loc_x double, "
+            "loc_y double, epsg int, fish_notes string",
+    "pittag": "pit_id string, fish_id string, pit_recap string, pit_num string, pit_type string, pit_notes string",
+    "floytag": "floy_id string, fish_id string, floy_num string, floy_recap string, floy_color string, "
+               "floy_ref int, floy_notes string",
+    "vial": "vial_id string, fish_id string, vial_num string, vial_type string, vial_notes string",
+}
+
+
+def store_schema(spark, table: str):
+    """The store table's ``StructType``."""
+    return spark.createDataFrame([], STORE_SCHEMAS[table]).schema
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The store table's columns in order and type; absent columns are NULL, others dropped."""
+    schema = store_schema(df.sparkSession, table)
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
 # Append order that keeps every parent ahead of its children.
 LOAD_ORDER = ["meta", "site", "water_qual", "fish", "pittag", "floytag", "vial"]
 

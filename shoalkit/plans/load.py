@@ -41,6 +41,23 @@ def assign_upload_id(site: DataFrame, store_site: DataFrame | None) -> DataFrame
     return site.withColumn("upload_id", F.lit(next_upload_id(store_site)).cast("int"))
 
 
+def assign_meta_ids(meta: DataFrame, store_meta: DataFrame | None) -> DataFrame:
+    """Number new meta rows after the stored ones (an INTEGER PRIMARY KEY loaded as NULL).
+
+    Rows that already carry an id keep it.
+    """
+    from ..operators.keys import global_index
+    start = 1 if store_meta is None else int(next_number(store_meta, "meta_id").first()[0])
+    if "meta_id" in meta.columns:
+        missing = meta.filter(F.col("meta_id").isNull()).drop("meta_id")
+        kept = meta.filter(F.col("meta_id").isNotNull())
+    else:
+        missing, kept = meta, None
+    numbered = global_index(missing, ["year", "project_code"], "meta_id", start=start).withColumn(
+        "meta_id", F.col("meta_id").cast("int"))
+    return numbered if kept is None else kept.unionByName(numbered, allowMissingColumns=True)
+
+
 def strip_batch(proofed: dict, upload_id: int) -> dict:
     """Rename, cast and drop helper columns; drop the zero-catch placeholder fish rows."""
     out = {}

@@ -78,3 +78,12 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
 def file_name_table(df: DataFrame, col: str = "_table") -> DataFrame:
     """Add the capture table name of each row's source file (``+name.dbf``)."""
     return df.withColumn(col, F.regexp_extract(F.input_file_name(), r"\+(.*)\.dbf$", 1))
+
+
+def read_bundle_sheet(spark: SparkSession, bundle: str, sheet: str) -> DataFrame:
+    """A sheet of a bundle written by ``write_bundle``, with the schema stored beside it."""
+    from pyspark.sql.types import StructType
+    import json
+    p = f"{bundle.rstrip('/')}/{sheet}"
+    schema = StructType.fromJson(json.loads(spark.read.text(f"{p}._schema").first()[0]))
+    return read_sheet(spark, bundle, sheet, schema)

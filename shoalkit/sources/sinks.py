@@ -22,12 +22,19 @@ def write_product(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_bundle(named: dict, path: str, fmt: str = "csv") -> dict:
-    """One folder per named table under ``path`` (the proofing bundle)."""
+    """One folder per named table under ``path`` (the proofing bundle).
+
+    Next to each CSV folder ``<name>`` a one-line ``<name>._schema`` text file keeps the
+    table's schema, so the proofed sheet can be read back with its types.
+    """
     out = {}
     for name, df in named.items():
         p = f"{path.rstrip('/')}/{name}"
         if fmt == "csv":
             write_product(df, p)
+            spark = df.sparkSession
+            (spark.createDataFrame([(df.schema.json(),)], "schema string")
+             .write.mode("overwrite").text(f"{p}._schema"))
         else:
             df.write.mode("overwrite").parquet(p)
         out[name] = p
