@@ -95,7 +95,7 @@ def release(spark: SparkSession, store_root: str, out: str, project: str, year:
     site_p = products.site_pointer(st["site"], river, reach, st["water_qual"], st["meta"], [year])
     named = {
         "site": products.site_product(st["site"], river, reach, st["water_qual"], st["meta"], [year], as_of),
-        "fish": products.fish_product(st["fish"], site_p, st["pittag"], species, last="rmi", tail=("disp",)),
+        "fish": products.fish_product(st["fish"], site_p, st["pittag"], species),
         "floy": products.floy_product(st["floytag"]),
         "cpue": effort.cpue(st["site"], st["fish"], [year], as_of),
     }

@@ -49,25 +49,32 @@ def ripe(rep_cond: str = "rep_cond"):
 
 def fish_product(fish: DataFrame, site_p: DataFrame, pit: DataFrame, species: DataFrame,
                  with_site: bool = False, first: str = "fish_id", last: str = "rmi",
-                 tail=("disp",)) -> DataFrame:
+                 tail=None, tail_from: str = "tubercles") -> DataFrame:
     """Fish of the selected sites with tags, species names and ``ripe``.
 
-    ``with_site`` adds the site's reach and pass through a left join instead of the
-    semi-join (the checks script's variant).
+    Columns: fish ``first..last``, [reach, pass,] species code and names, length,
+    weight, sex, ripe, then the fish columns from ``tail_from`` on (or ``tail``) and the
+    tag columns. ``with_site`` adds the site's reach and pass through a left join
+    instead of the semi-join (the checks script's variant).
     """
     if with_site:
         f = fish.join(site_p.select("site_id", "rch_code", "pass"), "site_id", "left")
     else:
         f = fish.join(site_p.select("site_id"), "site_id", "left_semi")
-    tags = pit.select("fish_id", "pit_id", "pit_type", "pit_num", "pit_recap")
+    tag_cols = [c for c in pit.columns if c not in ("fish_id", "species", "site_id")]
+    tags = pit.select("fish_id", *tag_cols)
     f = f.join(tags, "fish_id", "left").withColumnRenamed("species", "spp_code")
     spp = species.select("spp_code", "com_name", "sci_name")
     f = lookup(f, spp, {"spp_code": "spp_code"}).withColumn("ripe", ripe())
     cols = fish.columns
     head = cols[cols.index(first):cols.index(last) + 1]
+    if tail is None:
+        tail = cols[cols.index(tail_from):] if tail_from in cols else []
+    shown = {"species", "tot_length", "weight", "sex", *head}
+    tail = [c for c in tail if c not in shown]
     site_cols = ["rch_code", "pass"] if with_site else []
     return f.select(*head, *site_cols, "spp_code", "com_name", "sci_name", "tot_length", "weight", "sex",
-                    "ripe", *tail, "pit_id", "pit_type", "pit_num", "pit_recap")
+                    "ripe", *tail, *tag_cols)
 
 
 def floy_product(floy: DataFrame, fish: DataFrame | None = None) -> DataFrame:

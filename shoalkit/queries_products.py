@@ -73,12 +73,12 @@ SELECT f.fish_id, f.site_id, f.key_a, f.datetime, f.rmi, f.species AS spp_code,
 FROM fish f LEFT JOIN pittag p ON f.fish_id = p.fish_id LEFT JOIN tbl_spp t ON f.species = t.spp_code
 WHERE f.site_id IN (SELECT site_id FROM sp)""")(
     lambda spark, d: products.fish_product(T(spark, d).fish, site_p(T(spark, d)), T(spark, d).pittag,
-                                           T(spark, d).tbl_spp))
+                                           T(spark, d).tbl_spp, tail=["disp"]))
 
 
 def _q_tag_list(spark, d):
     t = T(spark, d)
-    ft = products.fish_product(t.fish, site_p(t), t.pittag, t.tbl_spp, with_site=True)
+    ft = products.fish_product(t.fish, site_p(t), t.pittag, t.tbl_spp, with_site=True, tail=["disp"])
     return products.tag_list(ft)
 
 

@@ -73,3 +73,16 @@ def test_extract_proof_load_reload(spark, tmp_path):
     assert written2 == []
     assert v2.filter("rule = 'primary_key_store'").count() > 0
     assert spark.read.parquet(f"{store}/site").count() == n_sites
+
+    # products of the loaded year go out as a release
+    years = [r.year for r in spark.read.parquet(f"{store}/meta").select("year").collect()]
+    rel = scratch_path(spark, "wf-release")
+    river = spark.createDataFrame([("GR", "Green"), ("CO", "Colorado"), ("SJ", "San Juan")], "rvr_code string, rvr_name string")
+    spp = t.tbl_spp.select("spp_code", "com_name", "sci_name")
+    out = jobs.release(spark, store, rel, "building", years[0], river, t.tbl_reach, spp,
+                       stage_bounds=t.stage_bounds)
+    assert set(out) == {"site", "fish", "floy", "cpue", "cpue_ls"}
+    fish_cols = spark.read.option("header", True).csv(out["fish"]).columns
+    assert fish_cols[:4] == ["fish_id", "site_id", "datetime", "rmi"] and "pit_notes" in fish_cols
+    n_site = spark.read.option("header", True).csv(out["site"]).count()
+    assert n_site == site.filter(F.col("year") == years[0]).count()
