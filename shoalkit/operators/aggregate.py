@@ -56,9 +56,8 @@ def length_stats(df: DataFrame, keys, value: str, digits: int = 2,
     )
 
 
-def next_number(df: DataFrame, col: str, suffix_regex: str | None = None,
-                name: str = "next_number") -> DataFrame:
-    """One-row ``max(col) + 1`` (0 + 1 on an empty table).
+def next_number_col(col: str, suffix_regex: str | None = None) -> Column:
+    """Aggregate expression ``max(col) + 1`` (0 + 1 on an empty table).
 
     With ``suffix_regex`` the number is the integer captured by the regex's first group
     (e.g. the digits after the last ``_`` of a site id); the max is numeric, so it does
@@ -68,7 +67,13 @@ def next_number(df: DataFrame, col: str, suffix_regex: str | None = None,
     if suffix_regex is not None:
         c = F.regexp_extract(c.cast("string"), suffix_regex, 1)
         c = F.when(c == "", None).otherwise(c).cast("long")
-    return df.agg((F.coalesce(F.max(c).cast("long"), F.lit(0)) + 1).alias(name))
+    return F.coalesce(F.max(c).cast("long"), F.lit(0)) + 1
+
+
+def next_number(df: DataFrame, col: str, suffix_regex: str | None = None,
+                name: str = "next_number") -> DataFrame:
+    """One-row ``max(col) + 1`` table (see ``next_number_col``)."""
+    return df.agg(next_number_col(col, suffix_regex).alias(name))
 
 
 def _literal_rows(df: DataFrame, cols, bound: int):

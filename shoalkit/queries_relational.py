@@ -208,10 +208,8 @@ FROM fc WHERE species = 'SM' GROUP BY reach""")(
 
 
 def _q_max_id(spark, d):
-    s = T(spark, d).site
-    up = agg.next_number(s, "upload_id", name="next_upload_id")
-    num = agg.next_number(s, "site_id", r"(\d+)$", name="next_site_num")
-    return up.join(num)
+    return T(spark, d).site.agg(agg.next_number_col("upload_id").alias("next_upload_id"),
+                                agg.next_number_col("site_id", r"(\d+)$").alias("next_site_num"))
 
 
 register("agg_max_id", W("site") + """
