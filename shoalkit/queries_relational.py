@@ -153,7 +153,7 @@ _EFFORT_SQL = """
 , f AS (SELECT site_id, count(*) AS ct FROM fish WHERE species IN ('SM') GROUP BY site_id)
 SELECT {keys}, count(*) AS n_site,
   round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) AS effort_hr,
-  coalesce(sum(f.ct), 0) AS {catch},
+  CAST(coalesce(sum(f.ct), 0) AS BIGINT) AS {catch},
   round_even(CASE WHEN round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) = 0 THEN NULL
         ELSE coalesce(sum(f.ct), 0) / round_even(CASE WHEN count(s.el_sec) = count(*) THEN sum(s.el_sec) END / 3600, 2) END, 2) AS cpue{extra}
 FROM {site} s LEFT JOIN f ON s.site_id = f.site_id GROUP BY {keys}"""
@@ -193,7 +193,7 @@ _ROLLUP_SQL = """
           AND c.species IS NOT DISTINCT FROM r.species)
 , fc AS (SELECT pass, reach, species,
           round_even(CASE WHEN count(el_sec) = count(*) THEN sum(el_sec) END / 3600, 2) AS effort,
-          sum(fish_count) AS catch FROM g GROUP BY pass, reach, species)"""
+          CAST(sum(fish_count) AS BIGINT) AS catch FROM g GROUP BY pass, reach, species)"""
 
 register("agg_rollup_two_level", W("site", "fish") + _ROLLUP_SQL + """
 SELECT pass, reach, species, effort, catch,
@@ -201,7 +201,7 @@ SELECT pass, reach, species, effort, catch,
     lambda spark, d: effort.cpue_by(*year_tables(T(spark, d))))
 
 register("agg_rollup_reach", W("site", "fish") + _ROLLUP_SQL + """
-SELECT reach, coalesce(sum(effort), 0) AS effort, coalesce(sum(catch), 0) AS catch,
+SELECT reach, coalesce(sum(effort), 0) AS effort, CAST(coalesce(sum(catch), 0) AS BIGINT) AS catch,
   round_even(CASE WHEN coalesce(sum(effort), 0) = 0 THEN NULL ELSE coalesce(sum(catch), 0) / coalesce(sum(effort), 0) END, 2) AS cpue
 FROM fc WHERE species = 'SM' GROUP BY reach""")(
     lambda spark, d: effort.cpue_rollup(effort.cpue_by(*year_tables(T(spark, d))), "SM"))
@@ -213,7 +213,7 @@ def _q_max_id(spark, d):
 
 
 register("agg_max_id", W("site") + """
-SELECT coalesce(max(upload_id), 0) + 1 AS next_upload_id,
+SELECT CAST(coalesce(max(upload_id), 0) + 1 AS BIGINT) AS next_upload_id,
   coalesce(max(CAST(regexp_extract(site_id, '(\\d+)$', 1) AS BIGINT)), 0) + 1 AS next_site_num FROM site""")(_q_max_id)
 
 register("agg_distinct_nesting", W("site") + "SELECT DISTINCT reach, pass FROM site")(

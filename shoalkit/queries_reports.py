@@ -11,8 +11,10 @@ from .plans import products
 from .queries_products import _SITE_P_SQL, _SITE_P_TABLES
 
 register("hist_fixed_width", W("site") + """
-, b AS (SELECT reach, CAST(floor((start_rmi - 0.0) / 5.0) AS BIGINT) AS bin FROM site WHERE start_rmi IS NOT NULL)
-SELECT reach, bin, 0.0 + bin * 5.0 AS bin_start, 0.0 + (bin + 1) * 5.0 AS bin_end, count(*) AS n FROM b GROUP BY reach, bin""")(
+, b AS (SELECT reach, CAST(floor((start_rmi - CAST(0 AS DOUBLE)) / CAST(5 AS DOUBLE)) AS BIGINT) AS bin FROM site
+        WHERE start_rmi IS NOT NULL)
+SELECT reach, bin, CAST(0 AS DOUBLE) + bin * CAST(5 AS DOUBLE) AS bin_start,
+  CAST(0 AS DOUBLE) + (bin + 1) * CAST(5 AS DOUBLE) AS bin_end, count(*) AS n FROM b GROUP BY reach, bin""")(
     lambda spark, d: dist.histogram(T(spark, d).site, "start_rmi", width=5, by=["reach"]))
 
 register("hist_n_bins", W("fish") + """
