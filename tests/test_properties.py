@@ -108,3 +108,27 @@ def test_release_replaces_only_its_project_year(spark):
     write_release({"site": b}, path, "p", 2020)
     got = sorted((r.site_id, r.project_code, r.year) for r in spark.read.option("header", True).csv(path + "/site").collect())
     assert got == [("s2", "q", 2021), ("s9", "p", 2020)]
+
+
+def test_hot_site_results_stay_whole(spark):
+    """One site holds a third of all fish: CPUE grid, natural full join and key checks."""
+    from shoalkit.operators import integrity as ck
+    from shoalkit.operators.joins import natural_join
+    from shoalkit.plans.effort import cpue
+    n = 3000
+    sites = spark.createDataFrame(
+        [(f"s{i}", 1998, 3600, "GR", "LGR", None) for i in range(60)],
+        "site_id string, year int, el_sec int, river string, reach string, startdatetime timestamp_ntz")
+    fish = spark.createDataFrame(
+        [(f"f{i}", "s0" if i % 3 == 0 else f"s{1 + i % 50}", ["CS", "SM", None][i % 3])
+         for i in range(n)], "fish_id string, site_id string, species string")
+    c = cpue(sites, fish, [1998])
+    assert c.count() == 60 * 2  # 60 sites x {SM, CS}
+    assert c.agg(F.sum("fish_ct")).first()[0] == fish.filter(F.col("species").isNotNull()).count()
+    hot = {r.spp_code: r.fish_ct for r in c.filter("site_id = 's0'").collect()}
+    assert hot == {"CS": n // 3, "SM": 0}
+    j = natural_join(sites.select("site_id", "reach"), fish, "full", null_safe=True)
+    assert j.count() == n + 9  # every fish, plus the 9 sites without fish
+    assert j.filter(F.col("fish_id").isNull()).count() == 9
+    fk = ck.check_foreign_key(fish, sites.filter("site_id <> 's0'"), ["site_id"], table="fish").collect()
+    assert [(r.key, r.n) for r in fk] == [("s0", n // 3)]
