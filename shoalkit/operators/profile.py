@@ -77,10 +77,10 @@ def labels_table(spark, df: DataFrame) -> DataFrame:
 # Codebook labels and short descriptions of the site product.
 SITE_LABELS = {
     "site_id": {"label": "Primary key"},
-    "project_code": {"shortDescription": "UCREFRP Project short code"},
+    "project_code": {"shortDescription": "Project short code"},
     "year": {"shortDescription": "Year collected"},
     "river": {"shortDescription": "NHD river name"},
-    "reach": {"shortDescription": "UDWR Moab reach name"},
+    "reach": {"shortDescription": "Reach name"},
     "pass": {"shortDescription": "Sequential number of pass with respect to this project"},
     "startdatetime": {"shortDescription": "Time at which sampling began", "label": "YYYY-MM-DD HH:MM:SS"},
     "enddatetime": {"shortDescription": "Time at which sampling ended", "label": "YYYY-MM-DD HH:MM:SS"},
