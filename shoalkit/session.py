@@ -31,7 +31,9 @@ def get_session(master: str | None = None, app: str = "shoalkit",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", "16g")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         # reliable checkpoints of intermediate layouts are removed once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
