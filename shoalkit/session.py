@@ -44,17 +44,23 @@ def get_session(master: str | None = None, app: str = "shoalkit",
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the reliable checkpoint folder, setting one only where none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
     if not configured:
         # unset (tests): a folder next to the warehouse, which is shared storage on a cluster
         configured = fallback or (spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
                                   + "/_shoalkit_checkpoints")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
