@@ -132,3 +132,22 @@ def test_hot_site_results_stay_whole(spark):
     assert j.filter(F.col("fish_id").isNull()).count() == 9
     fk = ck.check_foreign_key(fish, sites.filter("site_id <> 's0'"), ["site_id"], table="fish").collect()
     assert [(r.key, r.n) for r in fk] == [("s0", n // 3)]
+
+
+def test_empty_inputs(spark):
+    from shoalkit.operators import integrity as ck
+    from shoalkit.operators.distribution import histogram
+    from shoalkit.operators.profile import profile
+    from shoalkit.plans.effort import cpue
+    sites = spark.createDataFrame([("s1", 1998, 3600, "GR", "LGR", None)],
+                                  "site_id string, year int, el_sec int, river string, reach string, "
+                                  "startdatetime timestamp_ntz")
+    nofish = spark.createDataFrame([], "fish_id string, site_id string, species string")
+    assert cpue(sites, nofish, [1998]).count() == 0  # no species seen: the grid is empty, as in R
+    empty = spark.createDataFrame([], "t int, k int")
+    assert keys.global_index(empty, ["t", "k"], "i").count() == 0
+    assert ck.validate_table(spark, "site", sites.limit(0).withColumn("upload_id", F.lit(1))).count() == 0
+    assert histogram(empty, "t", bins=10).count() == 0
+    assert histogram(empty, "t", width=5).count() == 0
+    prof = {r.column: r for r in profile(empty).collect()}
+    assert prof["t"].n == 0 and prof["t"].n_distinct == 0 and prof["t"].mode is None
