@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from .catalog import AS_OF_SQL, T, W, YEARS, register
 from .operators import aggregate as agg

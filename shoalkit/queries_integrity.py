@@ -308,7 +308,7 @@ register("st_batch_load", W("site") + _SITE_SQL)(_q_stream)
 
 # ------------------------------------------------------------------ oracle for ld_batch
 def _ld_batch_sql() -> str:
-    from .queries_etl import FISH_ETL_SQL, RAW_SITE_CLEAN, _TS
+    from .queries_etl import FISH_ETL_SQL, _TS
     tables_sql = FISH_ETL_SQL + f"""
 , pr AS (SELECT key_aaa, key_aa, key_a, nullif(pit_type, 'Z') AS pit_type, nullif(pit_num, 'Z') AS pit_num,
     nullif(pit_recap, 'Z') AS pit_recap, nullif(pit_notes, 'Z') AS pit_notes FROM raw_pittag WHERE pit_num IS NOT NULL)

@@ -1,6 +1,5 @@
 """Three-valued rules (N1-N12), rounding, keys, geometry and properties."""
 
-import math
 
 from pyspark.sql import functions as F
 
