@@ -84,3 +84,30 @@ def snapshot_store(spark: SparkSession, root: str, dest: str, date: str, upload_
             continue
         df.write.mode("overwrite").parquet(f"{target}/{name}")
     return target
+
+
+# Join key of each store table for co-located (bucketed) layouts: children are bucketed
+# on their parent's key, so site -> water/fish and fish -> tags joins need no shuffle.
+BUCKET_KEYS = {"site": "site_id", "water_qual": "site_id", "fish": "site_id", "pittag": "fish_id",
+               "floytag": "fish_id", "vial": "fish_id"}
+
+
+def write_bucketed(tables: dict, database: str, buckets: int, mode: str = "append") -> list[str]:
+    """Save store tables as catalog tables bucketed and sorted on their join key.
+
+    For deployments with a persistent catalog: two tables bucketed the same way on the
+    join key are joined without an exchange on either side. ``buckets`` should keep a
+    bucket file near the target file size at full scale.
+    """
+    written = []
+    for name in LOAD_ORDER:
+        df = tables.get(name)
+        if df is None:
+            continue
+        w = df.write.mode(mode).format("parquet")
+        key = BUCKET_KEYS.get(name)
+        if key and key in df.columns:
+            w = w.bucketBy(buckets, key).sortBy(key)
+        w.saveAsTable(f"{database}.{name}")
+        written.append(f"{database}.{name}")
+    return written

@@ -13,6 +13,8 @@ from shoalkit.functions.geo import utm_xy
 from shoalkit.operators import keys
 from shoalkit.session import scratch_path
 
+from .conftest import SF_MID
+
 SETTINGS = dict(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -151,3 +153,20 @@ def test_empty_inputs(spark):
     assert histogram(empty, "t", width=5).count() == 0
     prof = {r.column: r for r in profile(empty).collect()}
     assert prof["t"].n == 0 and prof["t"].n_distinct == 0 and prof["t"].mode is None
+
+
+def test_bucketed_store_joins_without_exchange(spark):
+    from shoalkit.fixtures import tables
+    from shoalkit.sources.sinks import write_bucketed
+    t = tables(spark, SF_MID)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shoal_test")
+    write_bucketed({"site": t.site, "fish": t.fish}, "shoal_test", 8, mode="overwrite")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("shoal_test.fish").join(spark.table("shoal_test.site"), "site_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == t.fish.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
