@@ -86,3 +86,19 @@ def mdy_time(date_text: Column, time_text: Column, date_format: str = "M/d/yyyy"
 def mile_correction(col: Column, reach: Column, reaches=("DESO", "ECHO"), offset: float = 120) -> Column:
     """River-mile correction: ``x + offset`` where reach is listed, else ``x``."""
     return F.when(in_set(reach, reaches), col + F.lit(offset)).otherwise(col)
+
+
+def _wall_seconds(ts: Column) -> Column:
+    """Seconds since 1970-01-01 00:00 of a wall-clock (NTZ) time, read from its fields."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+            + F.extract(F.lit("SECOND"), ts).cast("double"))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """``end - start`` in seconds for TIMESTAMP_NTZ values, independent of any time zone.
+
+    ``timestamp_diff`` converts through the session time zone, so across a daylight
+    saving change it counts the shifted hour; wall-clock times must not.
+    """
+    return _wall_seconds(end) - _wall_seconds(start)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import REACH_BOUNDS_ROWS
 from ..functions.nulls import FLAG, any_flag, any_null, case_flag, flag, in_set, not_in_set
+from .clean import seconds_between
 from .joins import natural_join
 from .projection import column_range
 
@@ -55,7 +56,7 @@ def _in_reach(reach: Column, miles, bounds) -> Column:
 def site_rules(df: DataFrame, bounds=REACH_BOUNDS_ROWS, na_from: str = "s_index", na_to: str = "crew",
                start: str = "startdatetime", end: str = "enddatetime", version: int = 2):
     s, e = F.col("start_rmi"), F.col("end_rmi")
-    secs = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
+    secs = seconds_between(F.col(start), F.col(end))
     el = F.col("el_sec")
     rules = []
     if version == 2:
@@ -64,7 +65,7 @@ def site_rules(df: DataFrame, bounds=REACH_BOUNDS_ROWS, na_from: str = "s_index"
     else:
         rules.append(("rmi_flg", flag((s - e) > MAX_RMI_LENGTH)))
     rules += [
-        ("datetime_flg", flag((secs / 1_000_000) < el)),
+        ("datetime_flg", flag(secs < el)),
         ("el_sec_flg", flag((el > EL_SEC_MAX) | (el < EL_SEC_MIN))),
         ("NA_flg", flag(any_null(column_range(df, na_from, na_to)))),
     ]

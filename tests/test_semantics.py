@@ -169,3 +169,16 @@ def test_views_by_name_and_timezone_free_stamp(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert v == "2020-12-31 00:00:00"
+
+
+def test_wall_clock_seconds_ignore_time_zone(spark):
+    from shoalkit.operators.clean import seconds_between
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+        df = spark.createDataFrame([("2000-04-02 01:30:00", "2000-04-02 02:30:00"),
+                                    ("2000-10-29 00:59:30", "2000-10-29 03:00:00")], "a string, b string")
+        got = [r[0] for r in df.select(seconds_between(F.to_timestamp_ntz("a"), F.to_timestamp_ntz("b"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [3600.0, 7230.0]
