@@ -37,6 +37,8 @@ def W(*names: str) -> str:
     return with_prefix(*names)
 
 
-# import the query modules so they register themselves
-from . import (queries_core, queries_etl, queries_integrity, queries_products,  # noqa: E402,F401
-               queries_quality, queries_relational, queries_reports, queries_warehouse)
+def load_all():
+    """Import every query module (each registers its keys) and return the registries."""
+    from . import (queries_core, queries_etl, queries_integrity, queries_products,  # noqa: F401
+                   queries_quality, queries_relational, queries_reports, queries_warehouse)
+    return QUERIES, ORACLE

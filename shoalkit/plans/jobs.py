@@ -104,3 +104,64 @@ def release(spark: SparkSession, store_root: str, out: str, project: str, year:
     if daily is not None and stations is not None:
         named["usgswater"] = products.water_product(daily, stations, year, as_of=as_of)
     return write_release(named, out, project, year)
+
+
+def warehouse_export(spark: SparkSession, tables: dict, year: int, project: str, reach_bounds: DataFrame,
+                     reach_dim: DataFrame, out: str, as_of=None) -> dict:
+    """Normalised warehouse -> site and fish CSV products of one project-year."""
+    from ..sources.sinks import write_product
+    from . import warehouse as wh
+    site_p = wh.site_pointer(tables, year, project)
+    site = wh.wh_site(tables, year, project, reach_bounds, reach_dim, as_of)
+    fish = wh.wh_fish(wh.wh_rare(tables, site_p), wh.wh_untagged(tables, site_p))
+    return {"site": write_product(site, f"{out.rstrip('/')}/{project}_{year}_site_STR"),
+            "fish": write_product(fish, f"{out.rstrip('/')}/{project}_{year}_fish_STR")}
+
+
+def data_checks(site: DataFrame, fish: DataFrame, pit: DataFrame, floy: DataFrame, river: DataFrame,
+                reach: DataFrame, water: DataFrame, meta: DataFrame, species: DataFrame, year: int) -> dict:
+    """The quick-stats tables of one year: effort by reach and pass, mile and time
+    histograms by reach, fish and tag tables, tagged fish by species, SM lengths."""
+    from ..operators.distribution import bar_counts, histogram
+    site_y = site.filter(F.col("year") == year)
+    fish_y = fish.join(site_y.select("site_id"), "site_id", "inner")
+    site_p = products.site_pointer(site, river, reach, water, meta, [year])
+    site_tbl = products.site_product(site, river, reach, water, meta, [year])
+    fish_tbl = products.fish_product(fish, site_p, pit, species, with_site=True)
+    return {
+        "stats": effort.effort_stats(site_y, fish_y, ["SM"], ["reach", "pass"], catch_name="SM", species_col=None),
+        "start_rmi_hist": histogram(site_tbl, "start_rmi", width=5, by=["rch_code"]),
+        "end_rmi_hist": histogram(site_tbl, "end_rmi", width=5, by=["rch_code"]),
+        "start_time_hist": histogram(site_tbl.withColumn("t", F.unix_micros(F.col("startdatetime").cast("timestamp"))),
+                                     "t", bins=30, by=["rch_code"], per_group_range=True),
+        "fish_rmi_hist": histogram(fish_tbl, "rmi", bins=30),
+        "tagged_by_species": bar_counts(fish_tbl.filter(F.col("pit_num").isNotNull()), "spp_code"),
+        "sm_length_hist": histogram(fish_tbl.filter(F.col("spp_code") == "SM"), "tot_length", bins=30),
+        "tag_list": products.tag_list(fish_tbl),
+        "floy": products.floy_product(floy, fish_tbl.select("fish_id", "spp_code", "rmi", "rch_code")),
+    }
+
+
+def update_summary(site: DataFrame, fish: DataFrame, year: int, species: str = "SM") -> dict:
+    """The annual update tables: CPUE by pass/reach/species, one species by reach,
+    length statistics and length frequency by reach, map points."""
+    from ..operators.aggregate import length_stats
+    from ..operators.distribution import histogram
+    site_y = site.filter(F.col("year") == year)
+    fish_y = fish.join(site_y.select("site_id"), "site_id", "left_semi")
+    cpue_tbl = effort.cpue_by(site_y, fish_y)
+    lf = fish_y.join(site_y.select("site_id", "pass", "reach"), "site_id", "left").filter(F.col("species") == species)
+    return {
+        "cpue": cpue_tbl,
+        "cpue_reach": effort.cpue_rollup(cpue_tbl, species),
+        "length_stats": length_stats(lf, ["reach"], "tot_length", prefix="tl"),
+        "length_freq": histogram(lf, "tot_length", bins=30, by=["reach"]),
+        "map_points": products.map_points(fish_y, site_y, species),
+    }
+
+
+def codebook(spark: SparkSession, df: DataFrame, labels: dict | None = None) -> dict:
+    """Column profile and labels of a product (the codebook's tables)."""
+    from ..operators.profile import labels_table, profile, with_labels
+    labelled = with_labels(df, labels or {})
+    return {"profile": profile(labelled), "labels": labels_table(spark, labelled)}

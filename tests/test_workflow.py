@@ -86,3 +86,26 @@ def test_extract_proof_load_reload(spark, tmp_path):
     assert fish_cols[:4] == ["fish_id", "site_id", "datetime", "rmi"] and "pit_notes" in fish_cols
     n_site = spark.read.option("header", True).csv(out["site"]).count()
     assert n_site == site.filter(F.col("year") == years[0]).count()
+
+
+def test_report_jobs(spark):
+    from shoalkit.operators.profile import SITE_LABELS
+    from shoalkit.queries_products import fish_with_utm
+    from shoalkit.queries_warehouse import wh_tables
+    t = tables(spark, SF_SMALL)
+    fish = fish_with_utm(t.fish)
+    checks = jobs.data_checks(t.site, fish, t.pittag, t.floytag, t.tbl_river, t.tbl_reach, t.water_qual,
+                              t.meta, t.tbl_spp.select("spp_code", "com_name", "sci_name"), 1998)
+    for name, df in checks.items():
+        assert df.count() >= 0, name
+    assert checks["stats"].count() > 0
+    upd = jobs.update_summary(t.site, fish, 1998)
+    assert set(upd) == {"cpue", "cpue_reach", "length_stats", "length_freq", "map_points"}
+    assert upd["cpue"].count() > 0 and upd["map_points"].count() > 0
+    book = jobs.codebook(spark, t.site, SITE_LABELS)
+    assert book["profile"].count() == len(t.site.columns)
+    assert {r.column: r.description for r in book["labels"].collect()}["el_sec"] == "Sampling effort"
+    bounds = t.reach_bounds.join(t.tbl_reach.select("rch_code", "rvr_code"), "rch_code")
+    out = jobs.warehouse_export(spark, wh_tables(t), 1998, "123d", bounds, t.tbl_reach,
+                                scratch_path(spark, "wh-export"))
+    assert spark.read.option("header", True).csv(out["fish"]).count() > 0
