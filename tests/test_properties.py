@@ -159,12 +159,14 @@ def test_bucketed_store_joins_without_exchange(spark):
     from shoalkit.fixtures import tables
     from shoalkit.sources.sinks import write_bucketed
     t = tables(spark, SF_MID)
-    spark.sql("CREATE DATABASE IF NOT EXISTS shoal_test")
-    write_bucketed({"site": t.site, "fish": t.fish}, "shoal_test", 8, mode="overwrite")
+    import uuid
+    db = f"shoal_test_{uuid.uuid4().hex[:8]}"  # the in-memory catalog forgets tables, not folders
+    spark.sql(f"CREATE DATABASE {db}")
+    write_bucketed({"site": t.site, "fish": t.fish}, db, 8, mode="overwrite")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        j = spark.table("shoal_test.fish").join(spark.table("shoal_test.site"), "site_id")
+        j = spark.table(f"{db}.fish").join(spark.table(f"{db}.site"), "site_id")
         plan = j._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         assert j.count() == t.fish.count()
