@@ -132,3 +132,12 @@ def meta_rows(raw_site: DataFrame, principal_fname: str, principal_lname: str, a
                     F.lit(principal_lname).alias("principal_lname"), F.lit(agency).alias("agency"),
                     F.lit(data_type).alias("data_type"))
 
+
+
+def meta_row(spark, project_code: str, year: int, principal_fname: str, principal_lname: str,
+             agency: str, data_type: str) -> DataFrame:
+    """The one configured meta row of a batch (when the batch is not read from captures)."""
+    return spark.createDataFrame(
+        [(project_code, int(year), principal_fname, principal_lname, agency, data_type)],
+        "project_code string, year int, principal_fname string, principal_lname string, agency string, "
+        "data_type string")

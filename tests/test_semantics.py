@@ -153,6 +153,9 @@ def test_dbf_round_trip_and_families(spark, tmp_path):
     both = read_dbf(spark, str(tmp_path))
     assert both.count() == 5100
     assert "h2o_notes" in both.columns and "species" in both.columns
+    named = spark.read.format("dbf").option("path", str(tmp_path)).option("includeTable", "true").load()
+    assert {r._table: r.n for r in named.groupBy("_table").agg(F.count("*").alias("n")).collect()} == \
+        {"fish": 5000, "water": 100}
 
 
 def test_views_by_name_and_timezone_free_stamp(spark):
