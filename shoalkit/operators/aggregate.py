@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.nulls import r_round, strict_mean
 
 # Largest number of distinct right-hand combinations ``complete`` ships to the
-# executors as a literal list. Above it, the grid is built with a chunked equi-join.
-MAX_LITERAL_VALUES = 50_000
+# executors as a literal list (one expression node each). Above it the values travel
+# as a broadcast table of chunks (up to MAX_BROADCAST_VALUES values in total).
+MAX_LITERAL_VALUES = 1_000
+MAX_BROADCAST_VALUES = 5_000_000
 _CHUNK = 10_000
 
 
@@ -89,14 +91,15 @@ def _struct_literal(row, cols, types) -> Column:
 
 
 def expand_grid(left: DataFrame, right_values: DataFrame, right_cols,
-                values=None, bound: int = MAX_LITERAL_VALUES) -> DataFrame:
+                values=None, bound: int = MAX_LITERAL_VALUES, chunk: int = _CHUNK) -> DataFrame:
     """Every row of ``left`` paired with every distinct combination of ``right_cols``.
 
     This is ``tidyr::complete``'s grid. The right-hand set is a domain (species, life
     stages), so it is counted first: up to ``bound`` values it travels as a literal
     array that each left row explodes (no shuffle, no join). Above the bound the right
-    set is split into chunks of ``_CHUNK`` values, each left row is repeated once per
-    chunk, and the pairs come from an equi-join on the chunk number.
+    set is split into chunks of ``chunk`` values, each left row is repeated once per
+    chunk, and the pairs come from an equi-join on the chunk number (the chunk table is
+    broadcast when the value count is within ``MAX_BROADCAST_VALUES``).
     """
     right_cols = list(right_cols)
     types = {f.name: f.dataType for f in right_values.schema.fields if f.name in right_cols}
@@ -108,13 +111,17 @@ def expand_grid(left: DataFrame, right_values: DataFrame, right_cols,
         return (left.withColumn("_grid", F.explode(arr))
                 .select(*[F.col(c) for c in left.columns],
                         *[F.col(f"_grid.{c}").alias(c) for c in right_cols]))
-    # chunked path for a large right-hand set
+    # chunked path for a large right-hand set: K chunk rows, each left row repeated K
+    # times and paired with its chunk through an equi-join on the chunk number
     distinct_right = right_values.select(*right_cols).distinct()
-    n_chunks = max(1, -(-distinct_right.count() // _CHUNK))
+    n_values = distinct_right.count()
+    n_chunks = max(1, -(-n_values // chunk))
     chunks = (distinct_right
               .withColumn("_chunk", F.pmod(F.xxhash64(*right_cols), F.lit(n_chunks)))
               .groupBy("_chunk")
               .agg(F.collect_list(F.struct(*right_cols)).alias("_vals")))
+    if n_values <= MAX_BROADCAST_VALUES:
+        chunks = F.broadcast(chunks)  # size checked above: n_values values in n_chunks rows
     reps = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)).cast("array<bigint>")))
     return (reps.join(chunks, "_chunk")
             .withColumn("_grid", F.explode("_vals"))

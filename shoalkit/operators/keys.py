@@ -66,9 +66,11 @@ def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
     for p in range(n_parts):
         offsets.append(acc)
         acc += counts.get(p, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int"))
-    idx = off + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)
-    return ranged.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
+    # one (partition, offset) row per partition: bounded by the partition count
+    off = spark.createDataFrame(list(enumerate(offsets)), "_pid long, _off long")
+    out = ranged.join(F.broadcast(off), pid == F.col("_pid"))
+    idx = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)
+    return out.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
 
 
 def build_key(parts, number, width: int = 3, sep: str = "_") -> Column:

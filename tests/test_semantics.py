@@ -106,9 +106,10 @@ def test_complete_grid_and_total(spark):
 def test_expand_grid_chunked_path(spark):
     left = spark.createDataFrame([(i,) for i in range(5)], "a int")
     right = spark.createDataFrame([(j,) for j in range(40)], "b int")
-    out = agg.expand_grid(left, right, ["b"], bound=10)
-    assert out.count() == 200
-    assert out.distinct().count() == 200
+    for chunk in (10_000, 7):  # one chunk, and several
+        out = agg.expand_grid(left, right, ["b"], bound=10, chunk=chunk)
+        assert out.count() == 200
+        assert out.distinct().count() == 200
 
 
 def test_rare_and_untagged_split_the_fish(spark):
