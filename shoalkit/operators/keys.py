@@ -5,9 +5,9 @@ task. ``global_index`` instead range-partitions on the full sort key (Spark samp
 the composite key, so a timestamp shared by a third of the rows is still split by the
 tie-break), sorts inside partitions, tags each row with its partition and position,
 seals that layout with a reliable checkpoint in the shared checkpoint folder (or,
-with ``reliable=False``, a persist), counts rows per partition (one number per partition reaches the
-driver: bounded by the partition count, not by the data) and adds each partition's
-offset from a literal array.
+with ``reliable=False``, a persist), counts rows per partition (one number per
+partition reaches the driver: bounded by the partition count, not by the data) and
+adds each partition's offset through a broadcast of one row per partition.
 
 Why the layout must be kept: the counts and the numbering are two jobs, and a range
 exchange planned twice samples its bounds twice. The checkpoint gives both one
@@ -40,8 +40,8 @@ def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
     """Gap-free 1..n (from ``start``) in ``order``; ties must be broken by ``order``.
 
     The result does not depend on the partition count. Columns: ``df``'s plus ``name``.
-    One action runs here: the per-partition row counts (one number per partition),
-    which also materializes the kept layout exactly once.
+    Actions run here: the checkpoint write (or, persisted, the first pass) and the
+    per-partition row counts (one number per partition).
     """
     spark = df.sparkSession
     cols = [_order(c) for c in order]

@@ -40,9 +40,11 @@ def _site_item_counts(sites: DataFrame, items: DataFrame, item: str, out_item: s
     """
     counts = (items.filter(F.col(item).isNotNull())
               .groupBy("site_id", item).agg(F.count(F.lit(1)).alias("_n"))
-              .join(sites.select("site_id"), "site_id", "left_semi")
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .join(sites.select("site_id"), "site_id", "left_semi"))
     if values is None:
+        # the seen items are read off the counts, which the grid then uses again: keep
+        # them (they are far smaller than the fish) instead of aggregating the fish twice
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
         values = _literal_rows(counts, [item], bound)
     per_site = (counts.groupBy("site_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct(item, "_n"))).alias("_m")))
