@@ -121,13 +121,14 @@ def null_safe_eq(a: Column, b: Column) -> Column:
 
 
 def r_round(c, digits: int = 0) -> Column:
-    """R's ``round(x, digits)`` on doubles.
-
-    Spark's ``round`` rounds the shortest decimal text of a double half-up, so a value
-    printed as 1.005 (stored as 1.00499999...) goes up, and an exact tie such as 0.125
-    goes up too. R rounds the stored value and sends exact ties to even (0.12; and
-    ``round(2.5)`` is 2). Scaling by 10^digits and rounding half-even reproduces that;
-    SQL engines spell it ``round_even``. The result is a DOUBLE.
+    """R's ``round(x, digits)`` on doubles, as half-even rounding of ``x * 10^digits``.
+
+    Spark's ``round`` rounds the shortest decimal text of a double half-up: 1.005
+    (stored as 1.00499...) goes up and an exact tie such as 0.125 goes up. R rounds the
+    stored value and sends exact ties to even (``round(0.125, 2)`` is 0.12,
+    ``round(2.5)`` is 2). Scaling, rounding half-even and scaling back reproduces that;
+    SQL engines spell it ``round_even``. When the scaled product itself lands on a .5
+    (174.255 * 100) the tie rule decides, as in SQL. The result is a DOUBLE.
     """
     scale = float(10 ** digits)
     x = _c(c).cast("double")
