@@ -172,3 +172,17 @@ def test_bucketed_store_joins_without_exchange(spark):
         assert j.count() == t.fish.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["X", "Y", None]),
+                          st.integers(1, 9)), min_size=1, max_size=25,
+                unique_by=lambda r: (r[0], r[1])))
+def test_complete_matches_model(spark, rows):
+    from shoalkit.operators.aggregate import complete
+    df = spark.createDataFrame(rows, "l string, r string, n long")
+    key = lambda t: tuple((v is None, "" if v is None else v) for v in t)
+    got = sorted(((x.l, x.r, x.n) for x in complete(df, ["l"], ["r"], fill={"n": 0}).collect()), key=key)
+    have = {(r[0], r[1]): r[2] for r in rows}
+    want = [(a, b, have.get((a, b), 0)) for a in {r[0] for r in rows} for b in {r[1] for r in rows}]
+    assert got == sorted(want, key=key)
