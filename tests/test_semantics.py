@@ -186,3 +186,10 @@ def test_wall_clock_seconds_ignore_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [3600.0, 7230.0]
+
+
+def test_histogram_keeps_null_facet(spark):
+    from shoalkit.operators.distribution import histogram
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 4.0), ("b", None)], "g string, x double")
+    got = {(r.g, r.bin): r.n for r in histogram(df, "x", bins=2, by=["g"], per_group_range=True).collect()}
+    assert got == {("a", 0): 1, ("a", 1): 1, (None, 0): 1, (None, 1): 1}
