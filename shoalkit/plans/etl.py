@@ -1,7 +1,8 @@
 """ETL: raw capture tables -> keyed, cleaned site/water/fish/tag/vial tables.
 
 Shape at scale: each raw family is one lazy union; the site key map is derived once
-and joined (by ``key_a``) into every child table; the three row indexes use
+and joined (by ``key_a``) into every child table -- NULL-safely, as the local frames
+of the reference matched NA to NA; the three row indexes use
 ``global_index`` (range partitioning + per-partition offsets, never one task); the
 per-(site, mile) mean point is an aggregate joined back, so a hot site is reduced
 map-side and a skewed join side is split by AQE.
@@ -58,7 +59,7 @@ def key_map(site: DataFrame) -> DataFrame:
 
 def build_water(raw: DataFrame, samp_n: DataFrame) -> DataFrame:
     w = sentinel_to_null(zero_to_null(raw, WATER_ZERO))
-    w = w.join(samp_n, "key_a", "left")
+    w = keyed_join(w, samp_n, {"key_a": "key_a"}, "left", null_safe=True)
     # rows come out unordered; the sink sorts by site time if a file needs it
     return w.select(F.col("key_ab").alias("water_id"), "site_id", "cond_amb", "cond_spec", "rvr_temp",
                     "secchi", F.col("h2o_notes").alias("water_notes"), "key_a")
@@ -79,7 +80,7 @@ def build_fish(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
     R join did). Every point group comes from the fish, so the reference's full join
     keeps exactly the fish rows: it is written as the equivalent left join.
     """
-    f = clean_fish(raw, native).join(samp_n, "key_a", "left")
+    f = keyed_join(clean_fish(raw, native), samp_n, {"key_a": "key_a"}, "left", null_safe=True)
     f = f.withColumn("datetime", date_time(F.to_date("t_stamp"), F.col("time")))
     f = global_index(f, ["datetime", "key_aa"], "f_index")
     f = _rmi_corrected(f)
@@ -103,10 +104,10 @@ def build_tags(raw: DataFrame, samp_n: DataFrame, fish: DataFrame, kind: str = "
     t = sentinel_to_null(t)
     if kind != "pit":
         t = t.drop("floy_id")
-    t = t.join(samp_n.select("key_a", "site_id"), "key_a", "left")
+    t = keyed_join(t, samp_n.select("key_a", "site_id"), {"key_a": "key_a"}, "left", null_safe=True)
     idk = "key_aaa" if kind == "pit" else "key_aab"
     t = t.withColumnRenamed(idk, f"{kind}_id").withColumnRenamed("key_aa", "fish_id")
-    t = t.join(fish.select("fish_id", "datetime", "species"), "fish_id", "left")
+    t = keyed_join(t, fish.select("fish_id", "datetime", "species"), {"fish_id": "fish_id"}, "left", null_safe=True)
     idx = "p_index" if kind == "pit" else "fl_index"
     t = global_index(t, ["datetime", f"{kind}_id"], idx)
     if kind == "pit":

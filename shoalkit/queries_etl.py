@@ -50,7 +50,7 @@ FISH_ETL_SQL = SITE_ETL_SQL + f"""
     nullif(ilon, 0) AS ilon, nullif(ilat, 0) AS ilat FROM raw_fish)
 , fj AS (SELECT fr.*, k.site_id, k.reach,
     try_strptime(strftime(k.t_stamp, '%Y-%m-%d') || ' ' || fr.time, '%Y-%m-%d %H:%M:%S') AS datetime
-  FROM fr LEFT JOIN km k ON fr.key_a = k.key_a)
+  FROM fr LEFT JOIN km k ON fr.key_a IS NOT DISTINCT FROM k.key_a)
 , f1 AS (SELECT row_number() OVER (ORDER BY datetime ASC NULLS LAST, key_aa) AS f_index, key_aa AS fish_id, site_id, reach,
     CASE WHEN reach IN ('DESO', 'ECHO') THEN rmi + 120 ELSE rmi END AS rmi, datetime, species, tot_length, weight,
     sex, rep_cond, tubercles, ray_ct, disp, fish_notes, key_a, ilon, ilat FROM fj)
@@ -81,7 +81,7 @@ register("dp_water_etl", W("raw_site", "tbl_reach", "raw_water") + SITE_ETL_SQL
 , wr AS (SELECT key_ab, key_a, nullif(cond_amb, 0) AS cond_amb, nullif(cond_spec, 0) AS cond_spec,
     nullif(rvr_temp, 0) AS rvr_temp, nullif(secchi, 0) AS secchi, nullif(h2o_notes, 'Z') AS h2o_notes FROM raw_water)
 SELECT wr.key_ab AS water_id, k.site_id, cond_amb, cond_spec, rvr_temp, secchi, h2o_notes AS water_notes, wr.key_a
-FROM wr LEFT JOIN km k ON wr.key_a = k.key_a""")(
+FROM wr LEFT JOIN km k ON wr.key_a IS NOT DISTINCT FROM k.key_a""")(
     lambda spark, d: etl.build_water(T(spark, d).raw_water, etl.key_map(_site(T(spark, d)))))
 
 register("dp_fish_etl", W("raw_site", "tbl_reach", "raw_fish") + FISH_ETL_SQL + "\nSELECT * FROM fe")(
@@ -103,7 +103,8 @@ register("dp_pit_etl", W("raw_site", "tbl_reach", "raw_fish", "raw_pittag") + FI
     nullif(pit_recap, 'Z') AS pit_recap, nullif(pit_notes, 'Z') AS pit_notes FROM raw_pittag WHERE pit_num IS NOT NULL)
 , pj AS (SELECT pr.key_aaa AS pit_id, pr.key_aa AS fish_id, k.site_id, f.species, pr.pit_type, upper(pr.pit_num) AS pit_num,
     pr.pit_recap, pr.pit_notes, pr.key_a, f.datetime
-  FROM pr LEFT JOIN km k ON pr.key_a = k.key_a LEFT JOIN fe f ON pr.key_aa = f.fish_id)
+  FROM pr LEFT JOIN km k ON pr.key_a IS NOT DISTINCT FROM k.key_a
+  LEFT JOIN fe f ON pr.key_aa IS NOT DISTINCT FROM f.fish_id)
 SELECT row_number() OVER (ORDER BY datetime ASC NULLS LAST, pit_id) AS p_index, pit_id, fish_id, site_id, species,
   pit_type, pit_num, pit_recap, pit_notes, key_a FROM pj""")(_q_tags("pit"))
 
@@ -112,7 +113,8 @@ register("dp_floy_etl", W("raw_site", "tbl_reach", "raw_fish", "raw_floytag") +
     nullif(floy_recap, 'Z') AS floy_recap, nullif(floy_notes, 'Z') AS floy_notes FROM raw_floytag WHERE floy_num IS NOT NULL)
 , fj2 AS (SELECT fl.key_aab AS floy_id, fl.key_aa AS fish_id, k.site_id, f.species, fl.floy_color, fl.floy_num,
     fl.floy_recap, fl.floy_notes, f.datetime
-  FROM fl LEFT JOIN km k ON fl.key_a = k.key_a LEFT JOIN fe f ON fl.key_aa = f.fish_id)
+  FROM fl LEFT JOIN km k ON fl.key_a IS NOT DISTINCT FROM k.key_a
+  LEFT JOIN fe f ON fl.key_aa IS NOT DISTINCT FROM f.fish_id)
 SELECT row_number() OVER (ORDER BY datetime ASC NULLS LAST, floy_id) AS fl_index, floy_id, fish_id, site_id, species,
   floy_color, floy_num, floy_recap, floy_notes FROM fj2""")(_q_tags("floy"))
 

@@ -317,7 +317,8 @@ def _ld_batch_sql() -> str:
 , fl AS (SELECT key_aab, key_aa, nullif(floy_color, 'Z') AS floy_color, nullif(floy_num, 'Z') AS floy_num,
     nullif(floy_recap, 'Z') AS floy_recap, nullif(floy_notes, 'Z') AS floy_notes FROM raw_floytag WHERE floy_num IS NOT NULL)
 , floytag_b AS (SELECT key_aab AS floy_id, key_aa AS fish_id, floy_color, floy_num, floy_recap, floy_notes FROM fl)
-, water_qual_b AS (SELECT w.key_ab AS water_id, k.site_id FROM raw_water w LEFT JOIN km k ON w.key_a = k.key_a)
+, water_qual_b AS (SELECT w.key_ab AS water_id, k.site_id FROM raw_water w
+    LEFT JOIN km k ON w.key_a IS NOT DISTINCT FROM k.key_a)
 , site_b AS (SELECT site_id, project AS project_code, year, river, reach, pass, startdatetime, enddatetime, start_rmi,
     end_rmi, shoreline, el_sec, boat, crew, site_notes, 1 AS upload_id FROM se)
 , fish_b AS (SELECT fish_id, site_id, rmi, datetime, species, tot_length, weight, sex, rep_cond, tubercles, ray_ct, disp,
