@@ -72,27 +72,35 @@ def clean_fish(raw: DataFrame, native=NATIVE) -> DataFrame:
     return change_case(f, upper=["rep_cond"])
 
 
-def build_fish(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
-    """Fish with site keys, datetime, index, corrected mile and the UTM mean point.
-
-    The mean point is per (site_id, mile) over fish with a position; it joins back
-    NULL-safely (a fish with no site or mile matches its own group, as the local
-    R join did). Every point group comes from the fish, so the reference's full join
-    keeps exactly the fish rows: it is written as the equivalent left join.
-    """
+def fish_rows(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
+    """Cleaned fish with site keys, datetime, index and corrected mile (no points yet)."""
     f = keyed_join(clean_fish(raw, native), samp_n, {"key_a": "key_a"}, "left", null_safe=True)
     f = f.withColumn("datetime", date_time(F.to_date("t_stamp"), F.col("time")))
     f = global_index(f, ["datetime", "key_aa"], "f_index")
     f = _rmi_corrected(f)
-    f1 = f.select("f_index", F.col("key_aa").alias("fish_id"), "site_id", "reach", "rmi", "datetime", "species",
-                  "tot_length", "weight", "sex", "rep_cond", "tubercles", "ray_ct", "disp", "fish_notes", "key_a",
-                  "ilon", "ilat")
+    return f.select("f_index", F.col("key_aa").alias("fish_id"), "site_id", "reach", "rmi", "datetime", "species",
+                    "tot_length", "weight", "sex", "rep_cond", "tubercles", "ray_ct", "disp", "fish_notes", "key_a",
+                    "ilon", "ilat")
+
+
+def add_points(f1: DataFrame) -> DataFrame:
+    """The UTM mean point per (site_id, mile) over fish with a position, joined back.
+
+    It joins NULL-safely (a fish with no site or mile matches its own group, as the
+    local R join did). Every point group comes from the fish, so the reference's full
+    join keeps exactly the fish rows: it is written as the equivalent left join.
+    """
     pts = mean_point(f1, ["site_id", "rmi"], "ilon", "ilat")
     x, y = utm_xy("ilon", "ilat")
     pts = pts.select("site_id", "rmi", x.alias("loc_x"), y.alias("loc_y"), F.lit(EPSG_UTM12N).alias("epsg"))
     return keyed_join(f1, pts, {"site_id": "site_id", "rmi": "rmi"}, "left", null_safe=True).drop("ilat", "ilon")
 
 
+def build_fish(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
+    """Fish with site keys, datetime, index, corrected mile and the UTM mean point."""
+    return add_points(fish_rows(raw, samp_n, native))
+
+
 def build_tags(raw: DataFrame, samp_n: DataFrame, fish: DataFrame, kind: str = "pit") -> DataFrame:
     """PIT or Floy tags with site key, fish species and time, index and upper-case number.
 
