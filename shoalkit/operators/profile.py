@@ -16,12 +16,16 @@ from pyspark.sql import types as T
 _ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, approx: bool = False, quantiles=None, accuracy: int = 10_000) -> DataFrame:
     """One row per column: type, n (rows), n_missing, n_distinct, min, max, mode.
 
     min/max are taken in the column's own type and shown as text; the mode is the most
     frequent non-NULL value (ties: the smallest text). ``approx=True`` swaps the exact
     distinct count for HyperLogLog and skips the mode (one pass, no value table).
+    ``quantiles`` (e.g. ``(0.25, 0.5, 0.75)``) adds ``q<pct>`` text columns for numeric
+    columns from ``percentile_approx`` in the same pass: a fixed-size sketch per column
+    (rank error about 1/``accuracy``), where exact quantiles would need a sort of every
+    column or every value of a column in one task.
     """
     fields = df.schema.fields
     names = [f.name for f in fields]
@@ -34,12 +38,18 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
         aggs.append((F.max(c) if ordered else F.lit(None)).cast("string").alias(f"hi{i}"))
         if approx:
             aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
+        for j, q in enumerate(quantiles or ()):
+            numeric = isinstance(f.dataType, T.NumericType)
+            aggs.append((F.percentile_approx(c, float(q), accuracy) if numeric else F.lit(None))
+                        .cast("string").alias(f"q{i}_{j}"))
     one = df.agg(*aggs)
+    qnames = [f"q{int(round(q * 100))}" for q in (quantiles or ())]
     rows = F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), F.lit(fields[i].dataType.simpleString()).alias("type"),
                  F.col("_rows").alias("n"), F.col(f"m{i}").alias("n_missing"),
                  (F.col(f"d{i}") if approx else F.lit(None).cast("long")).alias("_d"),
-                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+                 F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
+                 *[F.col(f"q{i}_{j}").alias(qn) for j, qn in enumerate(qnames)])
         for i, n in enumerate(names)]))
     base = one.select(rows.alias("r")).select("r.*")
     if approx:
@@ -56,7 +66,7 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     return (base.drop("_d").join(F.broadcast(per_col.drop("_top")), "column", "left")
             .join(F.broadcast(mode), "column", "left")
             .select("column", "type", "n", "n_missing", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-                    "min", "max", "mode"))
+                    "min", "max", "mode", *qnames))
 
 
 def with_labels(df: DataFrame, labels: dict) -> DataFrame:

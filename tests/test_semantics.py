@@ -193,3 +193,18 @@ def test_histogram_keeps_null_facet(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 4.0), ("b", None)], "g string, x double")
     got = {(r.g, r.bin): r.n for r in histogram(df, "x", bins=2, by=["g"], per_group_range=True).collect()}
     assert got == {("a", 0): 1, ("a", 1): 1, (None, 0): 1, (None, 1): 1}
+
+
+def test_profile_quantiles_within_rank_tolerance(spark):
+    import numpy as np
+    from shoalkit.fixtures import tables
+    from shoalkit.operators.profile import profile
+    site = tables(spark, SF_MID).site.select("el_sec", "start_rmi", "crew")
+    prof = {r.column: r for r in profile(site, quantiles=(0.25, 0.5, 0.75)).collect()}
+    vals = np.sort(np.array([r[0] for r in site.select("el_sec").collect() if r[0] is not None]))
+    n = len(vals)
+    for q, col in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+        got = float(getattr(prof["el_sec"], col))
+        rank = np.searchsorted(vals, got, side="right") / n
+        assert abs(rank - q) < 0.01, (q, got, rank)
+    assert prof["crew"].q50 is None
