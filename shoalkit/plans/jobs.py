@@ -164,4 +164,4 @@ def codebook(spark: SparkSession, df: DataFrame, labels: dict | None = None) ->
     """Column profile and labels of a product (the codebook's tables)."""
     from ..operators.profile import labels_table, profile, with_labels
     labelled = with_labels(df, labels or {})
-    return {"profile": profile(labelled), "labels": labels_table(spark, labelled)}
+    return {"profile": profile(labelled, quantiles=(0.25, 0.5, 0.75)), "labels": labels_table(spark, labelled)}
