@@ -294,10 +294,14 @@ def write_dbf(df, folder: str, table: str, prefix: str = "part", encoding: str =
     def write_part(batches):
         import pandas as pd
         from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid = ctx.partitionId()
         path = os.path.join(folder, f"{prefix}-{pid:05d}+{table}.dbf")
+        # each attempt writes its own file and renames it into place at the end, so a
+        # retried or speculative attempt never interleaves with another (last one wins)
+        tmp = f"{path}.{ctx.taskAttemptId()}.tmp"
         total = 0
-        with open(path, "w+b") as fh:
+        with open(tmp, "w+b") as fh:
             fh.write(_header(0, specs))
             for pdf in batches:  # streamed batch by batch; the count is patched at the end
                 pdf = pdf.astype(object).where(pdf.notna(), None)
@@ -306,6 +310,7 @@ def write_dbf(df, folder: str, table: str, prefix: str = "part", encoding: str =
             fh.write(b"\x1A")
             fh.seek(4)
             fh.write(struct.pack("<I", total))
+        os.replace(tmp, path)
         yield pd.DataFrame({"path": [path], "rows": [total]})
 
     df.mapInPandas(write_part, "path string, rows long").collect()
