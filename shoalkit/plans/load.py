@@ -9,6 +9,7 @@ exists, parents before children.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,11 +96,17 @@ def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True
     """
     store = read_store_tables(spark, root)
     upload_id = next_upload_id(store.get("site"))
-    batch = strip_batch(proofed, upload_id)
-    # the report is small and is both the load decision and the return value
-    violations = validate_batch(spark, batch, store).persist()
+    # each batch table feeds about ten checks and then the append: compute it once
+    batch = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in strip_batch(proofed, upload_id).items()}
+    # the report is both the load decision and the return value: seal it (checkpoint)
+    # so that releasing the batch tables below does not send it back to recompute
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    violations = validate_batch(spark, batch, store).checkpoint(eager=True)
     blocked = violations.filter(F.col("severity") == "error").limit(1).count() > 0
     written = []
     if write and not blocked:
         written = append_batch(batch, root)
+    for df in batch.values():
+        df.unpersist()
     return violations, written
