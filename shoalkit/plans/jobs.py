@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as qc
 from ..operators.aggregate import next_number
-from ..operators.integrity import LOAD_ORDER, conform
+from ..operators.integrity import LOAD_ORDER
 from ..session import ensure_checkpoint_dir
 from ..sources.dbf import read_dbf
 from ..sources.files import read_bundle_sheet
@@ -70,18 +70,10 @@ def load(spark: SparkSession, bundle: str, store_root: str, archive_root: str |
          date: str | None = None):
     """Proofed bundle -> store. Returns ``(violations, written_tables, snapshot_path)``."""
     proofed = {table: read_bundle_sheet(spark, bundle, sheet) for sheet, table in SHEETS.items()}
-    store = loader.read_store_tables(spark, store_root)
-    upload_id = loader.next_upload_id(store.get("site"))
-    proofed["meta"] = loader.assign_meta_ids(proofed["meta"], store.get("meta"))
-    batch = {t: conform(df, t) for t, df in loader.strip_batch(proofed, upload_id).items()}
-    violations = loader.validate_batch(spark, batch, store).persist()
-    blocked = violations.filter(F.col("severity") == "error").limit(1).count() > 0
-    if blocked:
-        return violations, [], None
-    from ..sources.sinks import append_batch
-    written = append_batch(batch, store_root)
+    violations, written, upload_id = loader.load_batch(spark, proofed, store_root, conform_tables=True,
+                                                       number_meta=True)
     snap = None
-    if archive_root:
+    if written and archive_root:
         snap = snapshot_store(spark, store_root, archive_root, date or _dt.date.today().strftime("%Y%m%d"),
                               upload_id, LOAD_ORDER)
     return violations, written, snap

@@ -88,16 +88,26 @@ def validate_batch(spark: SparkSession, batch: dict, store: dict) -> DataFrame:
     return union_all(checks)
 
 
-def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True):
+def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True,
+               conform_tables: bool = False, number_meta: bool = False):
     """Validate the whole batch, then append it in foreign-key order.
 
-    Returns ``(violations, written_tables)``. Nothing is written when any violation has
-    severity "error".
+    ``number_meta`` gives new meta rows ids after the stored ones; ``conform_tables``
+    casts every table to the store schema (columns in order, others dropped). Returns
+    ``(violations, written_tables, upload_id)``. Nothing is written when any violation
+    has severity "error".
     """
+    from ..operators.integrity import conform
     store = read_store_tables(spark, root)
     upload_id = next_upload_id(store.get("site"))
+    proofed = dict(proofed)
+    if number_meta and "meta" in proofed:
+        proofed["meta"] = assign_meta_ids(proofed["meta"], store.get("meta"))
+    stripped = strip_batch(proofed, upload_id)
+    if conform_tables:
+        stripped = {t: conform(df, t) for t, df in stripped.items()}
     # each batch table feeds about ten checks and then the append: compute it once
-    batch = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in strip_batch(proofed, upload_id).items()}
+    batch = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in stripped.items()}
     # the report is both the load decision and the return value: seal it (checkpoint)
     # so that releasing the batch tables below does not send it back to recompute
     from ..session import ensure_checkpoint_dir
@@ -109,4 +119,4 @@ def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True
         written = append_batch(batch, root)
     for df in batch.values():
         df.unpersist()
-    return violations, written
+    return violations, written, upload_id

@@ -169,7 +169,7 @@ def proofed_batch(t):
 
 
 def _q_batch(spark, d):
-    violations, _ = load.load_batch(spark, proofed_batch(T(spark, d)), scratch_path(spark, "store"))
+    violations, _, _ = load.load_batch(spark, proofed_batch(T(spark, d)), scratch_path(spark, "store"))
     return violations
 
 

@@ -51,11 +51,11 @@ def test_load_is_all_or_nothing(spark):
     good = _site(spark, [("a", "abc", 2020, "GR", "LGR", 1.0, 0.5, "R", 1200, 1)]).drop("upload_id")
     good = good.withColumn("startdatetime", F.to_timestamp_ntz(F.lit("2020-07-01 08:00:00"))) \
                .withColumn("enddatetime", F.to_timestamp_ntz(F.lit("2020-07-01 09:00:00")))
-    v, written = load.load_batch(spark, {"meta": meta, "site": good}, root)
+    v, written, _ = load.load_batch(spark, {"meta": meta, "site": good}, root)
     assert written == ["meta", "site"]
     assert spark.read.parquet(f"{root}/site").first().upload_id == 1
     # the same keys again clash with the store: nothing is written
-    v2, written2 = load.load_batch(spark, {"meta": meta, "site": good}, root)
+    v2, written2, _ = load.load_batch(spark, {"meta": meta, "site": good}, root)
     assert written2 == []
     assert v2.filter(F.col("rule") == "primary_key_store").count() >= 1
     assert spark.read.parquet(f"{root}/site").count() == 1
