@@ -60,12 +60,18 @@ SELECT * FROM q WHERE rmi_length_flg = 'FLAG' OR rmi_flg = 'FLAG' OR datetime_fl
     lambda spark, d: qc.flagged_only(qc.site_qc(site_input(T(spark, d)))))
 
 # ------------------------------------------------------------ fish rules
-def _q_fish(spark, d):
-    t = T(spark, d)
+def _fish_inputs(t):
+    """Site keys with every 97th site removed (their fish become orphans) and the fish
+    with the reach of their site."""
     sf = t.site.filter(F.col("key_a") % 97 != 0)
     site = sf.select(F.col("key_a").alias("s_index"), "site_id", "key_a")
     fish = (t.fish.join(sf.select("site_id", "reach"), "site_id", "left")
             .select("fish_id", "site_id", "key_a", "reach", "rmi", "species", "tot_length", "weight", "disp"))
+    return site, fish
+
+
+def _q_fish(spark, d):
+    site, fish = _fish_inputs(T(spark, d))
     return qc.fish_qc(fish, site)
 
 
@@ -127,14 +133,6 @@ SELECT fish_id, (species IS NULL OR tot_length IS NULL OR weight IS NULL OR sex
 
 
 # ------------------------------------------------------------ v1 rule set, flagged rows only
-def _fish_inputs(t):
-    sf = t.site.filter(F.col("key_a") % 97 != 0)
-    site = sf.select(F.col("key_a").alias("s_index"), "site_id", "key_a")
-    fish = (t.fish.join(sf.select("site_id", "reach"), "site_id", "left")
-            .select("fish_id", "site_id", "key_a", "reach", "rmi", "species", "tot_length", "weight", "disp"))
-    return site, fish
-
-
 def _q_v1(spark, d):
     t = T(spark, d)
     site_keys, fish = _fish_inputs(t)
