@@ -87,3 +87,28 @@ register("dp_wh_fish", W(*_SP_TABLES, *_FISH_TABLES) + _SP_SQL + _NTF_SQL + _RAR
 , u AS (SELECT * FROM r UNION ALL BY NAME SELECT * FROM n)
 SELECT * EXCLUDE (floy_recap_1, floy_recap_2, pit_recap), nullif(floy_recap_1, 0) AS floy_recap_1,
   nullif(floy_recap_2, 0) AS floy_recap_2, coalesce(pit_recap, false) AS pit_recap FROM u""")(_q_fish)
+
+
+def _q_scan(spark, d):
+    """Land the warehouse tables, scan them back with the projections the products use,
+    and build the year/project site pointer from the scans."""
+    from pyspark.sql import functions as F
+
+    from .session import scratch_path
+    from .sources.files import read_warehouse
+    t = T(spark, d)
+    root = scratch_path(spark, "warehouse")
+    for n in _WH:
+        t[f"wh_{n}"].write.parquet(f"{root}/{n}")
+    scans = {n: read_warehouse(spark, root, n) for n in _WH}
+    scans["person"] = read_warehouse(spark, root, "person", {"ID": "ID", "FirstName": "FirstName",
+                                                              "LastName": "LastName"})
+    scans["study"] = read_warehouse(spark, root, "study", ["ID", "Code", "Name"])
+    return wh.site_pointer(scans, YEAR, PROJECT).select(
+        "SampleNumber", "StudyCode", "GearCode", "OrgName", "rvr_code", "rvr_name", "FirstName", "LastName",
+        F.col("StartDateTime").alias("start"), "Pass", "ElectrofishingSeconds")
+
+
+register("src_warehouse_scan", W(*_SP_TABLES) + _SP_SQL + """
+SELECT SampleNumber, StudyCode, GearCode, OrgName, rvr_code, rvr_name, FirstName, LastName, StartDateTime AS start,
+  Pass, ElectrofishingSeconds FROM sp""")(_q_scan)

@@ -42,22 +42,31 @@ def read_store(spark: SparkSession, root: str, table: str, schema=None) -> DataF
     return r.parquet(f"{root.rstrip('/')}/{table}")
 
 
-def read_warehouse(spark: SparkSession, url: str, table: str, columns=None, properties: dict | None = None,
+def read_warehouse(spark: SparkSession, source: str, table: str, columns=None, properties: dict | None = None,
                    partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
                    num_partitions: int | None = None) -> DataFrame:
-    """A table of a remote relational warehouse through JDBC, read in parallel ranges.
+    """One table of the normalised warehouse, with the column projection to use.
 
-    Needs a JDBC driver on the classpath and a reachable server; nothing in the test
-    suite opens one.
+    ``source`` is a JDBC URL (``jdbc:...``; read in ``num_partitions`` parallel ranges of
+    ``partition_column`` when given -- needs a driver on the classpath and a reachable
+    server) or a folder of landed extracts (``<source>/<table>`` Parquet). ``columns``
+    is a list of names or a ``{new_name: column}`` mapping (rename while projecting).
     """
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
-    if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
-             .option("upperBound", upper).option("numPartitions", num_partitions))
-    df = r.load()
-    return df.select(*columns) if columns else df
+    if source.startswith("jdbc:"):
+        r = spark.read.format("jdbc").option("url", source).option("dbtable", table)
+        for k, v in (properties or {}).items():
+            r = r.option(k, v)
+        if partition_column:
+            r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
+                 .option("upperBound", upper).option("numPartitions", num_partitions))
+        df = r.load()
+    else:
+        df = spark.read.parquet(f"{source.rstrip('/')}/{table}")
+    if columns is None:
+        return df
+    if isinstance(columns, dict):
+        return df.select(*[F.col(old).alias(new) for new, old in columns.items()])
+    return df.select(*columns)
 
 
 def read_sheet(spark: SparkSession, bundle: str, sheet: str, schema) -> DataFrame:
