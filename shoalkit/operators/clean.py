@@ -78,9 +78,24 @@ def date_time(date: Column, time: Column) -> Column:
     return F.when(date.isNotNull() & ok, ts)
 
 
-def mdy_time(date_text: Column, time_text: Column, date_format: str = "M/d/yyyy") -> Column:
+_MDY = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{2}|\d{4})\s*$"
+
+
+def mdy(date_text: Column) -> Column:
+    """lubridate's ``mdy``: month/day/year text -> DATE; separators ``/ - .``; a
+    two-digit year is 20yy up to 68 and 19yy from 69; NULL when not a calendar date."""
+    m = F.regexp_extract(date_text, _MDY, 1).cast("int")
+    d = F.regexp_extract(date_text, _MDY, 2).cast("int")
+    ytxt = F.regexp_extract(date_text, _MDY, 3)
+    y = ytxt.cast("int")
+    y = F.when(F.length(ytxt) == 2, F.when(y <= 68, y + 2000).otherwise(y + 1900)).otherwise(y)
+    iso = F.format_string("%04d-%02d-%02d", y, m, d)
+    return F.when(date_text.rlike(_MDY), F.try_to_date(iso, "yyyy-MM-dd"))
+
+
+def mdy_time(date_text: Column, time_text: Column) -> Column:
     """``as.POSIXct(paste(mdy(date), time))`` without a session time zone."""
-    return date_time(F.try_to_date(date_text, date_format), time_text)
+    return date_time(mdy(date_text), time_text)
 
 
 def mile_correction(col: Column, reach: Column, reaches=("DESO", "ECHO"), offset: float = 120) -> Column:

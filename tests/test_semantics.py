@@ -208,3 +208,14 @@ def test_profile_quantiles_within_rank_tolerance(spark):
         rank = np.searchsorted(vals, got, side="right") / n
         assert abs(rank - q) < 0.01, (q, got, rank)
     assert prof["crew"].q50 is None
+
+
+def test_mdy_like_lubridate(spark):
+    from shoalkit.operators.clean import mdy, mdy_time
+    df = spark.createDataFrame([("7/1/2020", "08:05:00"), ("07-01-20", "8:05"), ("12.31.69", "23:59:59"),
+                                ("2/30/2020", "08:00:00"), ("Z", "08:00:00"), ("7/1/2020", "25:00:00")],
+                               "d string, t string")
+    got = [(r[0] and r[0].isoformat(), r[1] and r[1].isoformat(sep=" "))
+           for r in df.select(mdy(F.col("d")), mdy_time(F.col("d"), F.col("t"))).collect()]
+    assert got == [("2020-07-01", "2020-07-01 08:05:00"), ("2020-07-01", "2020-07-01 08:05:00"),
+                   ("1969-12-31", "1969-12-31 23:59:59"), (None, None), (None, None), ("2020-07-01", None)]
