@@ -186,3 +186,30 @@ def test_complete_matches_model(spark, rows):
     have = {(r[0], r[1]): r[2] for r in rows}
     want = [(a, b, have.get((a, b), 0)) for a in {r[0] for r in rows} for b in {r[1] for r in rows}]
     assert got == sorted(want, key=key)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(1, 3), st.one_of(st.none(), st.integers(500, 9000))), min_size=1, max_size=12),
+       st.lists(st.tuples(st.integers(0, 15), st.sampled_from(["SM", "CS", None])), max_size=40))
+def test_effort_stats_matches_model(spark, sites, fish_rows):
+    import decimal
+    from shoalkit.plans.effort import effort_stats
+    site = spark.createDataFrame([(f"s{i}", p, e) for i, (p, e) in enumerate(sites)],
+                                 "site_id string, pass int, el_sec int")
+    fish = spark.createDataFrame([(f"s{i}", sp) for i, sp in fish_rows], "site_id string, species string")
+    got = {r["pass"]: (r.n_site, r.effort_hr, r.catch, r.cpue) for r in effort_stats(site, fish, ["SM"]).collect()}
+
+    def rround(x):  # half-even on x * 100, as R and round_even do
+        if x is None:
+            return None
+        return float(decimal.Decimal(repr(x * 100)).quantize(decimal.Decimal(1), decimal.ROUND_HALF_EVEN)) / 100
+
+    want = {}
+    for p in {p for p, _ in sites}:
+        idx = [i for i, (q, _) in enumerate(sites) if q == p]
+        secs = [sites[i][1] for i in idx]
+        eff = None if any(s is None for s in secs) else rround(sum(secs) / 3600)
+        catch = sum(1 for i, sp in fish_rows if sp == "SM" and i in idx)
+        cpue = None if eff in (None, 0) else rround(catch / eff)
+        want[p] = (len(idx), eff, catch, cpue)
+    assert got == want

@@ -219,3 +219,20 @@ def test_mdy_like_lubridate(spark):
            for r in df.select(mdy(F.col("d")), mdy_time(F.col("d"), F.col("t"))).collect()]
     assert got == [("2020-07-01", "2020-07-01 08:05:00"), ("2020-07-01", "2020-07-01 08:05:00"),
                    ("1969-12-31", "1969-12-31 23:59:59"), (None, None), (None, None), ("2020-07-01", None)]
+
+
+def test_water_product_statistic_per_station(spark):
+    from shoalkit.plans.products import water_product
+    stations = spark.createDataFrame([("A", "Station A", "GR", "00003"), ("B", "Station B", "GR", "00011")],
+                                     "staid string, sta_name string, rvr_code string, temp_stat string")
+    rows = [("A", "2020-06-01", "00060", "00003", 100.0), ("A", "2020-06-01", "00010", "00003", 15.0),
+            ("A", "2020-06-01", "00010", "00011", 99.0), ("B", "2020-06-01", "00010", "00011", 18.0),
+            ("B", "2020-06-01", "00010", "00003", 77.0), ("B", "2020-06-02", "00060", "00003", 50.0),
+            ("C", "2020-06-01", "00060", "00003", 1.0)]
+    daily = spark.createDataFrame(rows, "staid string, d string, code string, stat string, val double") \
+        .withColumn("date", F.to_date("d")).drop("d")
+    got = {(r.staid, str(r.date)): (r.discharge, r.temp, r.sta_name)
+           for r in water_product(daily, stations, 2020).collect()}
+    assert got == {("A", "2020-06-01"): (100.0, 15.0, "Station A"),
+                   ("B", "2020-06-01"): (None, 18.0, "Station B"),
+                   ("B", "2020-06-02"): (50.0, None, "Station B")}
