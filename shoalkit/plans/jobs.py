@@ -47,29 +47,36 @@ def extract(spark: SparkSession, capture_dir: str, store_root: str, bundle_root:
     """
     ensure_checkpoint_dir(spark)
     raw = {fam: read_dbf(spark, capture_dir, family=fam) for fam in FAMILIES}
+    raw = {fam: df for fam, df in raw.items() if df.columns}  # a family with no files is absent
     store = loader.read_store_tables(spark, store_root)
     site = etl.build_site(raw["site"], reach_dim, next_site_number(store)).checkpoint()
     samp_n = etl.key_map(site)
-    fish = etl.build_fish(raw["fish"], samp_n).checkpoint()
-    pit = etl.build_tags(raw["pittag"], samp_n, fish, "pit")
-    floy = etl.build_tags(raw["floytag"], samp_n, fish, "floy")
-    named = {
-        "meta": etl.meta_rows(raw["site"], **people),
-        "stats": effort.effort_stats(site, fish, stats_species, ["pass"]),
-        "ck_site": qc.site_qc(site),
-        "ck_fish": qc.fish_qc(fish, site),
-        "ck_pit": qc.pit_qc(pit, fish),
-        "ck_floy": qc.floy_qc(floy),
-        "water": etl.build_water(raw["water"], samp_n),
-        "vial": etl.build_vial(raw["vial"]),
-    }
+    named = {"meta": etl.meta_rows(raw["site"], **people), "ck_site": qc.site_qc(site)}
+    fish = None
+    if "fish" in raw:
+        fish = etl.build_fish(raw["fish"], samp_n).checkpoint()
+        named["stats"] = effort.effort_stats(site, fish, stats_species, ["pass"])
+        named["ck_fish"] = qc.fish_qc(fish, site)
+    if fish is not None and "pittag" in raw:
+        named["ck_pit"] = qc.pit_qc(etl.build_tags(raw["pittag"], samp_n, fish, "pit"), fish)
+    if fish is not None and "floytag" in raw:
+        named["ck_floy"] = qc.floy_qc(etl.build_tags(raw["floytag"], samp_n, fish, "floy"))
+    if "water" in raw:
+        named["water"] = etl.build_water(raw["water"], samp_n)
+    if "vial" in raw:
+        named["vial"] = etl.build_vial(raw["vial"])
     return write_bundle(named, f"{bundle_root.rstrip('/')}/{data_id}_raw")
 
 
 def load(spark: SparkSession, bundle: str, store_root: str, archive_root: str | None = None,
          date: str | None = None):
     """Proofed bundle -> store. Returns ``(violations, written_tables, snapshot_path)``."""
-    proofed = {table: read_bundle_sheet(spark, bundle, sheet) for sheet, table in SHEETS.items()}
+    proofed = {}
+    for sheet, table in SHEETS.items():
+        try:
+            proofed[table] = read_bundle_sheet(spark, bundle, sheet)
+        except Exception:  # noqa: BLE001 - the batch had no such table
+            continue
     violations, written, upload_id = loader.load_batch(spark, proofed, store_root, conform_tables=True,
                                                        number_meta=True)
     snap = None

@@ -109,3 +109,16 @@ def test_report_jobs(spark):
     out = jobs.warehouse_export(spark, wh_tables(t), 1998, "123d", bounds, t.tbl_reach,
                                 scratch_path(spark, "wh-export"))
     assert spark.read.option("header", True).csv(out["fish"]).count() > 0
+
+
+def test_extract_and_load_without_tag_families(spark, tmp_path):
+    t = tables(spark, SF_SMALL)
+    site = t.raw_site.filter(F.col("project") == "BUILDING")
+    keys = site.select("key_a")
+    write_dbf(site, str(tmp_path), "site", prefix="b")
+    write_dbf(t.raw_fish.join(keys, "key_a", "left_semi"), str(tmp_path), "fish", prefix="b")
+    paths = jobs.extract(spark, str(tmp_path), scratch_path(spark, "wf2-store"), scratch_path(spark, "wf2-b"),
+                         "x", PEOPLE, t.tbl_reach)
+    assert set(paths) == {"meta", "ck_site", "stats", "ck_fish"}
+    v, written, _ = jobs.load(spark, paths["ck_site"].rsplit("/", 1)[0], scratch_path(spark, "wf2-store"))
+    assert written == [] and v.count() > 0  # refused (unproofed) but runs without tag sheets
