@@ -240,25 +240,35 @@ def _field_spec(name: str, dtype, width: int | None):
 
 
 def _encode_batch(pdf, specs, encoding: str) -> bytes:
+    """Fixed-width records of one pandas batch, formatted column by column."""
+    import pandas as pd
     n = len(pdf)
     rlen = 1 + sum(s[2] for s in specs)
-    out = np.full((n, rlen), 0x20, dtype=np.uint8)
+    out = np.full((n, rlen), 0x20, dtype=np.uint8)  # deletion flag ' ' and blank fields
+    if n == 0:
+        return out.tobytes()
     off = 1
     for name, ftype, length, dec in specs:
         col = pdf[name]
+        null = col.isna().to_numpy()
         if ftype == "N":
+            num = pd.to_numeric(col, errors="coerce").fillna(0)
             if dec:
-                txt = [("" if v is None or v != v else f"{float(v):.{dec}f}").rjust(length)[:length] for v in col]
+                txt = np.char.mod(f"%.{dec}f", num.to_numpy(dtype="float64"))
             else:
-                txt = [("" if v is None or v != v else str(int(v))).rjust(length)[:length] for v in col]
+                # exact for integer columns; a column holding NULLs arrives as float64
+                txt = num.astype("int64").astype(str).to_numpy()
+            txt = np.char.rjust(np.where(null, "", txt).astype(str), length)
         elif ftype == "D":
-            txt = ["" if v is None or v != v else v.strftime("%Y%m%d") for v in col]
+            txt = pd.to_datetime(col).dt.strftime("%Y%m%d").fillna("").to_numpy().astype(str)
         elif ftype == "L":
-            txt = ["?" if v is None or v != v else ("T" if v else "F") for v in col]
+            txt = np.where(null, "?", np.where(col.fillna(False).astype(bool).to_numpy(), "T", "F"))
         else:
-            txt = [("" if v is None or v != v else str(v)).ljust(length)[:length] for v in col]
-        arr = np.array([t.encode(encoding, "replace").ljust(length)[:length] for t in txt], dtype=f"S{length}")
-        out[:, off:off + length] = np.frombuffer(arr.tobytes(), dtype=np.uint8).reshape(n, length) if n else out[:, off:off + length]
+            txt = np.where(null, "", col.astype(str).to_numpy()).astype(str)
+        raw = np.array(np.char.encode(txt.astype(str), encoding, "replace"), dtype=f"S{length}")
+        block = np.frombuffer(raw.tobytes(), dtype=np.uint8).reshape(n, length).copy()
+        block[block == 0] = 0x20  # fixed-width text is blank-padded, not NUL-padded
+        out[:, off:off + length] = block
         off += length
     return out.tobytes()
 
@@ -304,7 +314,6 @@ def write_dbf(df, folder: str, table: str, prefix: str = "part", encoding: str =
         with open(tmp, "w+b") as fh:
             fh.write(_header(0, specs))
             for pdf in batches:  # streamed batch by batch; the count is patched at the end
-                pdf = pdf.astype(object).where(pdf.notna(), None)
                 fh.write(_encode_batch(pdf, specs, encoding))
                 total += len(pdf)
             fh.write(b"\x1A")

@@ -236,3 +236,16 @@ def test_water_product_statistic_per_station(spark):
     assert got == {("A", "2020-06-01"): (100.0, 15.0, "Station A"),
                    ("B", "2020-06-01"): (None, 18.0, "Station B"),
                    ("B", "2020-06-02"): (50.0, None, "Station B")}
+
+
+def test_dbf_types_round_trip(spark, tmp_path):
+    import datetime as dt
+    from shoalkit.sources.dbf import read_dbf, write_dbf
+    rows = [(1, 2.5, "a b", dt.date(2020, 7, 1), True), (None, None, None, None, None),
+            (-7, -0.125, "x", dt.date(1999, 12, 31), False)]
+    df = spark.createDataFrame(rows, "n int, x double, s string, d date, b boolean")
+    write_dbf(df.coalesce(1), str(tmp_path), "t", prefix="z")
+    got = sorted(read_dbf(spark, str(tmp_path)).collect(), key=lambda r: (r.n is None, r.n or 0))
+    assert [tuple(r) for r in got] == [(-7, -0.125, "x", dt.date(1999, 12, 31), False),
+                                       (1, 2.5, "a b", dt.date(2020, 7, 1), True),
+                                       (None, None, None, None, None)]
