@@ -59,38 +59,41 @@ def change_case(df: DataFrame, upper=(), lower=()) -> DataFrame:
     return df.withColumns(cols)
 
 
-_TIME = r"^\s*(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d+)?))?\s*$"
+def _int_part(parts: Column, i: int) -> Column:
+    """The i-th (1-based) piece as an int, NULL when missing or not a number."""
+    return F.try_element_at(parts, F.lit(i)).try_cast("int")
 
 
-def _time_part(time: Column, i: int) -> Column:
-    return F.regexp_extract(time, _TIME, i)
+def _hms(time: Column):
+    """(hour, minute, second, ok) of clock text ``H:M[:S[.f]]`` on a 24-hour clock."""
+    parts = F.split(F.trim(time), ":")
+    n = F.size(parts)
+    hh, mm = _int_part(parts, 1), _int_part(parts, 2)
+    ss = F.when(n == 2, F.lit(0).cast("decimal(16,6)")).otherwise(
+        F.try_element_at(parts, F.lit(3)).try_cast("decimal(16,6)"))
+    ok = (n.isin(2, 3) & hh.between(0, 23) & mm.between(0, 59) & (ss >= 0) & (ss < 60))
+    return hh, mm, ss, ok
 
 
 def date_time(date: Column, time: Column) -> Column:
     """Calendar date + clock text (``H:M[:S]``) -> TIMESTAMP_NTZ; NULL when either is
-    NULL or malformed. Time-zone free: the clock time is kept as written."""
-    ok = time.rlike(_TIME)
-    hh = _time_part(time, 1).cast("int")
-    mm = _time_part(time, 2).cast("int")
-    ss_txt = _time_part(time, 3)
-    ss = F.when(ss_txt == "", F.lit(0)).otherwise(ss_txt).cast("decimal(16,6)")
-    ts = F.try_make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), hh, mm, ss)
-    return F.when(date.isNotNull() & ok, ts)
-
-
-_MDY = r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{2}|\d{4})\s*$"
+    NULL or malformed. Time-zone free: the wall-clock time is added to the date as a
+    day-time interval."""
+    hh, mm, ss, ok = _hms(time)
+    ts = date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hh, mm, ss)
+    return F.when(ok, ts)
 
 
 def mdy(date_text: Column) -> Column:
     """lubridate's ``mdy``: month/day/year text -> DATE; separators ``/ - .``; a
     two-digit year is 20yy up to 68 and 19yy from 69; NULL when not a calendar date."""
-    m = F.regexp_extract(date_text, _MDY, 1).cast("int")
-    d = F.regexp_extract(date_text, _MDY, 2).cast("int")
-    ytxt = F.regexp_extract(date_text, _MDY, 3)
-    y = ytxt.cast("int")
-    y = F.when(F.length(ytxt) == 2, F.when(y <= 68, y + 2000).otherwise(y + 1900)).otherwise(y)
-    iso = F.format_string("%04d-%02d-%02d", y, m, d)
-    return F.when(date_text.rlike(_MDY), F.try_to_date(iso, "yyyy-MM-dd"))
+    norm = F.translate(F.trim(date_text), "-.", "//")
+    ytxt = F.substring_index(norm, "/", -1)
+    ylen = F.length(ytxt)
+    y2 = ytxt.try_cast("int")
+    full = F.concat(F.substring_index(norm, "/", 2), F.lit("/"),
+                    F.when(y2 <= 68, y2 + 2000).otherwise(y2 + 1900).cast("string"))
+    return F.try_to_date(F.when(ylen == 4, norm).when(ylen == 2, full), "M/d/yyyy")
 
 
 def mdy_time(date_text: Column, time_text: Column) -> Column:
