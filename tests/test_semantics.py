@@ -249,3 +249,13 @@ def test_dbf_types_round_trip(spark, tmp_path):
     assert [tuple(r) for r in got] == [(-7, -0.125, "x", dt.date(1999, 12, 31), False),
                                        (1, 2.5, "a b", dt.date(2020, 7, 1), True),
                                        (None, None, None, None, None)]
+
+
+def test_date_time_clock_forms(spark):
+    import datetime as dt
+    from shoalkit.operators.clean import date_time
+    df = spark.createDataFrame([("8:05:30.5",), (" 23:59 ",), ("8:60",), ("8",), ("1:2:3:4",), ("x:05",), (None,)],
+                               "t string").withColumn("d", F.lit("2021-03-14").cast("date"))
+    got = [r[0] for r in df.select(date_time(F.col("d"), F.col("t"))).collect()]
+    assert got == [dt.datetime(2021, 3, 14, 8, 5, 30, 500000), dt.datetime(2021, 3, 14, 23, 59),
+                   None, None, None, None, None]
