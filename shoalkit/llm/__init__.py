@@ -1,11 +1,15 @@
 """Corpus operators for training-data work, and their registered queries."""
 
-from . import decontaminate, fingerprint, mixing, token_count
+from . import decontaminate, fingerprint, html_extract, mixing, quality, token_count, tool_chat, toxicity
 
 QUERIES = {
+    "op1_tool_chat": tool_chat.op1_tool_chat,
+    "op2_quality": quality.op2_quality,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op4_token_count": token_count.op4_token_count,
     "op6_mixing": mixing.op6_mixing,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_html_extract": html_extract.op8_html_extract,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
-ORACLE = {"op7_decontaminate": decontaminate.ORACLE_OP7}
+ORACLE = {"op1_tool_chat": tool_chat.ORACLE_OP1, "op7_decontaminate": decontaminate.ORACLE_OP7}
