@@ -6,3 +6,9 @@ STAGES = [
     ("benchmark_decontamination", decontaminate.stage),
     ("mixing", mixing.stage),
 ]
+
+
+def run(spark, sf_dir):
+    raise NotImplementedError
+
+ORACLE_SQL = None

@@ -59,7 +59,7 @@ def _counts(batches):
 class Model:
     """Feature weights of the toxic tag, transition weights and the document curve."""
 
-    def __init__(self, weights: dict[str, float], bias: float, trans: np.ndarray, curve=(1.0, 0.0, 0.0)):
+    def __init__(self, weights: dict[str, float], bias: float, trans: np.ndarray, curve=None):
         self.weights, self.bias, self.trans, self.curve = weights, bias, trans, curve
 
     def emission(self, word: str) -> float:
@@ -115,7 +115,7 @@ def marginal_odds(seqs: list[np.ndarray], trans: np.ndarray) -> list[np.ndarray]
     return out
 
 
-def fit_crf(windows: list[list[str]], tags: list[list[int]], weight: list[float], steps: int = 150, l2: float = 1e-4) -> Model:
+def fit_crf(windows: list[list[str]], tags: list[list[int]], weight: list[float], steps: int = 100, l2: float = 1e-4) -> Model:
     """Maximum likelihood by Adam over windows of equal length (short ones are left out)."""
     keep = [i for i, w in enumerate(windows) if len(w) == WINDOW]
     if not keep:
@@ -132,6 +132,7 @@ def fit_crf(windows: list[list[str]], tags: list[list[int]], weight: list[float]
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     n, length = y.shape
     flat = x.ravel()
+    real = np.stack([[((y[:, :-1] == i) & (y[:, 1:] == j)).sum(axis=1) for j in (0, 1)] for i in (0, 1)]).transpose(2, 0, 1)
     for step in range(1, steps + 1):
         w = theta.copy()
         w[void] = 0
@@ -161,9 +162,6 @@ def fit_crf(windows: list[list[str]], tags: list[list[int]], weight: list[float]
         grad[: void + 1] = np.bincount(flat, np.repeat(err.ravel(), x.shape[2]), void + 1)
         grad[void] = 0
         grad[void + 1] = err.sum()
-        real = np.zeros((n, 2, 2))
-        for t in range(1, length):
-            np.add.at(real, (np.arange(n), y[:, t - 1], y[:, t]), 1)
         grad[void + 2:] = ((pair - real) * s[:, None, None]).sum(axis=0).ravel()
         grad = grad / n + l2 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
@@ -172,12 +170,19 @@ def fit_crf(windows: list[list[str]], tags: list[list[int]], weight: list[float]
 
 
 def _peaks(texts, emit: Emissions, trans: np.ndarray):
-    """Per text: log odds of its most toxic token, log of the expected number of such tokens, odds."""
+    """What the curve reads of each text, and the odds of its tokens.
+
+    Log odds of the most toxic token, log of the expected number of toxic tokens, log of the
+    tokens more likely toxic than not, log of all tokens.
+    """
     seqs = [np.fromiter(map(emit.__getitem__, tokens_of(t)), dtype=float) for t in texts]
     odds = marginal_odds(seqs, trans)
-    peak = np.array([np.log(o.max() + 1e-12) if len(o) else -12.0 for o in odds])
-    mass = np.array([np.log((o / (1 + o)).sum() + 1e-6) if len(o) else -12.0 for o in odds])
-    return np.clip(peak, -12, 12), np.clip(mass, -12, 12), odds
+    x = np.zeros((len(odds), 4))
+    x[:, :2] = -12.0
+    for k, o in enumerate(odds):
+        if len(o):
+            x[k] = np.log(o.max() + 1e-12), np.log((o / (1 + o)).sum() + 1e-6), np.log1p((o >= 1).sum()), np.log1p(len(o))
+    return np.clip(x, -12, 12), odds
 
 
 def lexicon(train: DataFrame) -> set[str]:
@@ -229,32 +234,35 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     win = few.mapInPandas(windows, "w array<string>, t array<int>, s double").toPandas()
     model = fit_crf([list(w) for w in win["w"]], [list(t) for t in win["t"]], win["s"].tolist())
 
-    @F.pandas_udf("peak double, mass double")
-    def peaks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def peaks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         emit = Emissions(model)
         for texts in batches:
-            p, m, _ = _peaks(texts, emit, model.trans)
-            yield pd.DataFrame({"peak": p, "mass": m})
+            yield pd.Series(list(_peaks(texts, emit, model.trans)[0]), dtype=object)
 
-    seen = got.select("y", peaks("text").alias("p")).select("y", "p.*").toPandas()
-    model.curve = _curve(seen[["peak", "mass"]].to_numpy(dtype=float), seen["y"].to_numpy(dtype=float))
+    seen = got.select("y", peaks("text").alias("x")).toPandas()
+    model.curve = _curve(np.array(seen["x"].tolist(), dtype=float).reshape(len(seen), 4), seen["y"].to_numpy(dtype=float))
     return model
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression on (peak, mass) by Newton steps, lightly held to small slopes."""
-    z = np.column_stack([x, np.ones(len(x))]) if len(x) else np.zeros((0, 3))
-    beta = np.array([0.5, 0.0, 0.0])
+def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression on what ``_peaks`` reads, by Newton steps, lightly held to small slopes."""
+    z = np.column_stack([x, np.ones(len(x))])
+    beta = np.array([0.5, 0.0, 0.0, 0.0, 0.0])
     if len(y) == 0 or y.max() == 0:
-        return (0.5, 0.0, -3.0)
+        return np.array([0.5, 0.0, 0.0, 0.0, -3.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(3)
+        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(5)
         step = np.linalg.solve(h, z.T @ (y - p) - 0.05 * beta)
         beta = beta + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    return tuple(float(b) for b in beta)
+    return beta
+
+
+def _score(x: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ curve[:4] + curve[4], -30, 30)))
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
@@ -263,9 +271,8 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> Da
     @F.pandas_udf("score double, spans array<struct<begin:int,end:int>>")
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         emit = Emissions(model)
-        a, b, c = model.curve
         for texts in batches:
-            peak, mass, odds = _peaks(texts, emit, model.trans)
+            x, odds = _peaks(texts, emit, model.trans)
             spans = []
             for text, o in zip(texts, odds):
                 own: list[dict] = []
@@ -279,7 +286,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> Da
                                 own.append({"begin": m.start(), "end": m.end()})
                             last = k
                 spans.append(own)
-            yield pd.DataFrame({"score": 1 / (1 + np.exp(-np.clip(a * peak + b * mass + c, -30, 30))), "spans": spans})
+            yield pd.DataFrame({"score": _score(x, model.curve), "spans": spans})
 
     d = docs.withColumn("_tag", tag(F.coalesce("text", F.lit(""))))
     return d.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_tag.score").alias("score"),
@@ -298,9 +305,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float =
     @F.pandas_udf("boolean")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         emit = Emissions(model)
-        a, b, c = model.curve
         for texts in batches:
-            peak, mass, _ = _peaks(texts, emit, model.trans)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(a * peak + b * mass + c, -30, 30))) < threshold)
+            yield pd.Series(_score(_peaks(texts, emit, model.trans)[0], model.curve) < threshold)
 
     return docs.where(clean(F.coalesce("text", F.lit(""))))
