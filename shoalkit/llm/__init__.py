@@ -1,6 +1,6 @@
 """Corpus operators for training-data work, and their registered queries."""
 
-from . import decontaminate, fingerprint, html_extract, mixing, quality, token_count, tool_chat, toxicity
+from . import decontaminate, fingerprint, html_extract, mixing, quality, shingle_join, token_count, tool_chat, toxicity
 
 QUERIES = {
     "op1_tool_chat": tool_chat.op1_tool_chat,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_html_extract": html_extract.op8_html_extract,
+    "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
 ORACLE = {"op1_tool_chat": tool_chat.ORACLE_OP1, "op7_decontaminate": decontaminate.ORACLE_OP7}
