@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-#: Bytes of text worked on at a time, rows of a block, ids broadcast at most (8 bytes each).
-CHUNK, BLOCK, IDS = 1 << 21, 2000, 2_000_000
+#: Bytes of text worked on at a time, rows of a block, rows of a group of blocks, ids broadcast at most (8 bytes each).
+CHUNK, BLOCK, ROWS, IDS = 1 << 21, 2000, 10_000, 2_000_000
 U = np.uint64
 CELLS = 256
 _SEP = np.zeros(256, bool)
@@ -284,17 +284,14 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _compare(percent: int):
-    """Pairs of one block of a bucket that the lower bound leaves, not connected, first met here."""
+    """Pairs of each block of a bucket that the lower bound leaves, not connected, first met here."""
     c = (100 - percent) / (100 + percent)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def block(pdf: pd.DataFrame, out: list) -> None:
         cells = np.stack([np.frombuffer(x, np.uint8) for x in pdf["cells"]]).astype(np.int16)
-        ids, n, comp, part = (pdf[x].to_numpy() for x in ("id", "n", "comp", "part"))
-        hub, same = pdf["hub"].to_numpy(), pdf["one"].iloc[0]
-        sig = int(pdf["sig"].iloc[0])
-        sigs = [np.asarray(s) for s in pdf["sigs"]]
-        lower = [s[: np.searchsorted(s, sig)] for s in sigs]
-        out = []
+        ids, n, comp, part, hub = (pdf[x].to_numpy() for x in ("id", "n", "comp", "part", "hub"))
+        same, sig = pdf["one"].iloc[0], int(pdf["sig"].iloc[0])
+        lower = [s[: np.searchsorted(s, np.uint64(sig & (1 << 64) - 1))] for s in (np.asarray(s).view(np.uint64) for s in pdf["sigs"])]
         for i in range(len(ids) - 1):
             j = np.arange(i + 1, len(ids))
             j = j[comp[j] != comp[i]]
@@ -307,6 +304,11 @@ def _compare(percent: int):
                 if not len(np.intersect1d(lower[i], lower[q], assume_unique=True)):
                     x, y = (i, q) if ids[i] < ids[q] else (q, i)
                     out.append((ids[x], ids[y], comp[x], comp[y], hub[x], hub[y]))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out: list = []
+        for _, rows in pdf.groupby(["sig", "b1", "b2"], sort=False):
+            block(rows, out)
         return pd.DataFrame(out, columns=["x", "y", "cx", "cy", "gx", "gy"])
 
     return run
@@ -339,13 +341,17 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85) ->
     left = left.select("sig", "id", "cnt", F.coalesce("comp", "id").alias("comp"), "hub")
     mixed = left.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
     left = stored(left.join(mixed, "sig", "left_semi"), "join-open")
+    left_rows = left.count()
     about = rep.join(_few(left, "id"), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("r_id"), "n", "cells", "sigs").dropDuplicates(["r_id"])
     left = left.join(about, F.col("id") == F.col("r_id")).drop("r_id")
     parts = F.ceil(F.col("cnt") / BLOCK).cast("int")
     left = left.withColumn("part", F.pmod(F.xxhash64("id", "sig"), parts).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     left = left.withColumn("b1", F.least("part", "other")).withColumn("b2", F.greatest("part", "other")).withColumn("one", F.col("b1") == F.col("b2"))
-    pairs = left.groupBy("sig", "b1", "b2").applyInPandas(_compare(percent), "x long, y long, cx long, cy long, gx long, gy long")
+    # many blocks are tiny: a task's group has several, about ROWS rows in all
+    groups = max(1, left_rows // ROWS)
+    left = left.withColumn("group", F.pmod(F.xxhash64("sig", "b1", "b2"), F.lit(groups)))
+    pairs = stored(left.groupBy("group").applyInPandas(_compare(percent), "x long, y long, cx long, cy long, gx long, gy long"), "join-left")
     more = stored(_verify(pairs, docs, shingle, percent), "join-links")
     comp = components(links.unionByName(more).unionByName(copies)).withColumnRenamed("id", "c_id")
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("c_id"), "left")
