@@ -1,11 +1,12 @@
 """Corpus operators for training-data work, and their registered queries."""
 
-from . import decontaminate, fingerprint, html_extract, mixing, quality, shingle_join, token_count, tool_chat, toxicity
+from . import decontaminate, fingerprint, html_extract, mixing, quality, shingle_join, suffix_dedup, token_count, tool_chat, toxicity
 
 QUERIES = {
     "op1_tool_chat": tool_chat.op1_tool_chat,
     "op2_quality": quality.op2_quality,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_token_count": token_count.op4_token_count,
     "op6_mixing": mixing.op6_mixing,
     "op7_decontaminate": decontaminate.op7_decontaminate,
