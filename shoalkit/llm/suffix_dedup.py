@@ -37,8 +37,9 @@ from .common import stored, table
 from .shingle_join import IDS, _mix, _powers
 
 U = np.uint64
-#: Length of the hashed strings; bytes of a chunk of documents; hashes of a group; fragment bytes of a shard.
-KMER, CHUNK, GROUP, SHARD = 12, 3 << 20, 1 << 20, 2 << 20
+#: Length of the hashed strings; bytes of a chunk of documents; hashes of a group;
+#: corpus bytes per shard (fragments overlap, up to 3.5 times the text they cover).
+KMER, CHUNK, GROUP, SHARD = 12, 3 << 20, 1 << 20, 1 << 20
 #: Queue entries held in memory by one sort before queues spill.
 MEMORY = 8 << 20
 LAST = (1 << 63) - 1
@@ -415,7 +416,7 @@ def dedup(docs: DataFrame, width: int = 50, text: bool = False, rest: list[str]
     d = d.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), F.reverse("text")))
     names = stored(d.select("id", "h1", "h2", n.alias("n")), "dedup-names")
     total = names.agg(F.sum("n").alias("b")).first()["b"] or 0
-    groups, shards = int(total // 20 // GROUP) + 1, int(total // 10 // SHARD) + 1
+    groups, shards = int(total // 20 // GROUP) + 1, int(total // SHARD) + 1
     first = names.groupBy("h1", "h2", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1")
     copies = names.join(first, ["h1", "h2", "n"]).where("id > first").select(F.col("id").alias("c_id"), F.col("h1").alias("c_h1"), F.col("h2").alias("c_h2")).distinct()
     copies = stored(copies, "dedup-copies")
