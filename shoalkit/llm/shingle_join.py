@@ -196,25 +196,37 @@ def _chunks(texts):
         yield start, len(texts)
 
 
-def _describe(k: int, percent: int):
+def _sets(k: int):
+    """(doc_id, n, k1, k2): size and 128-bit name of each text's set."""
     def run(batches):
-        plan = Plan(percent)
         for pdf in batches:
             texts = pdf["text"].tolist()
             for i, j in _chunks(texts):
                 off, h = shingle_sets(texts[i:j], k)
                 n = np.diff(off)
-                owner = np.repeat(np.arange(j - i), n)
                 keys = np.zeros((2, j - i), dtype=np.uint64)
                 full = np.flatnonzero(n)
                 if len(full):
                     for r in (0, 1):
                         keys[r][full] = np.add.reduceat(_mix(h + U(0x1234567 + 77 * r)), off[:-1][full])
-                cells = np.bincount(owner * CELLS + (h & U(CELLS - 1)).astype(np.int64), minlength=(j - i) * CELLS)
-                cells = np.minimum(cells, 255).astype(np.uint8).reshape(-1, CELLS)
-                sigs = signatures(plan, off, h)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "n": n, "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64),
-                                    "cells": [c.tobytes() for c in cells], "sigs": [s.view(np.int64) for s in sigs]})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "n": n, "k1": keys[0].view(np.int64), "k2": keys[1].view(np.int64)})
+    return run
+
+
+def _signed(k: int, percent: int, cells: bool):
+    """(doc_id, sigs) and, if asked for, size and cell counts of each set."""
+    def run(batches):
+        plan = Plan(percent)
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for i, j in _chunks(texts):
+                off, h = shingle_sets(texts[i:j], k)
+                out = {"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "sigs": [s.view(np.int64) for s in signatures(plan, off, h)]}
+                if cells:
+                    n = np.diff(off)
+                    c = np.bincount(np.repeat(np.arange(j - i), n) * CELLS + (h & U(CELLS - 1)).astype(np.int64), minlength=(j - i) * CELLS)
+                    out |= {"n": n, "cells": [x.tobytes() for x in np.minimum(c, 255).astype(np.uint8).reshape(-1, CELLS)]}
+                yield pd.DataFrame(out)
     return run
 
 
@@ -317,32 +329,33 @@ def _compare(percent: int):
 def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sets = stored(docs.mapInPandas(_describe(shingle, percent), "doc_id long, n long, k1 long, k2 long, cells binary, sigs array<long>"), "join-sets")
+    sets = stored(docs.mapInPandas(_sets(shingle), "doc_id long, n long, k1 long, k2 long"), "join-sets")
     known = sets.where("n > 0 and doc_id is not null")
     classes = stored(known.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("size")), "join-classes")
     again = known.select("doc_id", "k1", "k2", "n").join(classes.where("size > 1").select("k1", "k2", "n", "id"), ["k1", "k2", "n"]).where("doc_id <> id")
     copies = stored(again.select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "join-copies")
-    # one row per class: its first document; others of the class need no signatures
-    # (an id with several sets stands for each of them, and is connected through itself)
-    rep = known.join(_few(copies, "b"), F.col("doc_id") == F.col("b"), "left_anti")
-    member = rep.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id")).distinct()
+    # the first document stands for its class (an id with several texts for each of them)
+    rep = docs.where("doc_id is not null").join(_few(copies, "b"), F.col("doc_id") == F.col("b"), "left_anti")
+    member = rep.mapInPandas(_signed(shingle, percent, False), "doc_id long, sigs array<long>")
+    member = member.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))
     member = member.withColumn("cnt", F.count("*").over(W.partitionBy("sig"))).where("cnt > 1")
     member = stored(member, "join-buckets")
     pop = member.groupBy("id").agg(F.sum("cnt").alias("pop"))
     star = F.struct("pop", (-F.col("id")).alias("m"))
-    ranked = stored(member.join(pop, "id"), "join-ranked")
+    ranked = member.join(pop, "id")
     hubs = ranked.groupBy("sig").agg(F.max(star).alias("hub"))
     best = ranked.join(hubs, "sig").groupBy("id").agg(F.max("hub").alias("hub")).select("id", (-F.col("hub.m")).alias("hub"))
     best = stored(best, "join-hubs")
     pairs = best.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("y"), F.col("id").alias("cx"), F.col("hub").alias("cy"), F.col("hub").alias("gx"), F.col("hub").alias("gy"))
     links = stored(_verify(pairs, docs, shingle, percent), "join-links")
     comp = components(links)
-    left = ranked.select("sig", "id", "cnt").join(comp, "id", "left").join(best, "id")
+    left = member.join(comp, "id", "left").join(best, "id")
     left = left.select("sig", "id", "cnt", F.coalesce("comp", "id").alias("comp"), "hub")
     mixed = left.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
     left = stored(left.join(mixed, "sig", "left_semi"), "join-open")
     left_rows = left.count()
-    about = rep.join(_few(left, "id"), F.col("doc_id") == F.col("id"), "left_semi").select(F.col("doc_id").alias("r_id"), "n", "cells", "sigs").dropDuplicates(["r_id"])
+    about = rep.join(_few(left, "id"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
+    about = about.mapInPandas(_signed(shingle, percent, True), "doc_id long, sigs array<long>, n long, cells binary").withColumnRenamed("doc_id", "r_id")
     left = left.join(about, F.col("id") == F.col("r_id")).drop("r_id")
     parts = F.ceil(F.col("cnt") / BLOCK).cast("int")
     left = left.withColumn("part", F.pmod(F.xxhash64("id", "sig"), parts).cast("int"))
