@@ -39,7 +39,7 @@ from .shingle_join import IDS, _mix, _powers
 U = np.uint64
 #: Length of the hashed strings; bytes of a chunk of documents; hashes of a group;
 #: corpus bytes per shard (fragments overlap, up to 3.5 times the text they cover).
-KMER, CHUNK, GROUP, SHARD = 12, 3 << 20, 1 << 20, 1 << 20
+KMER, CHUNK, GROUP, SHARD = 20, 3 << 20, 1 << 20, 1 << 20
 #: Queue entries held in memory by one sort before queues spill.
 MEMORY = 8 << 20
 LAST = (1 << 63) - 1
@@ -186,9 +186,9 @@ def suffix_order(t: np.ndarray, symbols: int, depth: int) -> np.ndarray:
     reach = np.append(star, n + depth)
     while rank.max() < len(star) - 1:
         after = np.append(rank[span:] + 1, np.zeros(min(span, len(rank)), dtype=np.int64))[: len(rank)]
-        order = np.lexsort((after, rank))
-        new = np.ones(len(order), bool)
-        new[1:] = (rank[order[1:]] != rank[order[:-1]]) | (after[order[1:]] != after[order[:-1]])
+        pair = rank * (len(rank) + 2) + after
+        order = np.argsort(pair)
+        new = np.append(True, np.diff(pair[order]) != 0)
         rank[order] = np.cumsum(new) - 1
         span *= 2
         if (reach[np.minimum(np.arange(len(star)) + span, len(star))] - star).min() >= depth:
