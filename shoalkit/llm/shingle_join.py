@@ -10,11 +10,10 @@ small that chance matches cost more, half as many are indexed with their one-del
 neighbourhood, which tolerates one difference each.
 
 Only connected groups are needed, so no group is expanded into all its pairs: equal sets are
-one class; each class is first held against the most shared class among those it has a
-segment in common with; what is not connected by then is compared within shared segments by
-a lower bound of the difference (counts over 256 hash cells), each pair in the first segment
-it shares only, and verified exactly unless its groups met meanwhile. Large segments are
-compared block by block.
+one class. Each segment's most shared class is a hub, and all that share the segment belong
+to the hub's group; a class is first held against its best hub. What is not connected by
+then is compared within groups by a lower bound of the difference (counts over 256 hash
+cells, block by block), and pairs that pass are verified exactly unless they met meanwhile.
 
 Defined results: null, empty and wordless texts have the empty set, link with nothing and
 are their own component; a text with fewer words than a shingle is one shingle; repeated
@@ -213,20 +212,29 @@ def _sets(k: int):
     return run
 
 
-def _signed(k: int, percent: int, cells: bool):
-    """(doc_id, sigs) and, if asked for, size and cell counts of each set."""
+def _signed(k: int, percent: int):
+    """(doc_id, sigs) of each set."""
     def run(batches):
         plan = Plan(percent)
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for i, j in _chunks(texts):
+                sigs = signatures(plan, *shingle_sets(texts[i:j], k))
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "sigs": [s.view(np.int64) for s in sigs]})
+    return run
+
+
+def _cells(k: int):
+    """(r_id, n, cells): size of each set and its counts over CELLS hash cells (255 at most, so bounds hold)."""
+    def run(batches):
         for pdf in batches:
             texts = pdf["text"].tolist()
             for i, j in _chunks(texts):
                 off, h = shingle_sets(texts[i:j], k)
-                out = {"doc_id": pdf["doc_id"].iloc[i:j].to_numpy(), "sigs": [s.view(np.int64) for s in signatures(plan, off, h)]}
-                if cells:
-                    n = np.diff(off)
-                    c = np.bincount(np.repeat(np.arange(j - i), n) * CELLS + (h & U(CELLS - 1)).astype(np.int64), minlength=(j - i) * CELLS)
-                    out |= {"n": n, "cells": [x.tobytes() for x in np.minimum(c, 255).astype(np.uint8).reshape(-1, CELLS)]}
-                yield pd.DataFrame(out)
+                n = np.diff(off)
+                c = np.bincount(np.repeat(np.arange(j - i), n) * CELLS + (h & U(CELLS - 1)).astype(np.int64), minlength=(j - i) * CELLS)
+                c = np.minimum(c, 255).astype(np.uint8).reshape(-1, CELLS)
+                yield pd.DataFrame({"r_id": pdf["doc_id"].iloc[i:j].to_numpy(), "n": n, "cells": [x.tobytes() for x in c]})
     return run
 
 
@@ -296,30 +304,28 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _compare(percent: int):
-    """Pairs of each block of a bucket that the lower bound leaves, not connected, first met here."""
+    """Pairs of each block of a group that are not connected and that the lower bound leaves."""
     c = (100 - percent) / (100 + percent)
 
     def block(pdf: pd.DataFrame, out: list) -> None:
         cells = np.stack([np.frombuffer(x, np.uint8) for x in pdf["cells"]]).astype(np.int16)
-        ids, n, comp, part, hub = (pdf[x].to_numpy() for x in ("id", "n", "comp", "part", "hub"))
-        same, sig = pdf["one"].iloc[0], int(pdf["sig"].iloc[0])
-        lower = [s[: np.searchsorted(s, np.uint64(sig & (1 << 64) - 1))] for s in (np.asarray(s).view(np.uint64) for s in pdf["sigs"])]
+        ids, n, comp, part = (pdf[x].to_numpy() for x in ("id", "n", "comp", "part"))
+        hub, same = int(pdf["hub"].iloc[0]), pdf["one"].iloc[0]
         for i in range(len(ids) - 1):
             j = np.arange(i + 1, len(ids))
-            j = j[comp[j] != comp[i]]
+            j = j[(comp[j] != comp[i]) & (np.floor(c * (n[j] + n[i]) + 1e-9) >= np.abs(n[j] - n[i]))]
             if not same:
                 j = j[part[j] != part[i]]
             if not len(j):
                 continue
             gap = np.abs(cells[j] - cells[i]).sum(axis=1)
             for q in j[gap <= np.floor(c * (n[j] + n[i]) + 1e-9)].tolist():
-                if not len(np.intersect1d(lower[i], lower[q], assume_unique=True)):
-                    x, y = (i, q) if ids[i] < ids[q] else (q, i)
-                    out.append((ids[x], ids[y], comp[x], comp[y], hub[x], hub[y]))
+                x, y = (i, q) if ids[i] < ids[q] else (q, i)
+                out.append((ids[x], ids[y], comp[x], comp[y], hub, hub))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list = []
-        for _, rows in pdf.groupby(["sig", "b1", "b2"], sort=False):
+        for _, rows in pdf.groupby(["hub", "b1", "b2"], sort=False):
             block(rows, out)
         return pd.DataFrame(out, columns=["x", "y", "cx", "cy", "gx", "gy"])
 
@@ -336,34 +342,33 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85) ->
     copies = stored(again.select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "join-copies")
     # the first document stands for its class (an id with several texts for each of them)
     rep = docs.where("doc_id is not null").join(_few(copies, "b"), F.col("doc_id") == F.col("b"), "left_anti")
-    member = rep.mapInPandas(_signed(shingle, percent, False), "doc_id long, sigs array<long>")
+    member = rep.mapInPandas(_signed(shingle, percent), "doc_id long, sigs array<long>")
     member = member.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))
     member = member.withColumn("cnt", F.count("*").over(W.partitionBy("sig"))).where("cnt > 1")
     member = stored(member, "join-buckets")
     pop = member.groupBy("id").agg(F.sum("cnt").alias("pop"))
     star = F.struct("pop", (-F.col("id")).alias("m"))
-    ranked = member.join(pop, "id")
-    hubs = ranked.groupBy("sig").agg(F.max(star).alias("hub"))
-    best = ranked.join(hubs, "sig").groupBy("id").agg(F.max("hub").alias("hub")).select("id", (-F.col("hub.m")).alias("hub"))
-    best = stored(best, "join-hubs")
+    ranked = member.join(pop, "id").withColumn("star", star)
+    hubs = ranked.groupBy("sig").agg(F.max("star").alias("hub"))
+    # whoever shares a segment with others is in the group of that segment's most shared member
+    groups = stored(member.join(hubs, "sig").select("id", "hub").distinct(), "join-groups")
+    best = groups.groupBy("id").agg(F.max("hub").alias("hub")).select("id", (-F.col("hub.m")).alias("hub"))
     pairs = best.where("id <> hub").select(F.col("id").alias("x"), F.col("hub").alias("y"), F.col("id").alias("cx"), F.col("hub").alias("cy"), F.col("hub").alias("gx"), F.col("hub").alias("gy"))
     links = stored(_verify(pairs, docs, shingle, percent), "join-links")
     comp = components(links)
-    left = member.join(comp, "id", "left").join(best, "id")
-    left = left.select("sig", "id", "cnt", F.coalesce("comp", "id").alias("comp"), "hub")
-    mixed = left.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-    left = stored(left.join(mixed, "sig", "left_semi"), "join-open")
+    left = groups.select("id", (-F.col("hub.m")).alias("hub")).join(comp, "id", "left").select("id", "hub", F.coalesce("comp", "id").alias("comp"))
+    mixed = left.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("cnt")).where("lo <> hi").select("hub", "cnt")
+    left = stored(left.join(mixed, "hub"), "join-open")
     left_rows = left.count()
     about = rep.join(_few(left, "id"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
-    about = about.mapInPandas(_signed(shingle, percent, True), "doc_id long, sigs array<long>, n long, cells binary").withColumnRenamed("doc_id", "r_id")
-    left = left.join(about, F.col("id") == F.col("r_id")).drop("r_id")
+    about = about.mapInPandas(_cells(shingle), "r_id long, n long, cells binary")
     parts = F.ceil(F.col("cnt") / BLOCK).cast("int")
-    left = left.withColumn("part", F.pmod(F.xxhash64("id", "sig"), parts).cast("int"))
+    left = left.withColumn("part", F.pmod(F.xxhash64("id", "hub"), parts).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     left = left.withColumn("b1", F.least("part", "other")).withColumn("b2", F.greatest("part", "other")).withColumn("one", F.col("b1") == F.col("b2"))
     # many blocks are tiny: a task's group has several, about ROWS rows in all
-    groups = max(1, left_rows // ROWS)
-    left = left.withColumn("group", F.pmod(F.xxhash64("sig", "b1", "b2"), F.lit(groups)))
+    left = left.withColumn("group", F.pmod(F.xxhash64("hub", "b1", "b2"), F.lit(max(1, left_rows // ROWS))))
+    left = left.join(about, F.col("id") == F.col("r_id")).drop("r_id")
     pairs = stored(left.groupBy("group").applyInPandas(_compare(percent), "x long, y long, cx long, cy long, gx long, gy long"), "join-left")
     more = stored(_verify(pairs, docs, shingle, percent), "join-links")
     comp = components(links.unionByName(more).unionByName(copies)).withColumnRenamed("id", "c_id")
