@@ -383,4 +383,5 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id (five words, 0.8)."""
     c = jaccard_components(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("c_id")).distinct()
-    return docs.join(_few(stored(c, "near-copies"), "c_id"), F.col("doc_id") == F.col("c_id"), "left_anti")
+    ids = _few(stored(c, "near-copies"), "c_id")
+    return docs.join(ids, docs["doc_id"] == ids["c_id"], "left_anti")
