@@ -119,7 +119,7 @@ class Plan:
         half = worst // 2 + 1 + 2 + worst // 16
 
         def cost(rows, tokens):  # rows written, and chance matches of so few shingles
-            return rows * (1 + 100 * np.exp(-tokens))
+            return rows * (1 + 200 * np.exp(-tokens))
 
         a, b = top / whole, top / half
         return (half, True) if cost(half * (1 + b), b - 1) < cost(whole, a) else (whole, False)
