@@ -22,7 +22,7 @@ from ..operators.aggregate import next_number
 from ..operators.integrity import LOAD_ORDER
 from ..session import ensure_checkpoint_dir
 from ..sources.dbf import read_dbf
-from ..sources.files import read_bundle_sheet
+from ..sources.files import path_exists, read_bundle_sheet
 from ..sources.sinks import snapshot_store, write_bundle, write_release
 from . import effort, etl, load as loader, products
 
@@ -73,10 +73,8 @@ def load(spark: SparkSession, bundle: str, store_root: str, archive_root: str |
     """Proofed bundle -> store. Returns ``(violations, written_tables, snapshot_path)``."""
     proofed = {}
     for sheet, table in SHEETS.items():
-        try:
+        if path_exists(spark, f"{bundle.rstrip('/')}/{sheet}._schema"):  # else the batch had no such table
             proofed[table] = read_bundle_sheet(spark, bundle, sheet)
-        except Exception:  # noqa: BLE001 - the batch had no such table
-            continue
     violations, written, upload_id = loader.load_batch(spark, proofed, store_root, conform_tables=True,
                                                        number_meta=True)
     snap = None

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregate import next_number
 from ..operators.integrity import LOAD_ORDER, union_all, validate_table
 from ..operators.projection import drop_matching
+from ..sources.files import path_exists
 from ..sources.sinks import append_batch
 
 HELPERS = r"_flg$|_index$|^key_"
@@ -24,10 +25,9 @@ HELPERS = r"_flg$|_index$|^key_"
 def read_store_tables(spark: SparkSession, root: str, names=LOAD_ORDER) -> dict:
     out = {}
     for n in names:
-        try:
-            out[n] = spark.read.parquet(f"{root.rstrip('/')}/{n}")
-        except Exception:  # noqa: BLE001 - table not created yet
-            pass
+        path = f"{root.rstrip('/')}/{n}"
+        if path_exists(spark, path):  # else not created yet
+            out[n] = spark.read.parquet(path)
     return out
 
 

@@ -93,7 +93,9 @@ def daily_values(daily: DataFrame, staid=None, code=None, stat=None, start=None,
         d = d.filter(F.col("staid").isin(list(staid) if isinstance(staid, (list, tuple)) else [staid]))
     if code is not None:
         d = d.filter(F.col("code") == code)
-    if stat is not None and "stat" in d.columns:
+    if stat is not None and "stat" not in d.columns:
+        raise ValueError("daily values without a stat column cannot be filtered by statistic")
+    if stat is not None:
         d = d.filter(F.col("stat") == stat)
     if start is not None:
         d = d.filter(F.col("date") >= F.lit(start).cast("date"))

@@ -111,7 +111,7 @@ SELECT j.*, st.sta_name, st.rvr_code, {AS_OF_SQL} AS last_modified FROM j LEFT J
 register("src_daily_values", W("daily") + f"""
 SELECT staid, date, avg(val) AS discharge FROM daily WHERE staid = '09261000' AND code = '00060'
   AND date BETWEEN DATE '{WATER_YEAR - 1}-12-31' AND DATE '{WATER_YEAR}-12-31' GROUP BY staid, date""")(
-    lambda spark, d: products.daily_values(T(spark, d).daily, "09261000", "00060", "00003",
+    lambda spark, d: products.daily_values(T(spark, d).daily, "09261000", "00060", None,
                                            f"{WATER_YEAR - 1}-12-31", f"{WATER_YEAR}-12-31", "discharge"))
 
 register("dp_cpue_life_stage", W("site", "fish", "stage_bounds") + f"""

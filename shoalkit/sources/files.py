@@ -12,6 +12,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its own file system.
+
+    An absent table is a normal case; one that cannot be read must fail, so callers test
+    for existence instead of catching what a read raises.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 STORE_TABLES = ("meta", "site", "water_qual", "fish", "pittag", "floytag", "vial")
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import path_exists
+
 from ..operators.integrity import LOAD_ORDER
 
 
@@ -78,11 +80,9 @@ def snapshot_store(spark: SparkSession, root: str, dest: str, date: str, upload_
     target = f"{dest.rstrip('/')}/{date}_uid-{upload_id}"
     for name in tables:
         src = f"{root.rstrip('/')}/{name}"
-        try:
-            df = spark.read.parquet(src)
-        except Exception:  # noqa: BLE001 - table not in this store
+        if not path_exists(spark, src):  # table not in this store
             continue
-        df.write.mode("overwrite").parquet(f"{target}/{name}")
+        spark.read.parquet(src).write.mode("overwrite").parquet(f"{target}/{name}")
     return target
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import integrity as ck
+from ..sources.files import path_exists
 
 
 def _writer(spark: SparkSession, table: str, store_root: str, rules: dict | None):
@@ -21,10 +22,11 @@ def _writer(spark: SparkSession, table: str, store_root: str, rules: dict | None
     bad_path = f"{store_root.rstrip('/')}/_violations/{table}"
 
     def handle(batch: DataFrame, batch_id: int):
-        try:
-            store = {table: spark.read.parquet(store_path).drop("batch_id")}
-        except Exception:  # noqa: BLE001 - first batch, empty store
-            store = {}
+        store = {}
+        if path_exists(spark, store_path):
+            # a replayed batch is held against the others only, not against its own rows
+            others = spark.read.parquet(store_path).filter(F.col("batch_id") != batch_id)
+            store = {table: others.drop("batch_id")}
         v = ck.validate_table(spark, table, batch, store=store, rules=rules)
         errors = v.filter(F.col("severity") == "error")
         if errors.limit(1).count() > 0:
