@@ -146,7 +146,7 @@ def test_decontaminate(spark, docs, empty):
         assert len(got) == len(rows)
         for r in got:
             w = word.findall((texts[r.doc_id] or "").translate(LOW))
-            hit = {q for s in range(len(w)) for n in {len(x) for x in wins} if tuple(w[s:s + n]) in wins for q in range(s, s + n)}
+            hit = {q for s in range(len(w)) for n in {len(x) for x in wins} if s + n <= len(w) and tuple(w[s:s + n]) in wins for q in range(s, s + n)}
             assert (r.n_words, r.n_hit, r.contaminated) == (len(w), len(hit), bool(hit))
         decontaminate.BROADCAST_BYTES = 32 << 20
     assert decontaminate.decontaminate(empty, items).count() == 0
