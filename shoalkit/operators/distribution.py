@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small, keyed_join
+from .joins import keyed_join
 
 
 def histogram(df: DataFrame, col: str, width: float | None = None, bins: int | None = None,
@@ -34,7 +34,7 @@ def histogram(df: DataFrame, col: str, width: float | None = None, bins: int | N
         raise ValueError("give width or bins")
     nb = F.lit(float(bins))
     if per_group_range and by:
-        rng = broadcast_if_small(d.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+        rng = d.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         d = keyed_join(d, rng, {b: b for b in by}, "inner", null_safe=True)  # a NULL facet is a panel too
     else:
         lo, hi = d.agg(F.min("_x"), F.max("_x")).first()

@@ -140,9 +140,10 @@ def check_unique(df: DataFrame, table: str, cols, store: DataFrame | None = None
 
 
 def check_not_null(df: DataFrame, table: str, cols) -> DataFrame:
-    """NULL counts of the listed columns, one scan for all of them."""
-    cols = [c for c in cols if c in df.columns]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    """NULL counts of the listed columns, one scan for all of them; an absent column is NULL in every row."""
+    cols = list(cols)
+    have = set(df.columns)
+    counts = df.agg(*[(F.count_if(F.col(c).isNull()) if c in have else F.count(F.lit(1))).alias(c) for c in cols])
     long = counts.unpivot([], cols, "column", "_n")
     return (long.filter(F.col("_n") > 0)
             .select(F.lit(table).alias("table"), F.lit("not_null").alias("rule"), "column",
@@ -175,10 +176,12 @@ def check_nonzero(df: DataFrame, table: str, cols) -> DataFrame:
                     F.lit("error").alias("severity")))
 
 
-def check_foreign_key(child: DataFrame, parent: DataFrame, cols, parent_cols=None,
+def check_foreign_key(child: DataFrame, parent: DataFrame | None, cols, parent_cols=None,
                       table: str = "child") -> DataFrame:
     """Child keys with no parent row, counted per key. A NULL key part passes.
 
+    Without a parent table every child key is a violation.
+
     Child keys are reduced to distinct (key, count) first, then anti-joined with the
     parent's keys.
     """
@@ -186,8 +189,10 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, cols, parent_cols=Non
     pcols = list(parent_cols or cols)
     keyed = child.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
     counts = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    p = parent.select(*[F.col(pc).alias(c) for c, pc in zip(cols, pcols)]).distinct()
-    missing = counts.join(p, cols, "left_anti")
+    missing = counts
+    if parent is not None:
+        p = parent.select(*[F.col(pc).alias(c) for c, pc in zip(cols, pcols)]).distinct()
+        missing = counts.join(p, cols, "left_anti")
     return _rows(missing, table, "foreign_key", ",".join(cols), _key_text(cols), F.col("_n"))
 
 
@@ -220,6 +225,5 @@ def validate_table(spark, table: str, df: DataFrame, store: dict | None = None,
         if not all(c in df.columns for c in cols):
             continue
         sources = [t.select(*pcols) for t in (parents.get(ptable), store.get(ptable)) if t is not None]
-        if sources:
-            out.append(check_foreign_key(df, union_all(sources), cols, pcols, table))
+        out.append(check_foreign_key(df, union_all(sources) if sources else None, cols, pcols, table))
     return union_all(out) if out else empty_violations(spark)

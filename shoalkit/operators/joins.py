@@ -1,8 +1,8 @@
 """Joins: lookups, natural joins, NULL-safe joins and small range joins.
 
-Broadcasts are only placed on a side whose row count was checked against a bound
-(``broadcast_if_small``); otherwise Catalyst/AQE choose (sort-merge with skew-join
-splitting). Range joins always carry an equality key next to the range condition so
+No join carries a broadcast hint: Catalyst (by its size estimate) and AQE (by the bytes
+it measured) broadcast a side below ``spark.sql.autoBroadcastJoinThreshold``, and use
+sort-merge with skew-join splitting otherwise. Range joins always carry an equality key next to the range condition so
 they plan as hash joins, never as nested loops over both sides.
 """
 
@@ -11,16 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension with at most this many rows may be broadcast.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` after checking it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _eq(a, b, null_safe: bool):
     return a.eqNullSafe(b) if null_safe else a == b
 
@@ -91,10 +81,9 @@ def _full_join(left: DataFrame, right: DataFrame, on: dict, null_safe: bool) ->
     return part1.unionByName(part2).select(*out_cols)
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: dict, null_safe: bool = False,
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on: dict, null_safe: bool = False) -> DataFrame:
     """Left lookup of a small dimension by code (names may differ: ``{'reach': 'rch_code'}``)."""
-    return keyed_join(df, broadcast_if_small(dim, max_rows), on, "left", null_safe)
+    return keyed_join(df, dim, on, "left", null_safe)
 
 
 def natural_join(a: DataFrame, b: DataFrame, how: str = "full", null_safe: bool = False) -> DataFrame:
@@ -114,28 +103,28 @@ def full_join(a: DataFrame, b: DataFrame, on, null_safe: bool = False) -> DataFr
 
 
 def life_stage(df: DataFrame, bounds: DataFrame, species: str = "species",
-               length: str = "tot_length", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               length: str = "tot_length") -> DataFrame:
     """Life stage by species and length class: ``min_len <= length < max_len``.
 
     ``bounds``: (species, life_stage, min_len, max_len); a NULL max is open. Left join,
     so an unknown species or length keeps a NULL stage.
     """
-    b = broadcast_if_small(
+    b = (
         bounds.select(F.col("species").alias("_bs"), "life_stage",
-                      F.col("min_len").alias("_lo"), F.col("max_len").alias("_hi")), max_rows)
+                      F.col("min_len").alias("_lo"), F.col("max_len").alias("_hi")))
     cond = ((F.col(species) == F.col("_bs")) & (F.col(length) >= F.col("_lo"))
             & (F.col("_hi").isNull() | (F.col(length) < F.col("_hi"))))
     return df.join(b, cond, "left").drop("_bs", "_lo", "_hi")
 
 
 def assign_reach(df: DataFrame, bounds: DataFrame, river: str = "rvr_code", mile: str = "mid_rmi",
-                 out: str = "reach", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 out: str = "reach") -> DataFrame:
     """Reach by river and river mile: ``min_rmi <= mile < max_rmi`` within the river.
 
     ``bounds``: (rvr_code, rch_code, min_rmi, max_rmi). Left join; no match -> NULL.
     """
-    b = broadcast_if_small(
+    b = (
         bounds.select(F.col("rvr_code").alias("_br"), F.col("rch_code").alias(out),
-                      F.col("min_rmi").alias("_lo"), F.col("max_rmi").alias("_hi")), max_rows)
+                      F.col("min_rmi").alias("_lo"), F.col("max_rmi").alias("_hi")))
     cond = ((F.col(river) == F.col("_br")) & (F.col(mile) >= F.col("_lo")) & (F.col(mile) < F.col("_hi")))
     return df.join(b, cond, "left").drop("_br", "_lo", "_hi")

@@ -59,12 +59,10 @@ def profile(df: DataFrame, approx: bool = False, quantiles=None, accuracy: int =
     ])).alias("p")).select("p.*").filter(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
     # one row per column (bounded by the schema width, so it may be broadcast)
-    per_col = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), F.max("cnt").alias("_top"))
-    top = F.broadcast(per_col.select("column", "_top"))
-    mode = (counts.join(top, "column").filter(F.col("cnt") == F.col("_top"))
-            .groupBy("column").agg(F.min("value").alias("mode")))
-    return (base.drop("_d").join(F.broadcast(per_col.drop("_top")), "column", "left")
-            .join(F.broadcast(mode), "column", "left")
+    per_col = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"),
+                                           F.min(F.struct(-F.col("cnt"), "value")).alias("_mode"))
+    per_col = per_col.select("column", "n_distinct", F.col("_mode.value").alias("mode"))
+    return (base.drop("_d").join(F.broadcast(per_col), "column", "left")
             .select("column", "type", "n", "n_missing", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
                     "min", "max", "mode", *qnames))
 

@@ -39,8 +39,8 @@ def _site_item_counts(sites: DataFrame, items: DataFrame, item: str, out_item: s
     zero rows. The item list is the set seen among fish of these sites.
     """
     counts = (items.filter(F.col(item).isNotNull())
-              .groupBy("site_id", item).agg(F.count(F.lit(1)).alias("_n"))
-              .join(sites.select("site_id"), "site_id", "left_semi"))
+              .join(sites.select("site_id"), "site_id", "left_semi")
+              .groupBy("site_id", item).agg(F.count(F.lit(1)).alias("_n")))
     if values is None:
         # the seen items are read off the counts, which the grid then uses again: keep
         # them (they are far smaller than the fish) instead of aggregating the fish twice

@@ -72,6 +72,13 @@ def clean_fish(raw: DataFrame, native=NATIVE) -> DataFrame:
     return change_case(f, upper=["rep_cond"])
 
 
+def fish_times(raw: DataFrame, samp_n: DataFrame) -> DataFrame:
+    """fish_id, datetime and species of every fish: all that tags take from the fish."""
+    f = sentinel_to_null(raw.select("key_aa", "key_a", "time", "species"))
+    f = keyed_join(f, samp_n.select("key_a", "t_stamp"), {"key_a": "key_a"}, "left", null_safe=True)
+    return f.select(F.col("key_aa").alias("fish_id"), date_time(F.to_date("t_stamp"), F.col("time")).alias("datetime"), "species")
+
+
 def fish_rows(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
     """Cleaned fish with site keys, datetime, index and corrected mile (no points yet)."""
     f = keyed_join(clean_fish(raw, native), samp_n, {"key_a": "key_a"}, "left", null_safe=True)

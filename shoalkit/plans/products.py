@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import case_flag, strict_mean
-from ..operators.joins import broadcast_if_small, lookup
+from ..operators.joins import lookup
 from ..operators.projection import move_first
 from .effort import as_of_col
 
@@ -31,7 +31,7 @@ def site_pointer(site: DataFrame, river: DataFrame, reach: DataFrame, water: Dat
     s = lookup(s, river.select("rvr_code", "rvr_name"), {"rvr_code": "rvr_code"})
     s = lookup(s, reach.select("rch_code", "rch_name"), {"rch_code": "rch_code"})
     s = s.join(water, "site_id", "left")
-    mp = broadcast_if_small(meta_product(meta, years))
+    mp = meta_product(meta, years)
     s = s.join(mp, ["project_code", "year"], "inner")
     return s.drop("water_id")
 
@@ -113,7 +113,7 @@ def water_product(daily: DataFrame, stations: DataFrame, year: int, discharge_co
     parameter is the mean of its rows (NULL when absent). One shuffle, no join.
     Per-station temperature statistic applies where the data carries a ``stat`` column.
     """
-    st = broadcast_if_small(stations)
+    st = stations
     d = daily.filter(F.col("code").isin(discharge_code, temp_code)
                      & (F.col("date") >= F.lit(f"{year - 1}-12-31").cast("date"))
                      & (F.col("date") <= F.lit(f"{year}-12-31").cast("date")))

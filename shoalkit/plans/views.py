@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
 
 RARE_SPECIES = ["CS", "RZ", "HB", "BT"]
 
@@ -26,7 +25,7 @@ def _opt(df: DataFrame, name: str, alias: str | None = None):
 
 def view_site(site: DataFrame, meta: DataFrame, water: DataFrame) -> DataFrame:
     """site LEFT JOIN meta ON (project_code, year) LEFT JOIN water_qual ON site_id."""
-    m = broadcast_if_small(meta.select("project_code", "year", "agency", "principal_lname", "principal_fname"))
+    m = meta.select("project_code", "year", "agency", "principal_lname", "principal_fname")
     w = water.select("site_id", "cond_amb", "rvr_temp", "secchi")
     j = site.join(m, ["project_code", "year"], "left").join(w, "site_id", "left")
     return j.select(
@@ -43,7 +42,7 @@ def view_site(site: DataFrame, meta: DataFrame, water: DataFrame) -> DataFrame:
 def _fish_site_meta(fish: DataFrame, site: DataFrame, meta: DataFrame) -> DataFrame:
     s = site.select(F.col("site_id").alias("_site_id"), "year", "river")
     # meta joins on year only (as the view is written): one meta row per year
-    m = broadcast_if_small(meta.select("year", "agency", "principal_lname", "principal_fname"))
+    m = meta.select("year", "agency", "principal_lname", "principal_fname")
     return fish.join(s, fish["site_id"] == s["_site_id"], "left").join(m, "year", "left")
 
 

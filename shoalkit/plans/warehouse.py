@@ -2,7 +2,7 @@
 
 The warehouse tables arrive as DataFrames (``sources.files.read_warehouse`` reads them
 over JDBC in parallel ranges; tests use landed tables). Lookups (study, gear, org,
-river, person, species, disposition, sex, tag type) are broadcast behind a row check;
+river, person, species, disposition, sex, tag type) are small, so Catalyst broadcasts them;
 encounters and the non-tagged bin are the large sides and keep their partitioning.
 Fish tables are reduced to the selected sites with a semi-join on the sample number.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EPSG_UTM12N
 from ..functions.nulls import paste, r_round, sub_first
-from ..operators.joins import assign_reach, broadcast_if_small
+from ..operators.joins import assign_reach
 from ..operators.projection import lower_columns
 from .effort import as_of_col
 
@@ -23,7 +23,7 @@ def _dim(df: DataFrame, **rename) -> DataFrame:
     out = df
     for old, new in rename.items():
         out = out.withColumnRenamed(old, new)
-    return broadcast_if_small(out)
+    return out
 
 
 def site_pointer(t: dict, year: int, project: str) -> DataFrame:
@@ -33,7 +33,11 @@ def site_pointer(t: dict, year: int, project: str) -> DataFrame:
     org = _dim(t["org"].select("ID", "Name"), ID="OrgID", Name="OrgName")
     rvr = _dim(t["hydro"].select("ID", "Code", "Name", "BasinID"), ID="RiverID", Code="rvr_code", Name="rvr_name")
     person = _dim(t["person"].select("ID", "FirstName", "LastName"), ID="PersonID")
-    ev = t["study_event"].withColumnRenamed("ID", "StudyEventID").filter(F.year("StartDateTime") == year)
+    # a half-open range reaches the Parquet scan, year(...) = n does not
+    kind = t["study_event"].schema["StartDateTime"].dataType
+    start, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast(kind) for y in (year, year + 1))
+    ev = t["study_event"].withColumnRenamed("ID", "StudyEventID")
+    ev = ev.filter((F.col("StartDateTime") >= start) & (F.col("StartDateTime") < end))
     return (ev.join(study, "StudyID", "left").join(gear, "GearTypeID", "left").join(org, "OrgID", "left")
             .join(rvr, "RiverID", "left").join(person, "PersonID", "left")
             .filter(F.col("StudyCode") == project))
@@ -49,8 +53,7 @@ def wh_site(t: dict, year: int, project: str, reach_bounds: DataFrame, reach_dim
                  paste("lastname", "firstname", sep=", ").alias("principal"),
                  sub_first(F.col("orgname"), "[a-z]+").alias("agency"))
     s = assign_reach(s, reach_bounds, "rvr_code", "mid_rmi", "reach")
-    names = broadcast_if_small(reach_dim.select(F.col("rch_code").alias("_rc"), "rch_name",
-                                                F.col("rvr_code").alias("_rv")))
+    names = reach_dim.select(F.col("rch_code").alias("_rc"), "rch_name", F.col("rvr_code").alias("_rv"))
     s = s.join(names, (F.col("reach") == F.col("_rc")) & (F.col("rvr_code") == F.col("_rv")), "inner")
     return s.select(
         F.col("samplenumber").alias("site_id"), F.col("studycode").alias("project_code"), "year", "rvr_name",

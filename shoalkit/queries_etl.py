@@ -92,7 +92,7 @@ def _q_tags(kind):
     def q(spark, d):
         t = T(spark, d)
         samp_n = etl.key_map(_site(t))
-        fish = etl.fish_rows(t.raw_fish, samp_n)  # id, time and species are all the tags need
+        fish = etl.fish_times(t.raw_fish, samp_n)
         raw = t.raw_pittag if kind == "pit" else t.raw_floytag
         return etl.build_tags(raw, samp_n, fish, kind)
     return q

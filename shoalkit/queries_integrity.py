@@ -169,7 +169,8 @@ def proofed_batch(t):
 
 
 def _q_batch(spark, d):
-    violations, _, _ = load.load_batch(spark, proofed_batch(T(spark, d)), scratch_path(spark, "store"))
+    violations, _, _ = load.load_batch(spark, proofed_batch(T(spark, d)), scratch_path(spark, "store"),
+                                       number_meta=True)
     return violations
 
 

@@ -94,7 +94,7 @@ JOIN c ON f.site_id IS NOT DISTINCT FROM c.site_id AND f.species IS NOT DISTINCT
 register("jn_broadcast", W("fish", "tbl_spp") + """
 SELECT f.fish_id, f.species, s.com_name, s.sci_name FROM fish f JOIN tbl_spp s ON f.species = s.spp_code""")(
     lambda spark, d: T(spark, d).fish.select("fish_id", "species").join(
-        jn.broadcast_if_small(T(spark, d).tbl_spp.select(F.col("spp_code").alias("species"), "com_name", "sci_name")),
+        T(spark, d).tbl_spp.select(F.col("spp_code").alias("species"), "com_name", "sci_name"),
         "species"))
 
 

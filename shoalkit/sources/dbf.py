@@ -27,6 +27,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -191,6 +192,11 @@ def _decode(raw: np.ndarray, ftype: str, dtype, encoding: str):
         return pa.array(vals, pa.string())
     if isinstance(dtype, (IntegerType, LongType, DoubleType)):
         safe = np.where(blank, "0", text)
+        if not isinstance(dtype, DoubleType):
+            whole = pc.match_substring_regex(pa.array(safe.astype(object), pa.string()), r"^[+-]?[0-9]{1,18}$")
+            if pc.all(whole).as_py() is not False:  # straight to integers, never through a double
+                ints = pc.cast(pa.array(np.char.lstrip(safe, "+").astype(object), pa.string()), pa.int64())
+                return pc.if_else(pa.array(blank), pa.scalar(None, pa.int64()), ints).cast(_arrow_type(dtype))
         try:
             nums = safe.astype(np.float64)
         except ValueError:
@@ -201,13 +207,9 @@ def _decode(raw: np.ndarray, ftype: str, dtype, encoding: str):
             return pa.array(nums, pa.float64(), mask=mask)
         return pa.array(nums.astype(np.int64), _arrow_type(dtype), mask=mask)
     if isinstance(dtype, DateType):
-        out = []
-        for x in text:
-            try:
-                out.append(_dt.date(int(x[:4]), int(x[4:6]), int(x[6:8])) if x and x != "00000000" else None)
-            except ValueError:
-                out.append(None)
-        return pa.array(out, pa.date32())
+        import pandas as pd
+        days = pd.to_datetime(pd.Series(text.astype(object)), format="%Y%m%d", errors="coerce")
+        return pa.array(days.to_numpy().astype("datetime64[D]"), pa.date32())
     if isinstance(dtype, BooleanType):
         up = np.char.upper(text)
         vals = np.where(np.isin(up, ["T", "Y"]), True, False)
@@ -228,6 +230,12 @@ def _to_float(x: str) -> float:
 
 def _field_spec(name: str, dtype, width: int | None):
     from pyspark.sql import types as T
+    if len(name) > 10:
+        raise ValueError(f"dBase field names have 10 characters at most: {name}")
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) and (width or 1) > 18:
+        raise ValueError(f"{name}: integers of {width} characters do not fit a dBase field")
+    if isinstance(dtype, T.StringType) and (width or 1) > 254:
+        raise ValueError(f"{name}: text of {width} characters does not fit a dBase field")
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return (name, "N", max(1, min(18, width or 11)), 0)
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
@@ -252,12 +260,14 @@ def _encode_batch(pdf, specs, encoding: str) -> bytes:
         col = pdf[name]
         null = col.isna().to_numpy()
         if ftype == "N":
-            num = pd.to_numeric(col, errors="coerce").fillna(0)
             if dec:
-                txt = np.char.mod(f"%.{dec}f", num.to_numpy(dtype="float64"))
+                num = pd.to_numeric(col).fillna(0).to_numpy(dtype="float64")
+                txt = np.char.mod(f"%.{dec}f", num)
+                txt = np.where(txt.astype("float64") == num, txt, num.astype(str))  # else every digit it has
+                if ((np.char.str_len(txt) > length) | (np.char.find(txt, "e") >= 0) | ~np.isfinite(num)).any():
+                    raise ValueError(f"{name}: a number does not fit {length} characters")
             else:
-                # exact for integer columns; a column holding NULLs arrives as float64
-                txt = num.astype("int64").astype(str).to_numpy()
+                txt = col.astype(str).to_numpy()  # integers arrive as text
             txt = np.char.rjust(np.where(null, "", txt).astype(str), length)
         elif ftype == "D":
             txt = pd.to_datetime(col).dt.strftime("%Y%m%d").fillna("").to_numpy().astype(str)
@@ -265,7 +275,10 @@ def _encode_batch(pdf, specs, encoding: str) -> bytes:
             txt = np.where(null, "?", np.where(col.fillna(False).astype(bool).to_numpy(), "T", "F"))
         else:
             txt = np.where(null, "", col.astype(str).to_numpy()).astype(str)
-        raw = np.array(np.char.encode(txt.astype(str), encoding, "replace"), dtype=f"S{length}")
+        code = np.char.encode(txt.astype(str), encoding)  # a character outside the code page is an error
+        if (np.char.str_len(code) > length).any():
+            raise ValueError(f"{name}: a value is longer than {length} bytes")
+        raw = code.astype(f"S{length}")
         block = np.frombuffer(raw.tobytes(), dtype=np.uint8).reshape(n, length).copy()
         block[block == 0] = 0x20  # fixed-width text is blank-padded, not NUL-padded
         out[:, off:off + length] = block
@@ -322,6 +335,10 @@ def write_dbf(df, folder: str, table: str, prefix: str = "part", encoding: str =
         os.replace(tmp, path)
         yield pd.DataFrame({"path": [path], "rows": [total]})
 
+    whole = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
+    # integers go as text: a pandas column holding NULLs would turn them into doubles
+    df = df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, whole) else F.col(f.name)
+                     for f in df.schema.fields])
     df.mapInPandas(write_part, "path string, rows long").collect()
     return folder
 

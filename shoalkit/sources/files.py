@@ -79,19 +79,23 @@ def read_warehouse(spark: SparkSession, source: str, table: str, columns=None, p
     return df.select(*columns)
 
 
+#: CSV options shared by writers and readers: blanks and microseconds are kept.
+CSV = {"header": True, "nullValue": "NA", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+       "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "escape": '"'}
+
+
 def read_sheet(spark: SparkSession, bundle: str, sheet: str, schema) -> DataFrame:
     """One proofed sheet of a bundle (``<bundle>/<sheet>`` CSV folder) with its schema.
 
     "NA" cells read as NULL, as the bundle writer stores them.
     """
-    return (spark.read.schema(schema).option("header", True).option("nullValue", "NA")
+    return (spark.read.schema(schema).options(**CSV).option("multiLine", True)
             .option("mode", "FAILFAST").csv(f"{bundle.rstrip('/')}/{sheet}"))
 
 
 def read_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     """CSV with header; types inferred (one extra pass) unless ``infer`` is False."""
-    return (spark.read.option("header", True).option("inferSchema", infer).option("nullValue", "NA")
-            .csv(path))
+    return spark.read.options(**CSV).option("multiLine", True).option("inferSchema", infer).csv(path)
 
 
 def file_name_table(df: DataFrame, col: str = "_table") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import path_exists
+from .files import CSV, path_exists
 
 from ..operators.integrity import LOAD_ORDER
 
@@ -19,7 +19,7 @@ from ..operators.integrity import LOAD_ORDER
 def write_product(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV with header, NULL written as ``NA``, no row names."""
     # an empty string is written quoted ("") so it reads back as "", not as NULL
-    df.write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)
+    df.write.mode(mode).options(**CSV).csv(path)
     return path
 
 
@@ -58,7 +58,7 @@ def write_release(named: dict, path: str, project: str, year: int) -> dict:
         d = d.filter((F.col("project_code") == project) & (F.col("year") == year))
         p = f"{path.rstrip('/')}/{name}"
         (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("project_code", "year").option("header", True).option("nullValue", "NA")
+         .partitionBy("project_code", "year").options(**CSV)
          .option("compression", "gzip").csv(p))
         out[name] = p
     return out

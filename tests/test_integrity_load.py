@@ -18,6 +18,23 @@ def _site(spark, rows):
                                        "start_rmi double, end_rmi double, shoreline string, el_sec int, upload_id int")
 
 
+def _timed(site):
+    return (site.withColumn("startdatetime", F.to_timestamp_ntz(F.lit("2020-07-01 08:00:00")))
+            .withColumn("enddatetime", F.to_timestamp_ntz(F.lit("2020-07-01 09:00:00"))))
+
+
+def test_absent_parent_and_absent_columns_are_violations(spark):
+    fish = spark.createDataFrame([("f1", "nosite", 1.0, "SM", "RT"), ("f2", "nosite", 1.0, "SM", "RT")],
+                                 "fish_id string, site_id string, rmi double, species string, disp string")
+    v = ck.validate_table(spark, "fish", fish).collect()
+    assert [(r.rule, r.key, r.n) for r in v] == [("foreign_key", "nosite", 2)]
+    tag = spark.createDataFrame([("p1", "f1")], "pit_id string, fish_id string")
+    v = ck.validate_table(spark, "pittag", tag, parents={"fish": fish}).collect()
+    assert {(r.rule, r.column) for r in v} == {("not_null", c) for c in ("pit_recap", "pit_num", "pit_type")}
+    _, written, _ = load.load_batch(spark, {"fish": fish}, scratch_path(spark, "test-store"))
+    assert written == []
+
+
 def test_validator_finds_planted_errors(spark):
     meta = _meta(spark)
     site = _site(spark, [("a", "abc", 2020, "GR", "LGR", 1.0, 0.5, "R", 1200, 1),
@@ -34,7 +51,7 @@ def test_validator_finds_planted_errors(spark):
 
 def test_validator_passes_clean_data(spark):
     meta = _meta(spark)
-    site = _site(spark, [("a", "abc", 2020, "GR", "LGR", 1.0, 0.5, "R", 1200, 1)])
+    site = _timed(_site(spark, [("a", "abc", 2020, "GR", "LGR", 1.0, 0.5, "R", 1200, 1)]))
     v = ck.validate_table(spark, "site", site, parents={"meta": meta})
     assert v.filter(F.col("severity") == "error").count() == 0
 
@@ -49,8 +66,7 @@ def test_load_is_all_or_nothing(spark):
     root = scratch_path(spark, "test-store")
     meta = _meta(spark)
     good = _site(spark, [("a", "abc", 2020, "GR", "LGR", 1.0, 0.5, "R", 1200, 1)]).drop("upload_id")
-    good = good.withColumn("startdatetime", F.to_timestamp_ntz(F.lit("2020-07-01 08:00:00"))) \
-               .withColumn("enddatetime", F.to_timestamp_ntz(F.lit("2020-07-01 09:00:00")))
+    good = _timed(good)
     v, written, _ = load.load_batch(spark, {"meta": meta, "site": good}, root)
     assert written == ["meta", "site"]
     assert spark.read.parquet(f"{root}/site").first().upload_id == 1
