@@ -14,4 +14,6 @@ QUERIES = {
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_fingerprints": fingerprint.op10_fingerprints,
 }
+#: Operators over rows derived from a given table, beside the ten over the table itself.
+DERIVED = {"op1_tool_calls": tool_chat.op1_tool_calls}
 ORACLE = {"op1_tool_chat": tool_chat.ORACLE_OP1, "op7_decontaminate": decontaminate.ORACLE_OP7}

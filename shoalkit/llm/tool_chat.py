@@ -2,7 +2,9 @@
 
 A message whose text is a JSON object may carry ``tool_calls`` (a list of objects with
 ``id``, ``name``, ``arguments`` and optionally ``after``, ids it waits for) or, as a tool's
-answer, ``tool_call_id``. Calls and answers of a conversation meet in a hash join on
+answer, ``tool_call_id``. A call may also be nested as ``{"id", "function": {"name",
+"arguments"}}``, ids may be integers (``7`` and ``"7"`` are one id) and blanks may stand
+before the object. Calls and answers of a conversation meet in a hash join on
 (conversation, id). Messages are ordered topologically: a call comes after the calls named
 in ``after`` and after those whose id an argument quotes as ``{"$ref": id}``, an answer
 after its call; levels are found by passing the largest known level along these links until
@@ -58,9 +60,16 @@ def fits(value, schema: dict) -> bool:
     return True
 
 
+def _id(value) -> str | None:
+    """An id as text; None for what is no string or integer."""
+    if isinstance(value, int) and not isinstance(value, bool):
+        return str(value)
+    return value if isinstance(value, str) else None
+
+
 def _refs(value) -> set[str]:
     if isinstance(value, dict):
-        own = {value["$ref"]} if isinstance(value.get("$ref"), str) else set()
+        own = {_id(value.get("$ref"))} - {None}
         return own.union(*map(_refs, value.values()))
     return set().union(*map(_refs, value)) if isinstance(value, list) else set()
 
@@ -69,26 +78,28 @@ def parse(role: str | None, text: str | None, schemas: dict) -> dict:
     """Canonical JSON of one message, its calls and the call it answers."""
     text, role = text or "", role or "unknown"
     calls, answers, message = [], None, {"role": role, "content": text}
-    if text[:1] == "{":
+    if text.lstrip(" \t\r\n")[:1] == "{":
         try:
             body = json.loads(text)
         except (ValueError, RecursionError):
             body = {}
         if isinstance(body.get("tool_calls"), list):
             for c in body["tool_calls"]:
-                if isinstance(c, dict) and isinstance(c.get("id"), str):
-                    args = c.get("arguments")
+                own = _id(c.get("id")) if isinstance(c, dict) else None
+                if own is not None:
+                    f = c["function"] if isinstance(c.get("function"), dict) else c
+                    args = f.get("arguments")
                     if isinstance(args, str):  # arguments are often sent as encoded JSON
                         try:
                             args = json.loads(args)
                         except (ValueError, RecursionError):
                             args = None
-                    name = str(c.get("name"))
+                    name = str(f.get("name"))
                     after = c.get("after") if isinstance(c.get("after"), list) else []
-                    needs = sorted(({x for x in after if isinstance(x, str)} | _refs(args)) - {c["id"]})
-                    calls.append({"id": c["id"], "name": name, "valid": isinstance(args, dict) and fits(args, schemas.get(name, {})), "needs": needs})
-        elif isinstance(body.get("tool_call_id"), str):
-            answers = body["tool_call_id"]
+                    needs = sorted(({_id(x) for x in after} | _refs(args)) - {own, None})
+                    calls.append({"id": own, "name": name, "valid": isinstance(args, dict) and fits(args, schemas.get(name, {})), "needs": needs})
+        else:
+            answers = _id(body.get("tool_call_id"))
         if calls or answers is not None:
             message = body | {"role": role}
     return {"json": canonical(message), "calls": calls, "answers": answers}
@@ -154,6 +165,66 @@ def _levels(call: DataFrame) -> DataFrame:
     return done.unionByName(call.select("conv_id", "id", "turn").join(circle, same, "left_semi").withColumn("level", F.lit(None).cast("int")))
 
 
+#: Tools of the derived calls; the row's hash deals them.
+TOOLS = ("search", "quote", "count")
+
+
+def derived(conversations: DataFrame) -> DataFrame:
+    """The conversations as tool chats, one message per given row, each from its row alone.
+
+    An assistant's turn becomes a call with id ``c<turn>`` and its text as content, the
+    user's next turn its answer; first turns and other roles stay as they are. The rest of
+    xxhash64(conv_id, turn) by 16 plants what goes wrong:
+
+    0 no call, so the answer misses its call; 1 the id of the turn two before once more;
+    2 ``limit`` as text; 3 no ``query``; 4 a limit above the schema's maximum; 5 arguments
+    that are no JSON; 6 waits for the call two turns later; 7 quotes the call two turns
+    before; 8 integer id in the flat form, blanks in front; 9 two calls in one message, the
+    second after the first; 10 the user does not answer; 11 the user answers the call of the
+    turn after, before it is made; 12 as 6 and 7, a circle where a neighbour does the same;
+    others: a plain call.
+    """
+    kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(16))
+    t, text = F.col("turn"), F.coalesce("text", F.lit(""))
+    at = lambda n: F.concat(F.lit("c"), (t + n).cast("string"))
+    tool = F.element_at(F.array(*map(F.lit, TOOLS)), (F.pmod(F.crc32(text.cast("binary")), F.lit(len(TOOLS))) + 1).cast("int"))
+    words = F.size(F.split(F.trim(text), r"\s+"))
+    limit = F.when(kind == 2, F.to_json(F.struct(words.cast("string").alias("x")))).otherwise(F.to_json(F.struct((words + F.when(kind == 4, 1_000_000_000).otherwise(0)).alias("x"))))
+    limit = F.regexp_replace(limit, r'^\{"x":|\}$', "")
+    query = F.regexp_replace(F.to_json(F.struct(F.substring(text, 1, 40).alias("x"))), r'^\{"x":|\}$', "")
+    quoted = F.when(kind.isin(7, 12), F.concat(F.lit(',"from":{"$ref":"'), at(-2), F.lit('"}'))).otherwise("")
+    args = F.concat(F.lit("{"), F.when(kind != 3, F.concat(F.lit('"query":'), query, F.lit(","))).otherwise(""), F.lit('"limit":'), limit, quoted, F.lit("}"))
+    args = F.when(kind == 5, F.lit("{limit:")).otherwise(args)
+    encoded = F.regexp_replace(F.to_json(F.struct(args.alias("x"))), r'^\{"x":|\}$', "")
+    body = F.regexp_replace(F.to_json(F.struct(text.alias("x"))), r'^\{"x":|\}$', "")
+    after = F.when(kind.isin(6, 12), F.concat(F.lit(',"after":["'), at(2), F.lit('"]'))).otherwise("")
+    nested = lambda own, more: F.concat(F.lit('{"id":"'), own, F.lit('"'), more, F.lit(',"type":"function","function":{"name":"'), tool, F.lit('","arguments":'), encoded, F.lit("}}"))
+    one = nested(F.when(kind == 1, at(-2)).otherwise(at(0)), after)
+    flat = F.concat(F.lit('{"id":'), t.cast("string"), F.lit(',"name":"'), tool, F.lit('","arguments":'), args, F.lit("}"))
+    two = F.concat(one, F.lit(","), nested(F.concat(F.lit("d"), t.cast("string")), F.concat(F.lit(',"after":["'), at(0), F.lit('"]'))))
+    made = F.concat(F.when(kind == 8, F.lit(" \n")).otherwise(""), F.lit('{"content":'), body, F.lit(',"tool_calls":['), F.when(kind == 8, flat).when(kind == 9, two).otherwise(one), F.lit("]}"))
+    before = F.pmod(F.xxhash64("conv_id", t - 1), F.lit(16))
+    called = F.when(kind == 11, F.concat(F.lit('"'), at(1), F.lit('"'))).when(before == 8, (t - 1).cast("string")).otherwise(F.concat(F.lit('"'), at(-1), F.lit('"')))
+    answer = F.concat(F.lit('{"content":'), body, F.lit(',"tool_call_id":'), called, F.lit("}"))
+    known = F.col("conv_id").isNotNull() & t.isNotNull()
+    calls, answers = known & (F.col("role") == "assistant") & (kind != 0), known & (F.col("role") == "user") & (t > 0) & (kind != 10)
+    return conversations.select("conv_id", "turn", F.when(answers, "tool").otherwise(F.col("role")).alias("role"), F.when(calls, made).when(answers, answer).otherwise(F.col("text")).alias("text"), tool.alias("tool"), words.alias("words"))
+
+
+def schema_table(chats: DataFrame) -> dict:
+    """A JSON schema per tool of derived chats; a limit is at most the tool's longest text in words."""
+    most = {r["tool"]: r["n"] for r in chats.groupBy("tool").agg(F.max("words").alias("n")).collect()}
+    ref = {"type": "object", "properties": {"$ref": {"type": "string"}}, "required": ["$ref"], "additionalProperties": False}
+    return {k: {"type": "object", "required": ["query", "limit"], "additionalProperties": False,
+                "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1, "maximum": n}, "from": ref}} for k, n in most.items()}
+
+
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole method: calls, answers and schemas derived from the given conversations."""
+    chats = derived(table(spark, sf_dir, "conversations"))
+    return link(chats, schema_table(chats))
+
+
 def op1_tool_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "conversations"))
 

@@ -226,5 +226,66 @@ def test_tool_chat(spark):
     assert tool_chat.link(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text, ids, answers", [
+    ('{"tool_calls":[{"id":7,"name":"add","arguments":{"x":1}}]}', ["7"], None),
+    ('{"tool_calls":[{"id":"a","function":{"name":"add","arguments":"{\\"x\\":1}"}}]}', ["a"], None),
+    (' \n{"tool_calls":[{"id":"a","name":"add","arguments":{"x":1}}]}', ["a"], None),
+    ('{"tool_call_id":7}', [], "7"), ('{"tool_call_id":true}', [], None)])
+def test_tool_call_forms(text, ids, answers):
+    got = tool_chat.parse("assistant", text, {"add": {"required": ["x"]}})
+    assert ([c["id"] for c in got["calls"]], got["answers"]) == (ids, answers)
+    assert all(c["valid"] and c["name"] == "add" for c in got["calls"])
+
+
+def test_derived_tool_calls(spark):
+    given = [(r.conv_id, r.turn, r.role, r.text) for r in tool_chat.table(spark, SF, "conversations").collect()]
+    given += [(-c, t, ["user", "assistant"][t % 2], f"some words {c} {t} \"é\\") for c in range(1, 40) for t in range(12)]
+    given += [(None, 1, "assistant", None), (-99, None, "assistant", "x"), (-99, 3, None, None)]
+    chats = tool_chat.derived(spark.createDataFrame(given, "conv_id long, turn long, role string, text string"))
+    schemas = tool_chat.schema_table(chats)
+    rows, calls, bodies = chats.collect(), {}, {}
+    for r in rows:
+        body = json.loads(r.text) if (r.text or "").strip()[:1] == "{" else {}
+        bodies[r.conv_id, r.turn] = body
+        for c in body.get("tool_calls", []):
+            f = c.get("function", c)
+            try:
+                args = json.loads(f["arguments"]) if isinstance(f["arguments"], str) else f["arguments"]
+            except ValueError:
+                args = None
+            needs = set(c.get("after", [])) | ({args["from"]["$ref"]} if args and "from" in args else set())
+            top = schemas[f["name"]]["properties"]["limit"]["maximum"]
+            ok = args is not None and isinstance(args.get("query"), str) and isinstance(args["limit"], int) and 1 <= args["limit"] <= top
+            calls.setdefault((r.conv_id, str(c["id"])), []).append((r.turn, ok, needs))
+    first = {k: min(v, key=lambda x: x[0]) for k, v in calls.items()}
+    level = {}
+    for _ in first:
+        for (c, i), (_, _, needs) in first.items():
+            known = [(c, n) for n in needs if n != i and (c, n) in first]
+            if all(n in level for n in known):
+                level[c, i] = max([level[n] + 2 for n in known], default=0)
+    got = tool_chat.link(chats, schemas).collect()
+    assert len(got) == len(given)
+    seen = set()
+    for r in got:
+        body = bodies[r.conv_id, r.turn]
+        ids = [str(c["id"]) for c in body.get("tool_calls", [])]
+        ok = sum(next(x[1] for x in calls[r.conv_id, i] if x[0] == r.turn) for i in ids)
+        assert (r.n_calls, r.n_valid) == (len(ids), ok)
+        a = str(body["tool_call_id"]) if "tool_call_id" in body else None
+        hit = first.get((r.conv_id, a))
+        levels = [level.get((r.conv_id, i)) for i in ids]
+        want = (None if None in levels else max(levels)) if ids else 0
+        if a is not None:
+            want = level[r.conv_id, a] + 1 if hit and (r.conv_id, a) in level else None
+        assert (r.answers, r.linked, r.call_turn, r.level) == (a, hit is not None, hit and hit[0], want)
+        seen |= {"breach"} if ok < len(ids) else set()
+        seen |= {"valid"} if ok else set()
+        seen |= {"missing"} if a and not hit else {"early"} if a and hit[0] > r.turn else {"answered"} if a else set()
+        seen |= {"circle"} if ids and want is None else {"waits"} if ids and want else set()
+        seen |= {"repeated"} if any(len(calls[r.conv_id, i]) > 1 for i in ids) else set()
+    assert seen == {"breach", "valid", "missing", "early", "answered", "circle", "waits", "repeated"}
+
+
 def test_all_ten_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
