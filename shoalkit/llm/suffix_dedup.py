@@ -4,10 +4,15 @@ Every ``width``-byte window of a document is dealt to a shard by the smallest ha
 short strings inside it: equal windows meet in one shard wherever they stand. Neighbouring
 windows with the same smallest hash travel as one fragment; fragments whose hash occurs in
 a single document can't repeat and stay at home, equal fragments of a chunk of documents
-travel once, with the smallest document id. A shard sorts the suffixes of its distinct
-fragments by induced sorting: sorted S* suffixes seed first-in-first-out queues, one per
-first symbol, which deliver L-type and then S-type suffixes in order; queues spill to the
-task's temporary folder, so a shard may exceed memory. Neighbours in the order with a common
+travel once, with the smallest document id. A smallest hash with more than ``HEAVY`` windows
+is no key of one shard: its windows are dealt singly by a hash of all their bytes, those that
+several documents hold by that hash, each once a chunk with its smallest document id, so that
+no string fills a shard however many documents have it. A shard sorts the suffixes of its
+distinct fragments by induced sorting: sorted S* suffixes seed first-in-first-out queues, one
+per first symbol, which deliver L-type and then S-type suffixes in order; queues spill to the
+task's temporary folder, but a shard's text, its order and the arrays beside it (about 50
+bytes a byte of text) are in memory: shards are external to each other, not within, and the
+number of shards and ``HEAVY`` bound their size. Neighbours in the order with a common
 prefix of at least ``width`` are one class, and each class's smallest document id goes back
 to the chunks, where documents drop the windows that start in a document of smaller id.
 
@@ -42,32 +47,62 @@ U = np.uint64
 KMER, CHUNK, GROUP, SHARD = 20, 3 << 20, 1 << 20, 1 << 20
 #: Queue entries held in memory by one sort before queues spill.
 MEMORY = 8 << 20
+#: Windows with one smallest hash that stay together; a chunk tells their number from MANY on.
+HEAVY, MANY = 1 << 16, 64
+LOW = U((1 << 63) - 1)
 LAST = (1 << 63) - 1
 _R = U(0x9E3779B97F4A7C15)
 _RINV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def _totals(b: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(b) + 1, dtype=np.uint64)
+    x = total[1:]
+    x[:] = b
+    x += U(1)
+    x *= _powers(_R, len(b))
+    return np.cumsum(total, out=total)
+
+
+def window_hashes(b: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """63-bit hashes of all bytes of the windows at ``at``."""
+    total = _totals(b)
+    return _mix((total[at + width] - total[at]) * _powers(_RINV, len(b))[at]) >> U(1)
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted ``known``."""
+    if not len(known) or not len(x):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def window_keys(b: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one key: (first window, last window, key) over documents laid end to end."""
     w, n = width - KMER + 1, len(b)
     none = np.zeros(0, dtype=np.int64)
     if n < width:
         return none, none, none.astype(np.uint64)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((b.astype(np.uint64) + U(1)) * _powers(_R, n), out=total[1:])
-    h = _mix((total[KMER:] - total[:-KMER]) * _powers(_RINV, n)[: n - KMER + 1])
+    total = _totals(b)
+    h = total[KMER:] - total[:-KMER]
+    del total  # a chunk's arrays are the largest part of the worker's memory
+    h *= _powers(_RINV, n)[: n - KMER + 1]
     m = len(h)
-    pad = np.full(-m % w, ~U(0), dtype=np.uint64)
-    rows = np.concatenate([h, pad]).reshape(-1, w)
+    rows = np.full(m + -m % w, ~U(0), dtype=np.uint64)
+    rows[:m] = _mix(h)
+    del h
+    rows = rows.reshape(-1, w)
     ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    back = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    key = np.minimum(back[: m - w + 1], ahead[w - 1:m])
+    np.minimum.accumulate(rows[:, ::-1], axis=1, out=rows[:, ::-1])
+    key = np.minimum(rows.ravel()[: m - w + 1], ahead[w - 1:m])
+    del rows, ahead
     start = np.concatenate([[0], ends[:-1]])
-    inside = np.zeros(len(key) + 1, dtype=np.int64)
+    inside = np.zeros(len(key) + 1, dtype=np.int32)
     fits = (ends - start) >= width
     np.add.at(inside, start[fits], 1)
     np.add.at(inside, ends[fits] - width + 1, -1)
-    ok = np.cumsum(inside)[:-1] > 0
+    ok = np.cumsum(inside, out=inside)[:-1] > 0
+    del inside
     at = np.flatnonzero(ok)
     if not len(at):
         return none, none, none.astype(np.uint64)
@@ -254,87 +289,160 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.asarray(row.ids, dtype=np.int64), np.cumsum(np.asarray(row.lens, dtype=np.int64)), data
 
 
+def _grouped(chunk: int, key: np.ndarray, doc: np.ndarray, size: np.ndarray, groups: int) -> pd.DataFrame:
+    """(group, chunk, keys, many): distinct 63-bit keys, the lowest bit tells of several documents; many: (place, windows) of keys with many."""
+    order = np.lexsort((doc, key))
+    key, doc, size = key[order], doc[order], size[order]
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    tail = np.append(head[1:], len(key)) - 1
+    size = np.add.reduceat(size, head)
+    key = (key[head] << U(1)) | (doc[head] != doc[tail]).astype(np.uint64)
+    g = ((key >> U(1)) % U(groups)).astype(np.int64)
+    order = np.argsort(g, kind="stable")
+    cut = np.searchsorted(g[order], np.arange(groups + 1))
+    out = []
+    for k in range(groups):
+        if cut[k] < cut[k + 1]:
+            own = order[cut[k]:cut[k + 1]]
+            many = np.flatnonzero(size[own] >= MANY)
+            out.append((k, chunk, key[own].tobytes(), np.stack([many, size[own[many]]]).tobytes()))
+    return pd.DataFrame(out, columns=["group", "chunk", "keys", "many"])
+
+
 def _hashes(width: int, groups: int):
-    """(group, chunk, keys): a chunk's distinct keys; the lowest bit tells of several documents."""
+    """A chunk's distinct keys by group."""
     def run(batches):
         for pdf in batches:
             for row in pdf.itertuples():
                 ids, ends, data = _unpack(row)
-                first, _, key = window_keys(np.frombuffer(data, np.uint8), ends, width)
-                if not len(key):
-                    continue
-                doc = np.searchsorted(ends, first, side="right")
-                key = key >> U(1)
-                order = np.lexsort((doc, key))
-                key, doc = key[order], doc[order]
-                head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                tail = np.append(head[1:], len(key)) - 1
-                key = (key[head] << U(1)) | (doc[head] != doc[tail]).astype(np.uint64)
-                g = ((key >> U(1)) % U(groups)).astype(np.int64)
-                order = np.argsort(g, kind="stable")
-                cut = np.searchsorted(g[order], np.arange(groups + 1))
-                out = [(int(k), row.chunk, key[order[cut[k]:cut[k + 1]]].tobytes()) for k in range(groups) if cut[k] < cut[k + 1]]
-                yield pd.DataFrame(out, columns=["group", "chunk", "keys"])
+                first, last, key = window_keys(np.frombuffer(data, np.uint8), ends, width)
+                if len(key):
+                    yield _grouped(row.chunk, key >> U(1), np.searchsorted(ends, first, side="right"), last - first + 1, groups)
     return run
 
 
-def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(chunk, keys): the keys of each chunk that several documents have."""
-    parts = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
-    key = np.concatenate(parts)
-    whole = np.sort(key >> U(1))
-    twice = np.concatenate([whole[1:][whole[1:] == whole[:-1]], key[(key & U(1)) == 1] >> U(1)])
-    twice = np.unique(twice)
-    out = []
-    for chunk, p in zip(pdf["chunk"], parts):
-        k = p >> U(1)
-        if len(twice):
-            k = k[twice[np.minimum(np.searchsorted(twice, k), len(twice) - 1)] == k]
+def _shared(heavy: int):
+    """(chunk, keys, split): the keys of each chunk that several documents have, the highest bit set
+    where they have more than ``heavy`` windows; split: windows of those, once a group."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(k, np.uint64) for k in pdf["keys"]]
+        key = np.concatenate(parts)
+        whole = np.sort(key >> U(1))
+        twice = np.concatenate([whole[1:][whole[1:] == whole[:-1]], key[(key & U(1)) == 1] >> U(1)])
+        twice = np.unique(twice)
+        # windows of a key: as told, below MANY where a chunk doesn't tell
+        size = (np.searchsorted(whole, twice, side="right") - np.searchsorted(whole, twice)) * (MANY - 1)
+        for p, m in zip(parts, pdf["many"]):
+            place, n = np.frombuffer(m, np.int64).reshape(2, -1)
+            k = p[place] >> U(1)
+            known = _among(k, twice)
+            size[np.searchsorted(twice, k[known])] += n[known] - (MANY - 1)
+        large = size > heavy
+        split, out = int(size[large].sum()), []
+        mark = twice | (large.astype(np.uint64) << U(63))
+        for chunk, p in zip(pdf["chunk"], parts):
+            k = p >> U(1)
+            k = k[_among(k, twice)]
             if len(k):
-                out.append((chunk, k.tobytes()))
-    return pd.DataFrame(out, columns=["chunk", "keys"])
+                out.append((chunk, mark[np.searchsorted(twice, k)].tobytes(), split))
+                split = 0
+        return pd.DataFrame(out, columns=["chunk", "keys", "split"])
+    return run
+
 
+def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All windows of the runs."""
+    n = last - first + 1
+    return np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
 
-def _runs(row, shared: np.ndarray, width: int, shards: int):
-    """A chunk's fragments with shared keys: (ids, ends, data, runs, fragments by shard).
 
-    runs: (document, first window, fragment); fragments: dict fragment -> [shard, smallest id].
+def _singles(width: int, groups: int):
+    """A chunk's windows with heavy keys by group, as hashes of all their bytes."""
+    def run(chunks: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+        _, heavy, _ = _keys_of(keys)
+        out = [pd.DataFrame([], columns=["group", "chunk", "keys", "many"])]
+        for row in chunks.itertuples():
+            ids, ends, data = _unpack(row)
+            b = np.frombuffer(data, np.uint8)
+            first, last, key = window_keys(b, ends, width)
+            hot = _among(key >> U(1), heavy)
+            if hot.any():
+                at = _spread(first[hot], last[hot])
+                out.append(_grouped(row.chunk, window_hashes(b, at, width), np.searchsorted(ends, at, side="right"), np.ones(len(at), np.int64), groups))
+        return pd.concat(out)
+    return run
+
+
+def _runs(row, known: tuple[np.ndarray, np.ndarray, np.ndarray], width: int, shards: int):
+    """A chunk's fragments with shared keys: (ids, ends, data, runs, fragments, shard, least id).
+
+    runs: arrays of document, first window, windows, fragment's number; the others by number.
     """
     ids, ends, data = _unpack(row)
-    first, last, key = window_keys(np.frombuffer(data, np.uint8), ends, width)
+    shared, heavy, windows = known
+    b = np.frombuffer(data, np.uint8)
+    first, last, key = window_keys(b, ends, width)
     key = key >> U(1)
-    if len(shared) and len(key):
-        keep = shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key
-    else:
-        keep = np.zeros(len(key), bool)
+    keep = _among(key, shared)
     first, last, key = first[keep], last[keep], key[keep]
+    hot = _among(key, heavy)
+    walk, like = np.arange(len(first)), None
+    if hot.any():  # one window a fragment
+        at = _spread(first[hot], last[hot])
+        h = window_hashes(b, at, width)
+        keep = _among(h, windows)
+        at, h = at[keep], h[keep]
+        n = int((~hot).sum())
+        first, last, key = np.append(first[~hot], at), np.append(last[~hot], at), np.append(key[~hot], h)
+        # of equal windows the one with the smallest id stands for all
+        order = np.lexsort((ids[np.searchsorted(ends, at, side="right")], h))
+        head = np.append(True, np.diff(h[order]) != 0)[: len(h)]
+        like = np.zeros(len(h), dtype=np.int64)
+        like[order] = order[head][np.cumsum(head) - 1]
+        view, own = np.lib.stride_tricks.sliding_window_view(b, width), like == np.arange(len(h))
+        for k in range(0, len(at), 1 << 16):
+            x = slice(k, k + (1 << 16))
+            own[x] |= (view[at[x]] != view[at[like[x]]]).any(axis=1)
+        walk, like = np.append(np.arange(n), n + np.flatnonzero(own)), (n + np.flatnonzero(~own), n + like[~own])
     doc = np.searchsorted(ends, first, side="right")
-    runs, frags = [], {}
-    for d, i, a, b, s in zip(doc.tolist(), ids[doc].tolist(), first.tolist(), last.tolist(), (key % U(shards)).tolist()):
-        f = data[a:b + width]
-        runs.append((d, a, f))
-        old = frags.get(f)
-        if old is None:
-            frags[f] = [s, i]
-        elif i < old[1]:
-            old[1] = i
-    return ids, ends, data, runs, frags
-
-
-def _keys_of(pdf: pd.DataFrame) -> np.ndarray:
-    return np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in pdf["keys"]])) if len(pdf) else np.zeros(0, np.uint64)
+    frags: dict[bytes, int] = {}
+    shard, least, number = [], [], []
+    for i, p, q, s in zip(ids[doc[walk]].tolist(), first[walk].tolist(), (last[walk] + width).tolist(), (key[walk] % U(shards)).tolist()):
+        k = frags.setdefault(data[p:q], len(shard))
+        if k == len(shard):
+            shard.append(s), least.append(i)
+        elif i < least[k]:
+            least[k] = i
+        number.append(k)
+    numbers = np.zeros(len(first), dtype=np.int64)
+    numbers[walk] = number
+    if like is not None:
+        numbers[like[0]] = numbers[like[1]]
+    return ids, ends, data, (doc, first, last - first + 1, numbers), list(frags), np.array(shard, dtype=np.int64), np.array(least, dtype=np.int64)
+
+
+def _by_shard(shard: np.ndarray):
+    """(shard, numbers of its fragments) in order."""
+    order = np.argsort(shard, kind="stable")
+    cut = np.flatnonzero(np.diff(shard[order])) + 1
+    return [(int(shard[x[0]]), x) for x in np.split(order, cut) if len(x)]
+
+
+def _keys_of(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shared keys, those of them that are heavy, shared windows of these; each sorted."""
+    none = [np.zeros(0, np.uint64)]
+    key, windows = (np.concatenate(none + [np.frombuffer(k, np.uint64) for k in pdf[c].dropna()]) for c in ("keys", "windows"))
+    return np.unique(key & LOW), np.unique(key[key > LOW] & LOW), np.unique(windows)
 
 
 def _fragments(width: int, shards: int):
     def run(chunks: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-        shared, squeeze, out = _keys_of(keys), zstandard.ZstdCompressor(level=3), []
+        known, squeeze, out = _keys_of(keys), zstandard.ZstdCompressor(level=3), []
         for row in chunks.itertuples():
-            _, _, _, _, frags = _runs(row, shared, width, shards)
-            by: dict[int, list] = {}
-            for f, (s, i) in frags.items():
-                by.setdefault(s, []).append((f, i))
-            for s, x in by.items():
-                out.append((s, row.chunk, squeeze.compress(b"".join(f for f, _ in x)), np.array([len(f) for f, _ in x], np.int64).tobytes(), np.array([i for _, i in x], np.int64).tobytes()))
+            _, _, _, _, frags, shard, least = _runs(row, known, width, shards)
+            size = np.array([len(f) for f in frags], dtype=np.int64)
+            for s, x in _by_shard(shard):
+                out.append((s, row.chunk, squeeze.compress(b"".join([frags[k] for k in x.tolist()])), size[x].tobytes(), least[x].tobytes()))
         return pd.DataFrame(out, columns=["shard", "chunk", "data", "lens", "docs"])
     return run
 
@@ -369,44 +477,46 @@ def _sorted(width: int):
 def _cleaned(width: int, shards: int, text: bool):
     """Per document of a chunk: what is removed, and the kept text where asked for."""
     def run(chunks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        shared = _keys_of(known[known["keys"].notna()])
+        keys = _keys_of(known)
         firsts = known[known["firsts"].notna()]
         out = []
         for row in chunks.itertuples():
-            ids, ends, data, runs, frags = _runs(row, shared, width, shards)
-            by: dict[int, list] = {}
-            for f, (s, _) in frags.items():
-                by.setdefault(s, []).append(f)
-            got = {}
-            for s, z in zip(firsts["shard"].tolist(), firsts["firsts"]):
-                total = sum(len(f) - width + 1 for f in by[s])
-                x, p = np.frombuffer(zstandard.ZstdDecompressor().decompress(z, max_output_size=8 * total), np.int64), 0
-                for f in by[s]:
-                    got[f] = x[p:p + len(f) - width + 1]
-                    p += len(f) - width + 1
-            gone = np.zeros(len(data) + 1, dtype=np.int32)
-            for d, a, f in runs:
-                w = np.flatnonzero(got[f] < ids[d])
-                if len(w):
-                    cut = np.flatnonzero(np.diff(w) > 1) + 1
-                    for p, q in zip(w[np.append(0, cut)].tolist(), w[np.append(cut - 1, len(w) - 1)].tolist()):
-                        gone[a + p] += 1
-                        gone[a + q + width] -= 1
-            gone = np.cumsum(gone[:-1]) > 0
+            ids, ends, data, (doc, first, n, number), frags, shard, _ = _runs(row, keys, width, shards)
+            size = np.array([len(f) - width + 1 for f in frags], dtype=np.int64)
+            place, found, p = np.zeros(len(frags), dtype=np.int64), np.zeros(int(size.sum()), dtype=np.int64), 0
+            got = dict(zip(firsts["shard"].tolist(), firsts["firsts"]))
+            for s, x in _by_shard(shard):
+                m = int(size[x].sum())
+                place[x] = p + np.cumsum(size[x]) - size[x]
+                found[p:p + m] = np.frombuffer(zstandard.ZstdDecompressor().decompress(got[s], max_output_size=8 * m), np.int64)
+                p += m
+            del frags
+            hit = np.zeros(len(data), bool)
+            cut = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), 1 << 18))
+            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(n)]):
+                x = slice(lo, hi)
+                j = _spread(np.zeros(hi - lo, np.int64), n[x] - 1)
+                at = np.repeat(first[x], n[x]) + j
+                hit[at[found[np.repeat(place[number[x]], n[x]) + j] < np.repeat(ids[doc[x]], n[x])]] = True
+            total = np.cumsum(hit, dtype=np.int32)
+            total[width:] -= total[:-width].copy()
+            gone = total > 0
             b = np.frombuffer(data, np.uint8)
             start = np.append(0, ends[:-1])
+            edge = gone.copy()
+            edge[1:] &= ~gone[:-1]
+            some = start[start < ends]
+            edge[some] = gone[some]
+            removed, spans = (np.diff(np.append(0, np.append(0, np.cumsum(x))[ends])).tolist() for x in (gone, edge))
             for k, (s, e) in enumerate(zip(start.tolist(), ends.tolist())):
-                g = gone[s:e]
-                n = int(g.sum())
-                kept = b[s:e][~g].tobytes() if n else data[s:e]
-                spans = int((g[1:] & ~g[:-1]).sum() + g[0]) if n else 0
-                out.append((int(ids[k]), e - s, n, spans, hashlib.sha256(kept).hexdigest(),
+                kept = b[s:e][~gone[s:e]].tobytes() if removed[k] else data[s:e]
+                out.append((int(ids[k]), e - s, removed[k], spans[k], hashlib.sha256(kept).hexdigest(),
                             kept.decode("utf-8", "ignore") if text else None, row.rest[k]))
         return pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "rest"])
     return run
 
 
-def dedup(docs: DataFrame, width: int = 50, text: bool = False, rest: list[str] | None = None) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 50, text: bool = False, rest: list[str] | None = None, heavy: int = HEAVY) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the text left, if asked for), rest (other columns as JSON)."""
     if width < KMER + 8:
         raise ValueError(f"width must be at least {KMER + 8}")
@@ -423,13 +533,21 @@ def dedup(docs: DataFrame, width: int = 50, text: bool = False, rest: list[str]
     copies = F.broadcast(copies) if copies.count() <= IDS else copies
     is_copy = (d["id"] == copies["c_id"]) & (d["h1"] == copies["c_h1"]) & (d["h2"] == copies["c_h2"])
     chunks = stored(d.join(copies, is_copy, "left_anti").select("id", "text", "rest").mapInPandas(_pack, "chunk long, ids array<long>, lens array<long>, rest array<string>, data binary"), "dedup-chunks")
-    keys = chunks.mapInPandas(_hashes(width, groups), "group long, chunk long, keys binary")
-    keys = stored(keys.groupBy("group").applyInPandas(_shared, "chunk long, keys binary"), "dedup-keys")
+    by_group, none = "group long, chunk long, keys binary, many binary", F.lit(None)
+    keys = chunks.mapInPandas(_hashes(width, groups), by_group)
+    keys = stored(keys.groupBy("group").applyInPandas(_shared(heavy), "chunk long, keys binary, split long"), "dedup-keys")
+    split = keys.agg(F.sum("split").alias("n")).first()["n"] or 0
+    keys = keys.select("chunk", "keys", none.cast("binary").alias("windows"))
     lean = chunks.select("chunk", "ids", "lens", "data").groupBy("chunk")
+    if split:
+        windows = lean.cogroup(keys.groupBy("chunk")).applyInPandas(_singles(width, int(split // GROUP) + 1), by_group)
+        windows = windows.groupBy("group").applyInPandas(_shared(LAST), "chunk long, keys binary, split long")
+        windows = stored(windows.select("chunk", F.col("keys").alias("windows")), "dedup-windows")
+        keys = keys.unionByName(windows.select("chunk", none.cast("binary").alias("keys"), "windows"))
     frags = lean.cogroup(keys.groupBy("chunk")).applyInPandas(_fragments(width, shards), "shard long, chunk long, data binary, lens binary, docs binary")
     firsts = stored(frags.groupBy("shard").applyInPandas(_sorted(width), "chunk long, shard long, firsts binary"), "dedup-firsts")
-    known = keys.select("chunk", "keys", F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("firsts"))
-    known = known.unionByName(firsts.select("chunk", F.lit(None).cast("binary").alias("keys"), "shard", "firsts"))
+    known = keys.select("*", none.cast("long").alias("shard"), none.cast("binary").alias("firsts"))
+    known = known.unionByName(firsts.select("chunk", none.cast("binary").alias("keys"), none.cast("binary").alias("windows"), "shard", "firsts"))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, rest string"
     out = chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(_cleaned(width, shards, text), schema)
     copy = d.join(copies, is_copy, "left_semi").withColumn("n", n)

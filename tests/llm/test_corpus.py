@@ -90,6 +90,48 @@ def test_deletion_neighbourhoods_lose_no_link():
                 assert len(np.intersect1d(a, b)), (n, len(x), len(y), both)
 
 
+@pytest.mark.parametrize("heavy", [suffix_dedup.HEAVY, 20])
+def test_suffix_dedup_split_keys(docs, heavy):
+    """A hot line with different text around it: every key's windows are dealt singly with the low limit."""
+    line = "this very line of about eighty bytes stands in every second document, whole. "
+    rows = [(k, t, s) for k, t, s in sample()] + [(100 + k, f"{k * 7919} {'xyz'[k % 3]} {line if k % 2 else ''}{k * 104729} end", None) for k in range(300)]
+    want, seen = {}, {}
+    for i, t in sorted({i: t for i, t, _ in rows}.items()):
+        b = (t or "").encode()
+        w = [b[p:p + 50] for p in range(len(b) - 49)]
+        gone = np.zeros(len(b), bool)
+        for p, x in enumerate(w):
+            if seen.setdefault(x, i) < i:
+                gone[p:p + 50] = True
+        want[i] = (len(b), int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest())
+    got = suffix_dedup.dedup(frame(docs.sparkSession, rows), heavy=heavy).collect()
+    assert len(got) == len(rows) and all((r.n_bytes, r.n_removed, r.kept_sha256) == want[r.id] for r in got)
+
+
+def test_heavy_key_is_split_over_shards():
+    """Fragments of one hot key, all different, fill no single shard."""
+    r = random.Random(3)
+    side = lambda: "".join(r.choice("abcdefgh") for _ in range(60))
+    texts = [f"{side()} a very common line of some sixty bytes for the hot key here {side()}".encode() for _ in range(400)]
+    pack = next(suffix_dedup._pack([suffix_dedup.pd.DataFrame({"id": range(400), "text": [t.decode() for t in texts], "rest": None})]))
+    row = next(pack.itertuples())
+    keys = suffix_dedup._shared(500)(next(suffix_dedup._hashes(50, 1)([pack])))
+    assert keys["split"].sum() > 500
+    keys["windows"] = None
+    windows = suffix_dedup._shared(1 << 62)(suffix_dedup._singles(50, 1)(pack, keys))
+    known = suffix_dedup._keys_of(suffix_dedup.pd.concat([keys, windows[["chunk", "keys"]].rename(columns={"keys": "windows"})]))
+    frags, shard, _ = suffix_dedup._runs(row, known, 50, 64)[4:]
+    every = {}
+    for d, t in enumerate(texts):
+        for p in range(len(t) - 49):
+            every.setdefault(t[p:p + 50], set()).add(d)
+    repeated = {w for w, d in every.items() if len(d) > 1}
+    assert repeated and repeated <= {f[p:p + 50] for f in frags for p in range(len(f) - 49)}
+    largest = lambda frags, shard: np.bincount(shard, [len(f) - 49 for f in frags]).max()
+    whole = suffix_dedup._runs(row, (known[0], known[0][:0], known[2]), 50, 64)[4:6]
+    assert largest(frags, shard) <= 1000 and largest(*whole) > 3000
+
+
 def test_suffix_dedup(docs, empty):
     want, seen = {}, {}
     for i, t in sorted({i: t for i, t, _ in sample()}.items()):
