@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shoalkit.llm import (QUERIES, decontaminate, fingerprint, html_extract, mixing, quality, shingle_join, suffix_dedup,
                           token_count, tool_chat, toxicity)
 
@@ -268,6 +269,80 @@ def test_tool_chat(spark):
     assert tool_chat.link(df.limit(0)).count() == 0
 
 
+def corpus():
+    """Documents by id: clean ones, toxic ones, copies, near copies, shared passages, benchmark passages; and the items."""
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(3, 8))) for _ in range(900)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    items = [text(25) for _ in range(4)]
+    docs = {k: text(r.randint(60, 120)) for k in range(160)}
+    toxic = set(range(200, 280))
+    docs |= {k: " ".join([*text(40).split(), *(r.choice(["vilewordone", "vilewordtwo", "vilewordthree"]) for _ in range(12)), *text(20).split()]) for k in toxic}
+    docs |= {300 + k: docs[k] for k in range(5)}
+    for k in range(5, 11):
+        w = docs[k].split()
+        w[len(w) // 2] = "changed"
+        docs[300 + k] = " ".join(w)
+    passage = text(30)
+    docs |= {320 + k: f"{text(50)} {passage} {text(40)}" for k in range(6)}
+    docs |= {340 + k: f"{text(30)} {items[k]} {text(30)}" for k in range(4)}
+    return docs, toxic, items
+
+
+def test_pipeline_stages(spark, tmp_path):
+    texts, toxic, items = corpus()
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in texts if i < 280], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, sf = dict(corpus_pipeline.STAGES), str(tmp_path)
+    assert list(stages) == ["toxicity", "ngram_jaccard_join", "suffix_array_dedup", "benchmark_decontamination", "mixing"]
+    cols, docs = ["doc_id", "text", "lang", "source", "n_chars"], spark.read.parquet(f"{sf}/documents.parquet")
+
+    def after(name):
+        nonlocal docs
+        docs = stages[name](spark, docs, sf).cache()
+        got = {r.doc_id: r for r in docs.collect()}
+        assert docs.columns == cols and len(got) == docs.count()
+        assert all((r.lang, r.source, r.n_chars) == ("en", f"s{i % 3}", len(r.text)) for i, r in got.items())
+        return {i: r.text for i, r in got.items()}
+
+    want = {i: t for i, t in texts.items() if i not in toxic}
+    assert after("toxicity") == want
+
+    sets, first = {i: shingles(t, 5) for i, t in want.items()}, {}
+    for i in sorted(sets):  # groups of the planted copies are pairs, the first document stays
+        first[i] = next((j for j in sorted(sets) if j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])), i)
+    assert sum(i != j for i, j in first.items()) == 11
+    want = {i: t for i, t in want.items() if first[i] == i}
+    assert after("ngram_jaccard_join") == want
+
+    seen, cut = {}, {}
+    for i, t in sorted(want.items()):
+        b, gone = t.encode(), set()
+        for p in range(len(b) - 49):
+            if seen.setdefault(b[p:p + 50], i) < i:
+                gone |= set(range(p, p + 50))
+        cut[i] = bytes(c for p, c in enumerate(b) if p not in gone).decode()
+    assert sum(cut[i] != want[i] for i in cut) == 5
+    assert after("suffix_array_dedup") == cut
+
+    wins = {tuple(w[s:s + 10]) for w in map(str.split, items) for s in range(len(w) - 9)}
+    want = {i: t for i, t in cut.items() if not any(tuple(t.split()[s:s + 10]) in wins for s in range(len(t.split()) - 9))}
+    assert set(cut) - set(want) == {340, 341, 342, 343}
+    assert after("benchmark_decontamination") == want
+
+    mixed = stages["mixing"](spark, docs, sf).collect()
+    assert {r.doc_id: r.size for r in mixed} == {i: len(t.split()) for i, t in want.items()} and len(mixed) == len(want)
+    total, top = {}, {}
+    for r in mixed:
+        assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
+        total[r.target], top[r.target] = total.get(r.target, 0) + r.taken, max(top.get(r.target, 0), r.size)
+    assert all(abs(total[t] - t) <= 2 * top[t] + 1 for t in total)
+    whole = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}
+    assert len(whole) == len(mixed) and all(tuple(whole[r.doc_id])[:-1] == tuple(r)[:-1] and whole[r.doc_id].rate == pytest.approx(r.rate) for r in mixed)
+
+
 @pytest.mark.parametrize("text, ids, answers", [
     ('{"tool_calls":[{"id":7,"name":"add","arguments":{"x":1}}]}', ["7"], None),
     ('{"tool_calls":[{"id":"a","function":{"name":"add","arguments":"{\\"x\\":1}"}}]}', ["a"], None),
