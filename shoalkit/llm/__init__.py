@@ -1,6 +1,7 @@
 """Corpus operators for training-data work, and their registered queries."""
 
-from . import decontaminate, fingerprint, html_extract, mixing, quality, shingle_join, suffix_dedup, token_count, tool_chat, toxicity
+from . import (decontaminate, filter_audit, fingerprint, html_extract, mixing, quality, shingle_join, suffix_dedup, token_count,
+               tool_chat, topk_search, toxicity, vector_codes)
 
 QUERIES = {
     "op1_tool_chat": tool_chat.op1_tool_chat,
@@ -13,7 +14,11 @@ QUERIES = {
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_fingerprints": fingerprint.op10_fingerprints,
+    "op11_topk_search": topk_search.op11_topk_search,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
-#: Operators over rows derived from a given table, beside the ten over the table itself.
+#: Operators over rows derived from a given table, beside those over the table itself.
 DERIVED = {"op1_tool_calls": tool_chat.op1_tool_calls}
-ORACLE = {"op1_tool_chat": tool_chat.ORACLE_OP1, "op7_decontaminate": decontaminate.ORACLE_OP7}
+ORACLE = {"op1_tool_chat": tool_chat.ORACLE_OP1, "op7_decontaminate": decontaminate.ORACLE_OP7, "op11_topk_search": topk_search.ORACLE_OP11,
+          "op12_filter_audit": filter_audit.ORACLE_OP12, "op13_vector_codes": vector_codes.ORACLE_OP13}

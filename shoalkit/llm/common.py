@@ -46,3 +46,11 @@ def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     share = limit / n
     u = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     return df.where(u < F.lit(share))
+
+
+def whole_vectors(df: DataFrame, column: str, factor: int, name: str = "v") -> DataFrame:
+    """Rows of ``df`` whose vector has neither null nor non-finite components, with
+    floor(factor * component) of each as longs (held at the ends of their range)."""
+    x = F.col(column)
+    bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    return df.where(x.isNotNull() & ~bad).withColumn(name, F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(float(factor)))))
