@@ -40,54 +40,77 @@ BODIES: dict[str, str] = {
     r_name AS river,
     CASE c_nationkey % 7 WHEN 0 THEN 'ECHO' WHEN 1 THEN 'DESO' WHEN 2 THEN 'LGR' WHEN 3 THEN 'LCO' WHEN 4 THEN 'WW' WHEN 5 THEN 'LSJ' ELSE 'OT' END AS reach,
     CAST(1 + o_orderkey % 3 AS INT) AS pass, o_orderdate AS startdatetime,
-    CAST(floor(o_totalprice / 50) AS INT) AS el_sec,
+    CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 HOUR END AS enddatetime,
+    CASE o_orderkey % 7 WHEN 0 THEN 'R' WHEN 1 THEN 'L' WHEN 2 THEN 'B' WHEN 3 THEN 'UNK' WHEN 4 THEN 'X' WHEN 5 THEN NULL ELSE 'OT' END AS shoreline,
+    CASE WHEN o_orderkey % 211 = 0 THEN 0 ELSE CAST(floor(o_totalprice / 50) AS INT) END AS el_sec,
     CAST(floor(o_totalprice / 50) AS INT) + CAST(o_orderkey % 5 - 1 AS INT) * 60 AS elapsed_sec,
     (o_orderkey % 3500) / CAST(10 AS DOUBLE) AS start_rmi,
     (o_orderkey % 3500 - o_custkey % 70 + 5) / CAST(10 AS DOUBLE) AS end_rmi,
-    nullif(o_orderpriority, '5-LOW') AS crew,
-    CAST(1 + o_orderkey % 4 AS INT) AS upload_id
+    concat('B', CAST(o_custkey % 3 AS STRING)) AS boat, nullif(o_orderpriority, '5-LOW') AS crew,
+    CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END AS site_notes, CAST(1 + o_orderkey % 4 AS INT) AS upload_id
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey
     JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     "fish": """
   SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING)) AS fish_id,
-    CAST(l_orderkey AS STRING) AS site_id, l_orderkey AS key_a, l_shipdate AS datetime,
+    CASE WHEN l_orderkey % 97 = 0 THEN concat('X', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END AS site_id,
+    l_orderkey AS key_a, l_shipdate AS datetime,
     (l_partkey % 3500) / CAST(10 AS DOUBLE) AS rmi,
     CASE l_partkey % 11 WHEN 0 THEN 'SM' WHEN 1 THEN 'SM' WHEN 2 THEN 'CS' WHEN 3 THEN 'RZ' WHEN 4 THEN 'HB' WHEN 5 THEN 'BT' WHEN 6 THEN 'CC' WHEN 7 THEN 'WE' WHEN 8 THEN 'NP' WHEN 9 THEN 'QQ' ELSE NULL END AS species,
-    CAST(nullif(l_quantity, CAST(1 AS DOUBLE)) AS INT) * 25 AS tot_length,
-    CAST(nullif(floor(l_extendedprice / 30), 100) AS INT) AS weight,
+    CASE WHEN l_suppkey % 107 = 0 THEN 0 ELSE CAST(nullif(l_quantity, CAST(1 AS DOUBLE)) AS INT) * 25 END AS tot_length,
+    CASE WHEN l_partkey % 103 = 0 THEN 0 ELSE CAST(nullif(floor(l_extendedprice / 30), 100) AS INT) END AS weight,
     CASE l_linestatus WHEN 'F' THEN 'F' ELSE 'M' END AS sex,
     CASE l_linenumber % 4 WHEN 0 THEN 'EXP_EGG' WHEN 1 THEN 'INT_MILT' WHEN 2 THEN 'NOT' ELSE NULL END AS rep_cond,
+    CASE l_suppkey % 4 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' WHEN 2 THEN 'Q' ELSE NULL END AS tubercles,
+    CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE CAST(l_suppkey % 20 AS STRING) END AS ray_ct,
     CASE l_returnflag WHEN 'A' THEN 'DE' WHEN 'R' THEN 'RA' ELSE NULL END AS disp,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 109 = 0 THEN CAST(0 AS DOUBLE) ELSE 600000 + l_suppkey * CAST(10 AS DOUBLE) END AS loc_x,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL WHEN l_partkey % 113 = 0 THEN CAST(0 AS DOUBLE) ELSE 4200000 + l_partkey * CAST(10 AS DOUBLE) END AS loc_y,
+    CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 32612 END AS epsg,
+    CASE WHEN l_partkey % 5 = 0 THEN l_linestatus END AS fish_notes,
     CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE -111 + (l_partkey % 4000 - 2000) / CAST(1000 AS DOUBLE) END AS ilon,
     CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 38 + (l_suppkey % 100) / CAST(100 AS DOUBLE) END AS ilat
   FROM {lineitem}""",
     "pittag": """
-  SELECT concat('P', fish_id) AS pit_id, fish_id, site_id, species,
+  SELECT concat('P', fish_id) AS pit_id, CASE WHEN key_a % 89 = 0 THEN concat('X', fish_id) ELSE fish_id END AS fish_id, site_id, species,
     CASE WHEN key_a % 2 = 0 THEN '134' ELSE '400' END AS pit_type,
     CASE WHEN key_a % 13 = 0 THEN NULL ELSE lpad(CAST(key_a AS STRING), CASE WHEN key_a % 3 = 0 THEN 14 ELSE 9 END, '0') END AS pit_num,
-    CASE key_a % 5 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' WHEN 2 THEN 'NNF' WHEN 3 THEN NULL ELSE 'UNK' END AS pit_recap
+    CASE key_a % 5 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' WHEN 2 THEN 'NNF' WHEN 3 THEN NULL ELSE 'UNK' END AS pit_recap,
+    CASE WHEN key_a % 6 = 0 THEN 'tagged' END AS pit_notes
   FROM {fish} WHERE disp = 'RA'""",
     "floytag": """
-  SELECT concat('F', fish_id) AS floy_id, fish_id, site_id, species,
+  SELECT concat('F', fish_id) AS floy_id, CASE WHEN key_a % 83 = 0 THEN concat('X', fish_id) ELSE fish_id END AS fish_id, site_id, species,
     CASE key_a % 4 WHEN 0 THEN 'RED' WHEN 1 THEN 'YEL' WHEN 2 THEN 'GRN' ELSE NULL END AS floy_color,
     CAST(key_a AS STRING) AS floy_num,
-    CASE key_a % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' ELSE 'UNK' END AS floy_recap
+    CASE key_a % 3 WHEN 0 THEN 'Y' WHEN 1 THEN 'N' ELSE 'UNK' END AS floy_recap,
+    CASE WHEN key_a % 5 = 0 THEN CAST(key_a % 1000 AS INT) END AS floy_ref, CASE WHEN key_a % 7 = 0 THEN 'floy' END AS floy_notes
   FROM {fish} WHERE disp = 'DE'""",
+    "vial": """
+  SELECT concat('V', fish_id) AS vial_id, CASE WHEN key_a % 79 = 0 THEN concat('X', fish_id) ELSE fish_id END AS fish_id,
+    CASE WHEN key_a % 3 = 0 THEN NULL ELSE concat('v', CAST(key_a % 1000 AS STRING)) END AS vial_num,
+    CASE key_a % 5 WHEN 0 THEN 'FIN' WHEN 1 THEN 'SCA' WHEN 2 THEN 'RAY' WHEN 3 THEN 'ZZ' ELSE NULL END AS vial_type,
+    CASE WHEN key_a % 4 = 0 THEN 'vial' END AS vial_notes
+  FROM {fish} WHERE key_a % 10 = 0""",
+    # an earlier load that the fish overlap
+    "fish_earlier": "SELECT fish_id, site_id, species FROM {fish} WHERE key_a % 4 <= 1",
     "water_qual": """
-  SELECT concat('W', CAST(o_orderkey AS STRING)) AS water_id, CAST(o_orderkey AS STRING) AS site_id,
+  SELECT concat('W', CAST(o_orderkey AS STRING)) AS water_id,
+    CASE WHEN o_orderkey % 97 = 0 THEN concat('X', CAST(o_orderkey AS STRING)) ELSE CAST(o_orderkey AS STRING) END AS site_id,
     nullif(o_custkey % 900, 0) AS cond_amb, nullif(o_custkey % 700, 0) AS cond_spec,
-    (o_custkey % 250) / CAST(10 AS DOUBLE) AS rvr_temp, nullif(o_custkey % 40, 0) AS secchi
+    (o_custkey % 250) / CAST(10 AS DOUBLE) AS rvr_temp, nullif(o_custkey % 40, 0) AS secchi,
+    CASE WHEN o_custkey % 5 = 0 THEN o_orderstatus END AS water_notes
   FROM {orders} WHERE o_orderkey % 4 <> 0""",
     "meta": """
-  SELECT CAST(y AS INT) AS year,
+  SELECT CAST(y - 1990 AS INT) AS meta_id, CAST(y AS INT) AS year,
     CASE y % 5 WHEN 0 THEN 'machinery' WHEN 1 THEN 'building' WHEN 2 THEN 'automobile' WHEN 3 THEN 'household' ELSE 'furniture' END AS project_code,
-    'Pat' AS principal_fname, 'Doe' AS principal_lname, 'UDWR-M' AS agency, 'EL' AS data_type
+    'Pat' AS principal_fname, CASE WHEN y = 1996 THEN NULL ELSE 'Doe' END AS principal_lname,
+    CASE WHEN y = 1995 THEN 'XX' ELSE 'UDWR-M' END AS agency, CASE WHEN y = 1994 THEN 'ZZ' ELSE 'EL' END AS data_type
   FROM (SELECT DISTINCT year(o_orderdate) AS y FROM {orders}) t WHERE y <> 2001""",
     "daily": """
   SELECT CASE user_id % 3 WHEN 0 THEN '09261000' WHEN 1 THEN '09315000' ELSE '09180500' END AS staid,
     CAST(ts AS DATE) AS date,
     CASE event_type WHEN 'view' THEN '00060' WHEN 'click' THEN '00010' ELSE 'other' END AS code,
-    event_id, value AS val
+    CASE user_id % 4 WHEN 0 THEN '00011' WHEN 1 THEN '00001' ELSE '00003' END AS stat,
+    CASE WHEN user_id % 11 = 0 THEN 'P' ELSE 'A' END AS qualcode, event_id, value AS val
   FROM {events}""",
     # ---- raw capture tables (DBF-shaped) ----
     "raw_site": """

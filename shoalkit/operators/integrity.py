@@ -139,41 +139,53 @@ def check_unique(df: DataFrame, table: str, cols, store: DataFrame | None = None
     return dup.unionByName(_rows(existing, table, f"{rule}_store", ",".join(cols), _key_text(cols), F.col("_n")))
 
 
-def check_not_null(df: DataFrame, table: str, cols) -> DataFrame:
-    """NULL counts of the listed columns, one scan for all of them; an absent column is NULL in every row."""
-    cols = list(cols)
-    have = set(df.columns)
-    counts = df.agg(*[(F.count_if(F.col(c).isNull()) if c in have else F.count(F.lit(1))).alias(c) for c in cols])
-    long = counts.unpivot([], cols, "column", "_n")
-    return (long.filter(F.col("_n") > 0)
-            .select(F.lit(table).alias("table"), F.lit("not_null").alias("rule"), "column",
-                    F.lit(None).cast("string").alias("key"), F.col("_n").cast("long").alias("n"),
-                    F.lit("error").alias("severity")))
+def _lists_null(values) -> bool:
+    return any(v is None for v in values)
 
 
-def check_domain(df: DataFrame, table: str, col: str, values, severity: str | None = None) -> DataFrame:
-    """Values outside the list, counted per value. NULL passes.
+def check_rules(df: DataFrame, table: str, not_null=(), domain: dict | None = None, nonzero=(),
+                severity: str | None = None) -> DataFrame:
+    """All NOT NULL, value-list and non-zero rules of a table in one scan.
 
-    A list that holds NULL can never fail in SQL (``x IN (.., NULL)`` is NULL, and a
-    CHECK passes on NULL); such lists are reported with severity "warn".
+    Each row lists the rules it breaks; (rule, column, value) counts are one aggregate over
+    those, combined map-side. An absent NOT NULL column is broken by every row, other absent
+    columns are not checked. A value list that holds NULL can never fail in SQL (``x IN (..,
+    NULL)`` is NULL, and a CHECK passes on NULL): its findings have severity "warn".
     """
-    vals = list(values)
-    non_null = [v for v in vals if v is not None]
-    sev = severity or ("warn" if len(non_null) != len(vals) else "error")
-    bad = df.filter(F.col(col).isNotNull() & ~F.col(col).isin(non_null))
-    counts = bad.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return _rows(counts, table, "domain", col, F.col(col), F.col("_n"), sev)
+    have = set(df.columns)
+
+    def broken(cond: Column, rule: str, col: str, key: Column, sev: str = "error") -> Column:
+        return F.when(cond, F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"),
+                                     key.cast("string").alias("key"), F.lit(sev).alias("severity")))
+
+    none = F.lit(None)
+    hits = [broken(F.col(c).isNull() if c in have else F.lit(True), "not_null", c, none) for c in not_null]
+    for c, values in (domain or {}).items():
+        if c in have:
+            listed = [v for v in values if v is not None]
+            sev = severity or ("warn" if _lists_null(values) else "error")
+            hits.append(broken(F.col(c).isNotNull() & ~F.col(c).isin(listed), "domain", c, F.col(c), sev))
+    hits += [broken(F.col(c) == 0, "nonzero", c, none) for c in nonzero if c in have]
+    if not hits:
+        return empty_violations(df.sparkSession)
+    rows = df.select(F.explode(F.array_compact(F.array(*hits))).alias("v"))
+    counts = rows.groupBy("v.rule", "v.column", "v.key", "v.severity").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.lit(table).alias("table"), "rule", "column", "key", "n", "severity")
+
+
+def check_not_null(df: DataFrame, table: str, cols) -> DataFrame:
+    """NULL counts of the listed columns; an absent column is NULL in every row."""
+    return check_rules(df, table, not_null=cols)
+
+
+def check_domain(df: DataFrame, table: str, col: str, values, severity: str | None = None) -> DataFrame:
+    """Values outside the list, counted per value. NULL passes."""
+    return check_rules(df, table, domain={col: values}, severity=severity)
 
 
 def check_nonzero(df: DataFrame, table: str, cols) -> DataFrame:
-    """Zero counts of the listed measure columns, one scan for all of them."""
-    cols = [c for c in cols if c in df.columns]
-    counts = df.agg(*[F.count_if(F.col(c) == 0).alias(c) for c in cols])
-    long = counts.unpivot([], cols, "column", "_n")
-    return (long.filter(F.col("_n") > 0)
-            .select(F.lit(table).alias("table"), F.lit("nonzero").alias("rule"), "column",
-                    F.lit(None).cast("string").alias("key"), F.col("_n").cast("long").alias("n"),
-                    F.lit("error").alias("severity")))
+    """Zero counts of the listed measure columns."""
+    return check_rules(df, table, nonzero=cols)
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame | None, cols, parent_cols=None,
@@ -212,18 +224,42 @@ def validate_table(spark, table: str, df: DataFrame, store: dict | None = None,
     for u in r.get("unique", []):
         if all(c in df.columns for c in u):
             out.append(check_unique(df, table, u, store.get(table)))
-    if r.get("not_null"):
-        out.append(check_not_null(df, table, r["not_null"]))
-    for col, values in r.get("domain", {}).items():
-        if col in df.columns:
-            out.append(check_domain(df, table, col, values))
-    if r.get("nonzero"):
-        nz = [c for c in r["nonzero"] if c in df.columns]
-        if nz:
-            out.append(check_nonzero(df, table, nz))
+    if any(r.get(k) for k in ("not_null", "domain", "nonzero")):
+        out.append(check_rules(df, table, r.get("not_null", ()), r.get("domain"), r.get("nonzero", ())))
     for cols, ptable, pcols in r.get("fk", []):
         if not all(c in df.columns for c in cols):
             continue
         sources = [t.select(*pcols) for t in (parents.get(ptable), store.get(ptable)) if t is not None]
         out.append(check_foreign_key(df, union_all(sources) if sources else None, cols, pcols, table))
     return union_all(out) if out else empty_violations(spark)
+
+
+def split_rows(df: DataFrame, table: str, parents: dict | None = None, rules: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that break no rule of the table, the others): the mechanical part of proofing.
+
+    Of rows with one key the first in the order of all columns stays. ``parents``: the tables
+    that foreign keys are held against, already split, so that a child of a rejected parent
+    is rejected, too.
+    """
+    r, have = (rules or STORE_RULES)[table], set(df.columns)
+    bad = reduce(lambda a, b: a | b, [
+        F.lit(False), *[F.col(c).isNull() if c in have else F.lit(True) for c in r.get("not_null", [])],
+        *[F.coalesce(~F.col(c).isin([v for v in values if v is not None]), F.lit(False))
+          for c, values in r.get("domain", {}).items() if c in have and not _lists_null(values)],
+        *[F.coalesce(F.col(c) == 0, F.lit(False)) for c in r.get("nonzero", []) if c in have]])
+    d = df.withColumn("_bad", bad)
+    for cols, ptable, pcols in r.get("fk", []):
+        if all(c in have for c in cols) and (parents or {}).get(ptable) is not None:
+            p = parents[ptable].select(*[F.col(pc).alias(f"_p{k}") for k, pc in enumerate(pcols)], F.lit(True).alias("_has")).distinct()
+            d = d.join(p, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_p{k}") for k, c in enumerate(cols)]), "left")
+            absent = F.col("_has").isNull() & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+            d = d.withColumn("_bad", F.col("_bad") | absent).drop("_has", *[f"_p{k}" for k in range(len(cols))])
+    keys = [k for k in [r.get("pk"), *r.get("unique", [])] if k and all(c in have for c in k)]
+    for key in keys:
+        own = d.filter(~F.col("_bad")).groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+        first = own.agg(F.min(F.struct(*df.columns)).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        d = d.join(first, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(key)]), "left")
+        again = F.col("_n").isNotNull() & ~F.struct(*df.columns).eqNullSafe(F.col("_first"))
+        d = d.withColumn("_bad", F.col("_bad") | again).drop("_first", "_n", *[f"_k{i}" for i in range(len(key))])
+    clean = d.filter(~F.col("_bad")).select(*df.columns)
+    return (clean.dropDuplicates() if keys else clean), d.filter("_bad").select(*df.columns)

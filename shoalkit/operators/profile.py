@@ -82,34 +82,30 @@ def labels_table(spark, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, label string, description string")
 
 
-# Codebook labels and short descriptions of the site product.
-SITE_LABELS = {
-    "site_id": {"label": "Primary key"},
-    "project_code": {"shortDescription": "Project short code"},
-    "year": {"shortDescription": "Year collected"},
-    "river": {"shortDescription": "NHD river name"},
-    "reach": {"shortDescription": "Reach name"},
-    "pass": {"shortDescription": "Sequential number of pass with respect to this project"},
-    "startdatetime": {"shortDescription": "Time at which sampling began", "label": "YYYY-MM-DD HH:MM:SS"},
-    "enddatetime": {"shortDescription": "Time at which sampling ended", "label": "YYYY-MM-DD HH:MM:SS"},
-    "start_rmi": {"shortDescription": "River mile at which sampling began (distance from confluence). "
-                                      "Corrected Belknap Miles estimated to the nearest 1/10 of a mile",
-                  "label": "miles"},
-    "end_rmi": {"shortDescription": "River mile at which sampling ended (distance from confluence). "
-                                    "Corrected Belknap Miles estimated to the nearest 1/10 of a mile",
-                "label": "miles"},
-    "shoreline": {"shortDescription": "Side of river sampling occurred: B - both, R - right, L - left"},
-    "el_sec": {"shortDescription": "Sampling effort", "label": "seconds"},
-    "boat": {"shortDescription": "Name of boat used during sampling"},
-    "crew": {"shortDescription": "Initials of crewmembers"},
-    "site_notes": {"shortDescription": "Information related to site data"},
-    "cond_amb": {"shortDescription": "Ambient conductivity", "label": "microSiemens/cm"},
-    "cond_spec": {"shortDescription": "Specific conductivity", "label": "microSiemens/cm"},
-    "rvr_temp": {"shortDescription": "Water temperature (main channel)", "label": "degrees Celsius"},
-    "secchi": {"shortDescription": "Visibility to depth (main channel)", "label": "milimeters"},
-    "water_notes": {"shortDescription": "Information related to water data"},
-    "principal": {"shortDescription": "Principal investigator for the project"},
-    "agency": {"shortDescription": "Agency affiliation of the principal investigator and project"},
-    "gear_type": {"shortDescription": "Gear used in sampling: pulsed DC electrofisher"},
-    "last_modified": {"shortDescription": "Date of codebook and .csv creation", "label": "YYYY-MM-DD HH:MM:SS"},
-}
+# Labels of the site product's columns: what a column holds and, where it has one, its unit.
+SITE_LABELS = {name: {"shortDescription": text} | ({"label": unit} if unit else {}) for name, text, unit in [
+    ("site_id", "Identifies the sampled site", None),
+    ("project_code", "Project the sample belongs to", None),
+    ("year", "Calendar year of the sample", None),
+    ("river", "River sampled", None),
+    ("reach", "Reach of the river", None),
+    ("pass", "Number of the pass within the project's year", None),
+    ("startdatetime", "Start of sampling, local clock", "date and time"),
+    ("enddatetime", "End of sampling, local clock", "date and time"),
+    ("start_rmi", "Upstream end of the site, counted from the river's mouth", "river miles"),
+    ("end_rmi", "Downstream end of the site, counted from the river's mouth", "river miles"),
+    ("shoreline", "Bank that was sampled (L, R or B for both)", None),
+    ("el_sec", "Electrofishing time", "s"),
+    ("boat", "Boat used", None),
+    ("crew", "Crew on the boat", None),
+    ("site_notes", "Remarks on the site", None),
+    ("cond_amb", "Conductivity at the water's own temperature", "\u00b5S/cm"),
+    ("cond_spec", "Conductivity converted to 25 \u00b0C", "\u00b5S/cm"),
+    ("rvr_temp", "Water temperature in the main channel", "\u00b0C"),
+    ("secchi", "Secchi depth in the main channel", "mm"),
+    ("water_notes", "Remarks on the water sample", None),
+    ("principal", "Who leads the project", None),
+    ("agency", "Agency that leads the project", None),
+    ("gear_type", "Sampling gear", None),
+    ("last_modified", "When the product was written", "date and time"),
+]}

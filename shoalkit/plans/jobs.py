@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as qc
 from ..operators.aggregate import next_number
-from ..operators.integrity import LOAD_ORDER
 from ..session import ensure_checkpoint_dir
 from ..sources.dbf import read_dbf
 from ..sources.files import path_exists, read_bundle_sheet
@@ -79,8 +78,7 @@ def load(spark: SparkSession, bundle: str, store_root: str, archive_root: str |
                                                        number_meta=True)
     snap = None
     if written and archive_root:
-        snap = snapshot_store(spark, store_root, archive_root, date or _dt.date.today().strftime("%Y%m%d"),
-                              upload_id, LOAD_ORDER)
+        snap = snapshot_store(spark, store_root, archive_root, date or _dt.date.today().strftime("%Y%m%d"), upload_id)
     return violations, written, snap
 
 

@@ -4,7 +4,7 @@ The reference appends six tables one after another with no transaction, so a
 failure can leave half a batch. Here every table is validated first (keys inside the
 batch and against the store, NOT NULL, value lists, non-zero measures, foreign keys to
 the batch or the store); the store is appended only when no error-level violation
-exists, parents before children.
+exists, all tables in one commit.
 """
 
 from __future__ import annotations
@@ -14,21 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import next_number
-from ..operators.integrity import LOAD_ORDER, union_all, validate_table
+from ..operators.integrity import LOAD_ORDER, STORE_RULES, conform, split_rows, union_all, validate_table
 from ..operators.projection import drop_matching
-from ..sources.files import path_exists
+from ..session import ensure_checkpoint_dir
+from ..sources import store as store_log
 from ..sources.sinks import append_batch
 
 HELPERS = r"_flg$|_index$|^key_"
 
 
-def read_store_tables(spark: SparkSession, root: str, names=LOAD_ORDER) -> dict:
-    out = {}
-    for n in names:
-        path = f"{root.rstrip('/')}/{n}"
-        if path_exists(spark, path):  # else not created yet
-            out[n] = spark.read.parquet(path)
-    return out
+def read_store_tables(spark: SparkSession, root: str, names=LOAD_ORDER, version: int | None = None) -> dict:
+    """The store's tables as of one commit (the last one)."""
+    return store_log.read_all(spark, root, version, names)
 
 
 def next_upload_id(store_site: DataFrame | None) -> int:
@@ -79,44 +76,86 @@ def strip_batch(proofed: dict, upload_id: int) -> dict:
         out["floytag"] = drop_matching(proofed["floytag"], HELPERS + r"|^site", "species")
     if "water_qual" in proofed:
         out["water_qual"] = proofed["water_qual"].drop("key_a")
+    if "vial" in proofed:
+        out["vial"] = proofed["vial"]
+    return out
+
+
+def proof_batch(batch: dict) -> tuple[dict, dict]:
+    """(rows that can be loaded, rejected rows) by table, parents before children."""
+    clean, rejected = {}, {}
+    for name in LOAD_ORDER:
+        if batch.get(name) is not None:
+            clean[name], rejected[name] = split_rows(batch[name], name, clean)
+    return clean, rejected
+
+
+def _held_against(spark: SparkSession, root: str, version: int, table: str, df: DataFrame) -> dict:
+    """The store's rows that the table's key rules need: files that may hold its keys or its parents'."""
+    rule, out = STORE_RULES[table], {}
+    asked = [(table, rule["pk"], rule["pk"])] if rule.get("pk") else []
+    for cols, ptable, pcols in rule.get("fk", []):
+        asked.append((ptable, cols, pcols))
+    for name, cols, scols in asked:
+        if not all(c in df.columns for c in cols):
+            continue
+        if scols == STORE_RULES[name].get("pk") and not (name == table and rule.get("unique")):
+            keys = df.select(*cols).where(" and ".join(f"{c} is not null" for c in cols))
+            found = store_log.with_keys(spark, root, name, keys, version)
+        else:  # rules over other columns read the whole table (meta: a row a project and year)
+            found = store_log.read(spark, root, name, version)
+        if found is not None:
+            out[name] = found
     return out
 
 
-def validate_batch(spark: SparkSession, batch: dict, store: dict) -> DataFrame:
-    checks = [validate_table(spark, name, df, store=store, parents=batch)
+def validate_batch(spark: SparkSession, batch: dict, root: str | None = None, version: int = 0) -> DataFrame:
+    """Violations of the whole batch, held against itself and the store as of ``version``."""
+    checks = [validate_table(spark, name, df, parents=batch,
+                             store=_held_against(spark, root, version, name, df) if version else {})
               for name, df in batch.items() if df is not None]
     return union_all(checks)
 
 
 def load_batch(spark: SparkSession, proofed: dict, root: str, write: bool = True,
-               conform_tables: bool = False, number_meta: bool = False):
-    """Validate the whole batch, then append it in foreign-key order.
+               conform_tables: bool = False, number_meta: bool = False, attempts: int = 10):
+    """Validate the whole batch, then append it in one commit.
 
     ``number_meta`` gives new meta rows ids after the stored ones; ``conform_tables``
-    casts every table to the store schema (columns in order, others dropped). Returns
-    ``(violations, written_tables, upload_id)``. Nothing is written when any violation
-    has severity "error".
+    casts every table to the store schema (columns in order, others dropped; an absent
+    column is NULL), without it an absent NOT NULL column refuses the batch. Returns
+    ``(violations, written_tables, upload_id)``. Nothing is written when any violation has
+    severity "error". When another load commits first, the batch gets its ids and is
+    validated anew against what the store is then.
     """
-    from ..operators.integrity import conform
-    store = read_store_tables(spark, root)
-    upload_id = next_upload_id(store.get("site"))
+    for _ in range(attempts):
+        try:
+            return _load_once(spark, proofed, root, write, conform_tables, number_meta)
+        except store_log.Conflict:
+            continue
+    raise store_log.Conflict(f"{attempts} loads in a row were overtaken")
+
+
+def _load_once(spark: SparkSession, proofed: dict, root: str, write: bool, conform_tables: bool, number_meta: bool):
+    version = store_log.latest(spark, root)
+    held = read_store_tables(spark, root, ["site", "meta"], version) if version else {}
+    upload_id = next_upload_id(held.get("site"))
     proofed = dict(proofed)
     if number_meta and "meta" in proofed:
-        proofed["meta"] = assign_meta_ids(proofed["meta"], store.get("meta"))
+        proofed["meta"] = assign_meta_ids(proofed["meta"], held.get("meta"))
     stripped = strip_batch(proofed, upload_id)
     if conform_tables:
         stripped = {t: conform(df, t) for t, df in stripped.items()}
     # each batch table feeds about ten checks and then the append: compute it once
     batch = {k: v.persist(StorageLevel.MEMORY_AND_DISK) for k, v in stripped.items()}
-    # the report is both the load decision and the return value: seal it (checkpoint)
-    # so that releasing the batch tables below does not send it back to recompute
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    violations = validate_batch(spark, batch, store).checkpoint(eager=True)
-    blocked = violations.filter(F.col("severity") == "error").limit(1).count() > 0
-    written = []
-    if write and not blocked:
-        written = append_batch(batch, root)
-    for df in batch.values():
-        df.unpersist()
-    return violations, written, upload_id
+    try:
+        # the report is both the load decision and the return value: seal it (checkpoint)
+        # so that releasing the batch tables below does not send it back to recompute
+        ensure_checkpoint_dir(spark)
+        violations = validate_batch(spark, batch, root, version).checkpoint(eager=True)
+        blocked = not violations.filter(F.col("severity") == "error").isEmpty()
+        written = append_batch(batch, root, expect=version) if write and not blocked else []
+        return violations, written, upload_id
+    finally:
+        for df in batch.values():
+            df.unpersist()

@@ -1,8 +1,8 @@
 """Data products: meta, site, fish, floy, water, tag list and map points.
 
 Lazy compositions of scans, filters, joins and aggregates; nothing is collected.
-The small lookups (rivers, reaches, species, stations, meta for the chosen years) are
-broadcast behind a row-count check; store tables join by key.
+Lookups (rivers, reaches, species, stations, meta for the chosen years) and store tables
+join by key; AQE broadcasts what its measured bytes allow.
 """
 
 from __future__ import annotations
@@ -49,11 +49,11 @@ def ripe(rep_cond: str = "rep_cond"):
 
 def fish_product(fish: DataFrame, site_p: DataFrame, pit: DataFrame, species: DataFrame,
                  with_site: bool = False, first: str = "fish_id", last: str = "rmi",
-                 tail=None, tail_from: str = "tubercles") -> DataFrame:
+                 tail=None, tail_from: str = "tubercles", tail_to: str = "fish_notes") -> DataFrame:
     """Fish of the selected sites with tags, species names and ``ripe``.
 
     Columns: fish ``first..last``, [reach, pass,] species code and names, length,
-    weight, sex, ripe, then the fish columns from ``tail_from`` on (or ``tail``) and the
+    weight, sex, ripe, then the fish columns ``tail_from..tail_to`` (or ``tail``) and the
     tag columns. ``with_site`` adds the site's reach and pass through a left join
     instead of the semi-join (the checks script's variant).
     """
@@ -69,7 +69,7 @@ def fish_product(fish: DataFrame, site_p: DataFrame, pit: DataFrame, species: Da
     cols = fish.columns
     head = cols[cols.index(first):cols.index(last) + 1]
     if tail is None:
-        tail = cols[cols.index(tail_from):] if tail_from in cols else []
+        tail = cols[cols.index(tail_from):cols.index(tail_to) + 1]
     shown = {"species", "tot_length", "weight", "sex", *head}
     tail = [c for c in tail if c not in shown]
     site_cols = ["rch_code", "pass"] if with_site else []

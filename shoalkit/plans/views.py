@@ -1,8 +1,8 @@
 """Reporting views: the site, rare-fish and non-tagged-fish datasheets.
 
 Each is a lazy DataFrame (register it with ``createOrReplaceTempView`` to query it by
-name). The dimension-like parents (meta: one row per year) are broadcast after a row
-check; site and tag tables are joined by key and left to Catalyst/AQE.
+name). Tables are joined by key and left to Catalyst/AQE; every column of the datasheet
+comes out, so a table that lacks one fails.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ def _biologist():
     return F.concat(F.col("principal_lname"), F.lit(", "), F.col("principal_fname"))
 
 
-def _opt(df: DataFrame, name: str, alias: str | None = None):
-    return [F.col(name).alias(alias or name)] if name in df.columns else []
-
-
 def view_site(site: DataFrame, meta: DataFrame, water: DataFrame) -> DataFrame:
     """site LEFT JOIN meta ON (project_code, year) LEFT JOIN water_qual ON site_id."""
     m = meta.select("project_code", "year", "agency", "principal_lname", "principal_fname")
@@ -33,8 +29,8 @@ def view_site(site: DataFrame, meta: DataFrame, water: DataFrame) -> DataFrame:
         F.col("project_code").alias("PROGRAM"), F.col("river").alias("RIVER"), F.col("reach").alias("REACH"),
         F.col("site_id").alias("SAMPLE NUMBER"), F.col("pass").alias("PASS"), F.lit("EL").alias("GEAR"),
         F.col("start_rmi").alias("STARTRMI"), F.col("end_rmi").alias("ENDRMI"),
-        F.col("startdatetime").alias("STARTDATETIME"), *_opt(j, "enddatetime", "ENDDATETIME"),
-        *_opt(j, "shoreline", "SHORELINE"), F.col("el_sec").alias("EL SEC"), *_opt(j, "boat", "BOAT"),
+        F.col("startdatetime").alias("STARTDATETIME"), F.col("enddatetime").alias("ENDDATETIME"),
+        F.col("shoreline").alias("SHORELINE"), F.col("el_sec").alias("EL SEC"), F.col("boat").alias("BOAT"),
         F.col("cond_amb").alias("CONDUCTIVITY"), F.col("crew").alias("CREW"),
         F.col("rvr_temp").alias("RIVER TEMP"), F.col("secchi").alias("TURBIDITY"))
 
@@ -60,10 +56,10 @@ def view_rare(fish: DataFrame, site: DataFrame, meta: DataFrame, pit: DataFrame)
     j = _fish_site_meta(fish, site, meta).join(p, "fish_id", "left")
     j = j.filter(F.col("species").isin(RARE_SPECIES) | F.col("pit_num").isNotNull())
     return j.select(F.col("pit_type"), F.col("pit_num"), *_fish_cols(j),
-                    *_opt(j, "tubercles", "TUBERCLES"), *_opt(j, "ray_ct", "RAYS"),
+                    F.col("tubercles").alias("TUBERCLES"), F.col("ray_ct").alias("RAYS"),
                     F.col("pit_recap").alias("RECAPTURE"), F.col("disp").alias("DISP"),
-                    F.lit("EL").alias("GEAR"), *_opt(j, "epsg"), *_opt(j, "loc_x", "UTM X"),
-                    *_opt(j, "loc_y", "UTM Y"))
+                    F.lit("EL").alias("GEAR"), "epsg", F.col("loc_x").alias("UTM X"),
+                    F.col("loc_y").alias("UTM Y"))
 
 
 def view_ntf(fish: DataFrame, site: DataFrame, meta: DataFrame, floy: DataFrame, pit: DataFrame) -> DataFrame:
@@ -72,13 +68,13 @@ def view_ntf(fish: DataFrame, site: DataFrame, meta: DataFrame, floy: DataFrame,
     Written as the view is (left joins + filter), not as an anti-join: a tag row with a
     NULL number still counts as untagged. A NULL species passes neither view.
     """
-    fl = floy.select("fish_id", "floy_id", "floy_num", "floy_color", "floy_recap", *_opt(floy, "floy_ref"))
+    fl = floy.select("fish_id", "floy_id", "floy_num", "floy_color", "floy_recap", "floy_ref")
     p = pit.select("fish_id", "pit_num")
     j = _fish_site_meta(fish, site, meta).join(fl, "fish_id", "left").join(p, "fish_id", "left")
     j = j.filter(F.col("pit_num").isNull() & ~F.col("species").isin(RARE_SPECIES))
-    return j.select(*_fish_cols(j), "floy_id", "floy_num", "floy_color", "floy_recap", *_opt(j, "floy_ref"),
-                    F.col("disp").alias("DISP"), F.lit("EL").alias("GEAR"), *_opt(j, "epsg"),
-                    *_opt(j, "loc_x", "UTM X"), *_opt(j, "loc_y", "UTM Y"), "pit_num")
+    return j.select(*_fish_cols(j), "floy_id", "floy_num", "floy_color", "floy_recap", "floy_ref",
+                    F.col("disp").alias("DISP"), F.lit("EL").alias("GEAR"), "epsg",
+                    F.col("loc_x").alias("UTM X"), F.col("loc_y").alias("UTM Y"), "pit_num")
 
 
 def register_views(site: DataFrame, meta: DataFrame, water: DataFrame, fish: DataFrame,

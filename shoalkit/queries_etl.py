@@ -170,7 +170,8 @@ register("prj_column_range", W("site") + "SELECT site_id, key_a, project_code, y
     lambda spark, d: T(spark, d).site.select(*prj.column_range(T(spark, d).site, "site_id", "reach")))
 
 register("prj_move_first", W("fish") + """
-SELECT species, rmi, fish_id, site_id, key_a, datetime, tot_length, weight, sex, rep_cond, disp, ilon, ilat FROM fish""")(
+SELECT species, rmi, fish_id, site_id, key_a, datetime, tot_length, weight, sex, rep_cond, tubercles, ray_ct, disp, loc_x, loc_y,
+  epsg, fish_notes, ilon, ilat FROM fish""")(
     lambda spark, d: prj.move_first(T(spark, d).fish, "species", "rmi"))
 
 register("prj_drop_matching", W("site") + SITE_QC_SQL + """

@@ -61,9 +61,8 @@ SELECT * FROM q WHERE rmi_length_flg = 'FLAG' OR rmi_flg = 'FLAG' OR datetime_fl
 
 # ------------------------------------------------------------ fish rules
 def _fish_inputs(t):
-    """Site keys with every 97th site removed (their fish become orphans) and the fish
-    with the reach of their site."""
-    sf = t.site.filter(F.col("key_a") % 97 != 0)
+    """Site keys, and the fish (some without site) with the reach of their site."""
+    sf = t.site
     site = sf.select(F.col("key_a").alias("s_index"), "site_id", "key_a")
     fish = (t.fish.join(sf.select("site_id", "reach"), "site_id", "left")
             .select("fish_id", "site_id", "key_a", "reach", "rmi", "species", "tot_length", "weight", "disp"))
@@ -78,14 +77,14 @@ def _q_fish(spark, d):
 _NATIVE = ", ".join(f"'{s}'" for s in qc.NATIVE)
 _COMMON = ", ".join(f"'{s}'" for s in qc.COMMON_SPECIES)
 _NOT_LARGE = "(species IS NULL OR species NOT IN ('CC', 'GC', 'NP'))"
-register("qc_fish", W("site", "fish") + f"""
-, sf AS (SELECT key_a AS s_index, site_id, key_a, reach FROM site WHERE key_a % 97 <> 0)
+FISH_QC_SQL = f"""
+, sf AS (SELECT key_a AS s_index, site_id, key_a, reach FROM site)
 , f AS (SELECT f.fish_id, f.site_id, f.key_a, sf.reach, f.rmi, f.species, f.tot_length, f.weight, f.disp
         FROM fish f LEFT JOIN sf ON f.site_id = sf.site_id)
 , j AS (SELECT p.s_index, coalesce(p.site_id, f.site_id) AS site_id, coalesce(p.key_a, f.key_a) AS key_a,
           f.fish_id, f.reach, f.rmi, f.species, f.tot_length, f.weight, f.disp
         FROM sf p FULL JOIN f ON p.site_id IS NOT DISTINCT FROM f.site_id AND p.key_a IS NOT DISTINCT FROM f.key_a)
-SELECT *,
+, qf AS (SELECT *,
   CASE WHEN s_index IS NULL THEN 'FLAG' ELSE '' END AS orphan_flg,
   CASE WHEN fish_id IS NULL THEN 'FLAG' ELSE '' END AS zero_catch_flg,
   CASE WHEN {_in_reach_sql("rmi")} THEN '' ELSE 'FLAG' END AS rmi_flg,
@@ -93,28 +92,32 @@ SELECT *,
   {_n1(_NOT_LARGE + " AND tot_length > 1000")} AS tot_length_flg,
   {_n1(_NOT_LARGE + " AND weight > 2800")} AS weight_flg,
   {_n1(f"(disp = 'DE' AND coalesce(species IN ({_NATIVE}), false)) OR (disp = 'RA' AND NOT coalesce(species IN ({_NATIVE}), false)) OR disp IS NULL")} AS disp_flg
-FROM j""")(_q_fish)
+FROM j)
+"""
+register("qc_fish", W("site", "fish") + FISH_QC_SQL + "SELECT * FROM qf")(_q_fish)
 
 
 # ------------------------------------------------------------ pit rules
 def _q_pit(spark, d):
     t = T(spark, d)
-    fish = t.fish.filter(F.col("key_a") % 89 != 0).select(F.col("key_a").alias("f_index"), "fish_id", "species")
+    fish = t.fish.select(F.col("key_a").alias("f_index"), "fish_id", "species")
     pit = t.pittag.select("pit_id", "fish_id", "site_id", "species", "pit_type", "pit_num", "pit_recap")
     return qc.pit_qc(pit, fish)
 
 
-register("qc_pit", W("fish", "pittag") + f"""
-, p AS (SELECT key_a AS f_index, fish_id, species FROM fish WHERE key_a % 89 <> 0)
-, j AS (SELECT p.f_index, coalesce(p.fish_id, t.fish_id) AS fish_id, coalesce(p.species, t.species) AS species,
+PIT_QC_SQL = f"""
+, p AS (SELECT key_a AS f_index, fish_id, species FROM fish)
+, pj AS (SELECT p.f_index, coalesce(p.fish_id, t.fish_id) AS fish_id, coalesce(p.species, t.species) AS species,
           t.pit_id, t.site_id, t.pit_type, t.pit_num, t.pit_recap
         FROM p RIGHT JOIN pittag t ON p.fish_id IS NOT DISTINCT FROM t.fish_id AND p.species IS NOT DISTINCT FROM t.species)
-SELECT *,
+, qp AS (SELECT *,
   CASE WHEN f_index IS NULL THEN 'FLAG' ELSE '' END AS orphan_flg,
   {_n1("pit_recap = 'NNF'")} AS nnf_flg,
   CASE WHEN (pit_recap IS NULL AND pit_num IS NOT NULL) OR (pit_num IS NULL AND pit_recap IS NOT NULL) THEN 'FLAG' ELSE '' END AS pit_recap_flg,
   CASE WHEN pit_type = '134' AND length(pit_num) <> 14 THEN 'FLAG' WHEN pit_type = '400' AND length(pit_num) <> 9 THEN 'FLAG' END AS invalid_pitnum_flg
-FROM j""")(_q_pit)
+FROM pj)
+"""
+register("qc_pit", W("fish", "pittag") + PIT_QC_SQL + "SELECT * FROM qp")(_q_pit)
 
 
 # ------------------------------------------------------------ floy rules
@@ -136,7 +139,7 @@ SELECT fish_id, (species IS NULL OR tot_length IS NULL OR weight IS NULL OR sex
 def _q_v1(spark, d):
     t = T(spark, d)
     site_keys, fish = _fish_inputs(t)
-    fish_keys = t.fish.filter(F.col("key_a") % 89 != 0).select(F.col("key_a").alias("f_index"), "fish_id", "species")
+    fish_keys = t.fish.select(F.col("key_a").alias("f_index"), "fish_id", "species")
     pit = t.pittag.select("pit_id", "fish_id", "site_id", "species", "pit_type", "pit_num", "pit_recap")
     parts = [qc.site_qc(site_input(t), version=1).withColumn("tbl", F.lit("site")),
              qc.fish_qc(fish, site_keys, version=1).withColumn("tbl", F.lit("fish")),
@@ -157,14 +160,14 @@ _V1_FISH_FLAGS = f"""
 
 register("qc_v1_flagged_only", W("site", "fish", "pittag") + SITE_INPUT_SQL + f"""
 , qs AS (SELECT *, {_n1("start_rmi - end_rmi > 5")} AS rmi_flg,{_SITE_COMMON}, 'site' AS tbl FROM s)
-, sf AS (SELECT key_a AS s_index, site_id, key_a, reach FROM site WHERE key_a % 97 <> 0)
+, sf AS (SELECT key_a AS s_index, site_id, key_a, reach FROM site)
 , f AS (SELECT f.fish_id, f.site_id, f.key_a, sf.reach, f.rmi, f.species, f.tot_length, f.weight, f.disp
         FROM fish f LEFT JOIN sf ON f.site_id = sf.site_id)
 , j AS (SELECT p.s_index, coalesce(p.site_id, f.site_id) AS site_id, coalesce(p.key_a, f.key_a) AS key_a,
           f.fish_id, f.reach, f.rmi, f.species, f.tot_length, f.weight, f.disp
         FROM sf p FULL JOIN f ON p.site_id IS NOT DISTINCT FROM f.site_id AND p.key_a IS NOT DISTINCT FROM f.key_a)
 , qf AS (SELECT *,{_V1_FISH_FLAGS}, 'fish' AS tbl FROM j)
-, p AS (SELECT key_a AS f_index, fish_id, species FROM fish WHERE key_a % 89 <> 0)
+, p AS (SELECT key_a AS f_index, fish_id, species FROM fish)
 , pj AS (SELECT p.f_index, coalesce(p.fish_id, t.fish_id) AS fish_id, coalesce(p.species, t.species) AS species,
           t.pit_id, t.site_id, t.pit_type, t.pit_num, t.pit_recap
         FROM p FULL JOIN pittag t ON p.fish_id IS NOT DISTINCT FROM t.fish_id AND p.species IS NOT DISTINCT FROM t.species)

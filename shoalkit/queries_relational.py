@@ -53,20 +53,20 @@ FROM dis FULL JOIN tmp ON dis.staid = tmp.staid AND dis.date = tmp.date""")(
                                   _daily_param(T(spark, d), "00010", "temp"), ["staid", "date"]))
 
 register("jn_natural_full", W("site", "fish") + """
-, a AS (SELECT site_id, key_a, reach FROM site WHERE key_a % 97 <> 0)
+, a AS (SELECT site_id, key_a, reach FROM site)
 SELECT coalesce(a.site_id, f.site_id) AS site_id, coalesce(a.key_a, f.key_a) AS key_a, a.reach, f.fish_id
 FROM a FULL JOIN (SELECT fish_id, site_id, key_a FROM fish) f
   ON a.site_id IS NOT DISTINCT FROM f.site_id AND a.key_a IS NOT DISTINCT FROM f.key_a""")(
     lambda spark, d: jn.natural_join(
-        T(spark, d).site.filter(F.col("key_a") % 97 != 0).select("site_id", "key_a", "reach"),
+        T(spark, d).site.select("site_id", "key_a", "reach"),
         T(spark, d).fish.select("fish_id", "site_id", "key_a"), "full", null_safe=True))
 
 register("jn_natural_right", W("fish", "pittag") + """
 SELECT coalesce(f.fish_id, p.fish_id) AS fish_id, coalesce(f.species, p.species) AS species, f.key_a, p.pit_id
-FROM (SELECT fish_id, species, key_a FROM fish WHERE key_a % 89 <> 0) f
+FROM (SELECT fish_id, species, key_a FROM fish) f
 RIGHT JOIN pittag p ON f.fish_id IS NOT DISTINCT FROM p.fish_id AND f.species IS NOT DISTINCT FROM p.species""")(
     lambda spark, d: jn.natural_join(
-        T(spark, d).fish.filter(F.col("key_a") % 89 != 0).select("fish_id", "species", "key_a"),
+        T(spark, d).fish.select("fish_id", "species", "key_a"),
         T(spark, d).pittag.select("pit_id", "fish_id", "species"), "right", null_safe=True))
 
 register("jn_semi", W("site", "fish") + """
@@ -246,9 +246,9 @@ SELECT fish_id, datetime, species FROM fish ORDER BY species ASC NULLS LAST, fis
     lambda spark, d: T(spark, d).fish.select("fish_id", "datetime", "species").orderBy(asc_last("species"), "fish_id"))
 
 register("set_union_by_name", W("pittag", "floytag") + """
-SELECT pit_id, fish_id, site_id, species, pit_type, pit_num, pit_recap,
+SELECT pit_id, fish_id, site_id, species, pit_type, pit_num, pit_recap, pit_notes,
   CAST(NULL AS VARCHAR) AS floy_id, CAST(NULL AS VARCHAR) AS floy_color, CAST(NULL AS VARCHAR) AS floy_num,
-  CAST(NULL AS VARCHAR) AS floy_recap FROM pittag
+  CAST(NULL AS VARCHAR) AS floy_recap, CAST(NULL AS INTEGER) AS floy_ref, CAST(NULL AS VARCHAR) AS floy_notes FROM pittag
 UNION ALL
-SELECT NULL, fish_id, site_id, species, NULL, NULL, NULL, floy_id, floy_color, floy_num, floy_recap FROM floytag""")(
+SELECT NULL, fish_id, site_id, species, NULL, NULL, NULL, NULL, floy_id, floy_color, floy_num, floy_recap, floy_ref, floy_notes FROM floytag""")(
     lambda spark, d: T(spark, d).pittag.unionByName(T(spark, d).floytag, allowMissingColumns=True))

@@ -38,18 +38,13 @@ def union_family(tables: dict, family: str) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), picked)
 
 
-def table_name(path: str) -> str:
-    """Table name from a capture file name: the text between ``+`` and ``.dbf``."""
-    m = re.search(r"\+(.*)\.dbf$", path)
-    return m.group(1) if m else path
-
-
-def read_store(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame:
-    """One store table (Parquet folder ``<root>/<table>``)."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(f"{root.rstrip('/')}/{table}")
+def read_store(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
+    """One store table as of a commit (the last one); fails where no commit names it."""
+    from .store import read
+    df = read(spark, root, table, version)
+    if df is None:
+        raise ValueError(f"{root} has no table {table}")
+    return df
 
 
 def read_warehouse(spark: SparkSession, source: str, table: str, columns=None, properties: dict | None = None,
@@ -98,11 +93,6 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
     return spark.read.options(**CSV).option("multiLine", True).option("inferSchema", infer).csv(path)
 
 
-def file_name_table(df: DataFrame, col: str = "_table") -> DataFrame:
-    """Add the capture table name of each row's source file (``+name.dbf``)."""
-    return df.withColumn(col, F.regexp_extract(F.input_file_name(), r"\+(.*)\.dbf$", 1))
-
-
 def read_bundle_sheet(spark: SparkSession, bundle: str, sheet: str) -> DataFrame:
     """A sheet of a bundle written by ``write_bundle``, with the schema stored beside it."""
     from pyspark.sql.types import StructType
@@ -110,3 +100,22 @@ def read_bundle_sheet(spark: SparkSession, bundle: str, sheet: str) -> DataFrame
     p = f"{bundle.rstrip('/')}/{sheet}"
     schema = StructType.fromJson(json.loads(spark.read.text(f"{p}._schema").first()[0]))
     return read_sheet(spark, bundle, sheet, schema)
+
+
+def read_release(spark: SparkSession, path: str, project: str, year: int, product: str) -> DataFrame:
+    """A product of the last release of a project x year, refused where a file differs from the manifest."""
+    from pyspark.sql.types import StructType
+    import json
+    from . import store
+    base = f"{path.rstrip('/')}/{project}_{year}"
+    numbers = [n for n in store.listing(spark, base) if n.endswith(".json")]
+    if not numbers:
+        raise FileNotFoundError(f"{base} has no release")
+    release = json.loads(spark.read.text(f"{base}/{numbers[-1]}", wholetext=True).first()[0])
+    entry = next(p for p in release["products"] if p["product"] == product)
+    folder = f"{base}/{release['folder']}/{product}"
+    said = {f["name"]: (f["bytes"], f["md5"]) for f in entry["files"]}
+    found = {f["name"]: (f["bytes"], f["md5"]) for f in store.checksums(spark, folder, "*.csv.gz")}
+    if said != found:
+        raise ValueError(f"{folder} is not what was released: {sorted(n for n in said.keys() | found.keys() if said.get(n) != found.get(n))}")
+    return read_sheet(spark, folder, "", StructType.fromJson(json.loads(entry["schema"])))

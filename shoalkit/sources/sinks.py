@@ -2,18 +2,21 @@
 
 All writes are distributed (one file per task, no ``coalesce(1)``) and go to shared
 storage paths given by the caller; re-running a write replaces only what it owns
-(``overwrite`` for products, dynamic partition overwrite for releases, ``append`` for
-the store after validation).
+(``overwrite`` for products). Store appends and snapshots go through the commit log of
+``store``, releases through a manifest of their own.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import CSV, path_exists
-
 from ..operators.integrity import LOAD_ORDER
+from . import store
+from .files import CSV
 
 
 def write_product(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -44,46 +47,44 @@ def write_bundle(named: dict, path: str, fmt: str = "csv") -> dict:
 
 
 def write_release(named: dict, path: str, project: str, year: int) -> dict:
-    """All products of one project x year, gzip CSV partitioned by (project_code, year).
+    """All products of one project x year as gzip CSV, published as a whole.
 
-    Only that project-year's partitions are replaced (dynamic partition overwrite).
+    Products go to a folder of their own first; the release appears with its manifest,
+    ``<path>/<project>_<year>/r<number>.json``, written last by put-if-absent: each product's
+    schema, and bytes, rows and MD5 of each file. A later release replaces an earlier one
+    for readers (``files.read_release``) and leaves other projects and years alone.
     """
-    out = {}
+    base, folder = f"{path.rstrip('/')}/{project}_{year}", uuid.uuid4().hex
+    out, products = {}, []
     for name, df in named.items():
-        d = df
+        spark, d = df.sparkSession, df
         if "project_code" not in d.columns:
             d = d.withColumn("project_code", F.lit(project))
         if "year" not in d.columns:
             d = d.withColumn("year", F.lit(year))
         d = d.filter((F.col("project_code") == project) & (F.col("year") == year))
-        p = f"{path.rstrip('/')}/{name}"
-        (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("project_code", "year").options(**CSV)
-         .option("compression", "gzip").csv(p))
-        out[name] = p
-    return out
-
-
-def append_batch(tables: dict, root: str) -> list[str]:
-    """Append the tables to the Parquet store in foreign-key order (parents first)."""
-    written = []
-    for name in LOAD_ORDER:
-        if name in tables and tables[name] is not None:
-            tables[name].write.mode("append").parquet(f"{root.rstrip('/')}/{name}")
-            written.append(name)
-    return written
-
-
-def snapshot_store(spark: SparkSession, root: str, dest: str, date: str, upload_id: int,
-                   tables=LOAD_ORDER) -> str:
-    """Full copy of the store under ``<dest>/<date>_uid-<upload_id>/<table>``."""
-    target = f"{dest.rstrip('/')}/{date}_uid-{upload_id}"
-    for name in tables:
-        src = f"{root.rstrip('/')}/{name}"
-        if not path_exists(spark, src):  # table not in this store
-            continue
-        spark.read.parquet(src).write.mode("overwrite").parquet(f"{target}/{name}")
-    return target
+        out[name] = p = f"{base}/{folder}/{name}"
+        d.write.options(**CSV).option("compression", "gzip").csv(p)
+        rows = spark.read.schema(d.schema).options(**CSV).option("multiLine", True).csv(p)
+        n = {r["f"]: r["n"] for r in rows.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        products.append({"product": name, "schema": d.schema.json(), "files": [{**f, "rows": n.get(f["name"], 0)} for f in store.checksums(spark, p, "*.csv.gz")]})
+    while True:
+        number = 1 + max((int(x[1:-5]) for x in store.listing(spark, base) if x.endswith(".json")), default=0)
+        if store.put_if_absent(spark, f"{base}/r{number:06d}.json", json.dumps({"folder": folder, "products": products})):
+            return out
+
+
+def append_batch(tables: dict, root: str, source: str | None = None, expect: int | None = None) -> list[str]:
+    """Append the tables to the store as one commit (see ``store``); the names written."""
+    names = [n for n in LOAD_ORDER if tables.get(n) is not None]
+    if names:
+        store.append(tables[names[0]].sparkSession, tables, root, source, expect)
+    return names
+
+
+def snapshot_store(spark: SparkSession, root: str, dest: str, date: str, upload_id: int) -> str:
+    """Manifest of the store as it is, ``<dest>/<date>_uid-<upload_id>.json``; shares the store's files."""
+    return store.snapshot(spark, root, dest, date, upload_id)
 
 
 # Join key of each store table for co-located (bucketed) layouts: children are bucketed

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from shoalkit.operators import integrity as ck
 from shoalkit.plans import load
 from shoalkit.session import scratch_path
+from shoalkit.sources import store
 
 
 def _meta(spark):
@@ -69,9 +70,9 @@ def test_load_is_all_or_nothing(spark):
     good = _timed(good)
     v, written, _ = load.load_batch(spark, {"meta": meta, "site": good}, root)
     assert written == ["meta", "site"]
-    assert spark.read.parquet(f"{root}/site").first().upload_id == 1
+    assert store.read(spark, root, "site").first().upload_id == 1
     # the same keys again clash with the store: nothing is written
     v2, written2, _ = load.load_batch(spark, {"meta": meta, "site": good}, root)
     assert written2 == []
     assert v2.filter(F.col("rule") == "primary_key_store").count() >= 1
-    assert spark.read.parquet(f"{root}/site").count() == 1
+    assert store.read(spark, root, "site").count() == 1

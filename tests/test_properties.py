@@ -4,6 +4,7 @@ UTM vs an independent series, streaming and release idempotency."""
 import math
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -80,6 +81,7 @@ def test_utm_matches_independent_series(spark):
 
 
 def test_stream_load_is_incremental_and_idempotent(spark):
+    from shoalkit.sources import store
     from shoalkit.streaming.batch_stream import load_stream
     schema = "site_id string, project_code string, year int"
     landing = scratch_path(spark, "t-landing").replace("file:", "")
@@ -89,18 +91,20 @@ def test_stream_load_is_incremental_and_idempotent(spark):
     spark.createDataFrame([("a", "p", 2020), ("b", "p", 2020)], schema).write.parquet(landing + "/d1")
     load_stream(spark, landing + "/*", "site", schema, root, ckpt, rules=rules)
     load_stream(spark, landing + "/*", "site", schema, root, ckpt, rules=rules)  # nothing new
-    assert spark.read.parquet(root + "/site").count() == 2
+    assert store.read(spark, root, "site").count() == 2
     spark.createDataFrame([("c", "p", 2020)], schema).write.parquet(landing + "/d2")
     load_stream(spark, landing + "/*", "site", schema, root, ckpt, rules=rules)
-    assert spark.read.parquet(root + "/site").count() == 3
+    assert store.read(spark, root, "site").count() == 3
     # a delivery repeating a stored key is refused and reported
     spark.createDataFrame([("a", "p", 2020)], schema).write.parquet(landing + "/d3")
     load_stream(spark, landing + "/*", "site", schema, root, ckpt, rules=rules)
-    assert spark.read.parquet(root + "/site").count() == 3
-    assert spark.read.parquet(root + "/_violations/site").filter("rule = 'primary_key_store'").count() == 1
+    assert store.read(spark, root, "site").count() == 3
+    assert spark.read.parquet(root + "/violations/site").filter("rule = 'primary_key_store'").count() == 1
 
 
 def test_release_replaces_only_its_project_year(spark):
+    from pathlib import Path
+    from shoalkit.sources.files import read_release
     from shoalkit.sources.sinks import write_release
     path = scratch_path(spark, "t-release")
     a = spark.createDataFrame([("s1", "p", 2020), ("s2", "q", 2021)], "site_id string, project_code string, year int")
@@ -108,8 +112,17 @@ def test_release_replaces_only_its_project_year(spark):
     write_release({"site": a}, path, "q", 2021)
     b = spark.createDataFrame([("s9", "p", 2020)], "site_id string, project_code string, year int")
     write_release({"site": b}, path, "p", 2020)
-    got = sorted((r.site_id, r.project_code, r.year) for r in spark.read.option("header", True).csv(path + "/site").collect())
+    got = sorted(tuple(r) for p, y in (("p", 2020), ("q", 2021)) for r in read_release(spark, path, p, y, "site").collect())
     assert got == [("s2", "q", 2021), ("s9", "p", 2020)]
+    # a release with a changed, lost or added file is refused
+    file = Path(read_release(spark, path, "p", 2020, "site").inputFiles()[0].replace("file://", ""))
+    file.write_bytes(file.read_bytes()[:-1])
+    (file.parent / f".{file.name}.crc").unlink()
+    with pytest.raises(ValueError, match="not what was released"):
+        read_release(spark, path, "p", 2020, "site")
+    assert read_release(spark, path, "q", 2021, "site").count() == 1
+    with pytest.raises(FileNotFoundError):
+        read_release(spark, path, "p", 1999, "site")
 
 
 def test_hot_site_results_stay_whole(spark):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from shoalkit.fixtures import tables
 from shoalkit.plans import jobs
+from shoalkit.sources import store as log
 from shoalkit.sources.dbf import write_dbf
 from shoalkit.sources.files import read_bundle_sheet
 from shoalkit.sources.sinks import write_bundle
@@ -64,18 +65,19 @@ def test_extract_proof_load_reload(spark, tmp_path):
                                  date="20201231")
     assert v.filter("severity = 'error'").count() == 0, v.filter("severity = 'error'").collect()
     assert written == ["meta", "site", "water_qual", "fish", "pittag", "floytag"]
-    site = spark.read.parquet(f"{store}/site")
+    site = log.read(spark, store, "site")
     assert site.count() == n_sites and site.select("upload_id").distinct().collect()[0][0] == 1
-    assert spark.read.parquet(f"{store}/meta").filter(F.col("meta_id").isNull()).count() == 0
-    assert spark.read.parquet(f"{snap}/fish").count() == spark.read.parquet(f"{store}/fish").count()
+    assert log.read(spark, store, "meta").filter(F.col("meta_id").isNull()).count() == 0
+    assert log.read_snapshot(spark, snap, "fish").count() == log.read(spark, store, "fish").count()
+    assert log.damaged(spark, snap).count() == 0
     # the same batch again clashes with the store and writes nothing
     v2, written2, _ = jobs.load(spark, final_bundle, store)
     assert written2 == []
     assert v2.filter("rule = 'primary_key_store'").count() > 0
-    assert spark.read.parquet(f"{store}/site").count() == n_sites
+    assert log.read(spark, store, "site").count() == n_sites
 
     # products of the loaded year go out as a release
-    years = [r.year for r in spark.read.parquet(f"{store}/meta").select("year").collect()]
+    years = [r.year for r in log.read(spark, store, "meta").select("year").collect()]
     rel = scratch_path(spark, "wf-release")
     river = spark.createDataFrame([("GR", "Green"), ("CO", "Colorado"), ("SJ", "San Juan")], "rvr_code string, rvr_name string")
     spp = t.tbl_spp.select("spp_code", "com_name", "sci_name")
@@ -104,7 +106,7 @@ def test_report_jobs(spark):
     assert upd["cpue"].count() > 0 and upd["map_points"].count() > 0
     book = jobs.codebook(spark, t.site, SITE_LABELS)
     assert book["profile"].count() == len(t.site.columns)
-    assert {r.column: r.description for r in book["labels"].collect()}["el_sec"] == "Sampling effort"
+    assert {r.column: r.description for r in book["labels"].collect()}["el_sec"] == "Electrofishing time"
     bounds = t.reach_bounds.join(t.tbl_reach.select("rch_code", "rvr_code"), "rch_code")
     out = jobs.warehouse_export(spark, wh_tables(t), 1998, "123d", bounds, t.tbl_reach,
                                 scratch_path(spark, "wh-export"))
