@@ -45,6 +45,8 @@ U = np.uint64
 #: Length of the hashed strings; bytes of a chunk of documents; hashes of a group;
 #: corpus bytes per shard (fragments overlap, up to 3.5 times the text they cover).
 KMER, CHUNK, GROUP, SHARD = 20, 3 << 20, 1 << 20, 1 << 20
+#: Windows hashed at a time (their arrays fit a core's cache).
+TILE = 1 << 16
 #: Queue entries held in memory by one sort before queues spill.
 MEMORY = 8 << 20
 #: Windows with one smallest hash that stay together; a chunk tells their number from MANY on.
@@ -55,19 +57,25 @@ _R = U(0x9E3779B97F4A7C15)
 _RINV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _totals(b: np.ndarray) -> np.ndarray:
+def _totals(b: np.ndarray, up: np.ndarray) -> np.ndarray:
     total = np.zeros(len(b) + 1, dtype=np.uint64)
     x = total[1:]
     x[:] = b
     x += U(1)
-    x *= _powers(_R, len(b))
+    x *= up[: len(b)]
     return np.cumsum(total, out=total)
 
 
 def window_hashes(b: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """63-bit hashes of all bytes of the windows at ``at``."""
-    total = _totals(b)
-    return _mix((total[at + width] - total[at]) * _powers(_RINV, len(b))[at]) >> U(1)
+    """63-bit hashes of all bytes of the windows at ``at`` (ascending), tile by tile."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    up, down = _powers(_R, TILE + width), _powers(_RINV, TILE + width)
+    cut = np.searchsorted(at, np.arange(0, len(b) + TILE, TILE))
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        own = at[cut[k]:cut[k + 1]] - k * TILE
+        total = _totals(b[k * TILE:(k + 1) * TILE + width], up)
+        out[cut[k]:cut[k + 1]] = _mix((total[own + width] - total[own]) * down[own]) >> U(1)
+    return out
 
 
 def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -78,40 +86,50 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def window_keys(b: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one key: (first window, last window, key) over documents laid end to end."""
+    """Runs of windows with one key: (first window, last window, key) over documents laid end to end.
+
+    Works through overlapping tiles that fit a core's cache; runs that a tile's edge cuts are joined.
+    """
     w, n = width - KMER + 1, len(b)
     none = np.zeros(0, dtype=np.int64)
     if n < width:
         return none, none, none.astype(np.uint64)
-    total = _totals(b)
-    h = total[KMER:] - total[:-KMER]
-    del total  # a chunk's arrays are the largest part of the worker's memory
-    h *= _powers(_RINV, n)[: n - KMER + 1]
-    m = len(h)
-    rows = np.full(m + -m % w, ~U(0), dtype=np.uint64)
-    rows[:m] = _mix(h)
-    del h
-    rows = rows.reshape(-1, w)
-    ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    np.minimum.accumulate(rows[:, ::-1], axis=1, out=rows[:, ::-1])
-    key = np.minimum(rows.ravel()[: m - w + 1], ahead[w - 1:m])
-    del rows, ahead
-    start = np.concatenate([[0], ends[:-1]])
-    inside = np.zeros(len(key) + 1, dtype=np.int32)
+    up, down = _powers(_R, TILE + width), _powers(_RINV, TILE + width)
+    start = np.append(0, ends[:-1])
     fits = (ends - start) >= width
-    np.add.at(inside, start[fits], 1)
-    np.add.at(inside, ends[fits] - width + 1, -1)
-    ok = np.cumsum(inside, out=inside)[:-1] > 0
-    del inside
-    at = np.flatnonzero(ok)
-    if not len(at):
-        return none, none, none.astype(np.uint64)
-    new = np.ones(len(at), bool)
-    doc = np.searchsorted(ends, at, side="right")
-    new[1:] = (key[at[1:]] != key[at[:-1]]) | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return at[first], at[last], key[at[first]]
+    start = start[fits]
+    mark = np.zeros(n + 1, dtype=np.int8)  # 1 where a document's windows begin, -1 after its last
+    mark[start] += 1
+    mark[ends[fits] - width + 1] -= 1
+    firsts, lasts, keys, level = [none], [none], [none.astype(np.uint64)], 0
+    for s in range(0, n - width + 1, TILE):
+        e = min(s + TILE, n - width + 1)
+        total = _totals(b[s:e + width - 1], up)
+        h = total[KMER:] - total[:-KMER]
+        h *= down[: len(h)]
+        h, span = _mix(h), 1
+        while 2 * span <= w:  # least of 2, 4, 8 ... hashes, then of w
+            h = np.minimum(h[:-span], h[span:])
+            span *= 2
+        if span < w:
+            h = np.minimum(h[: span - w], h[w - span:])
+        ok = np.cumsum(mark[s:e], dtype=np.int8) + np.int8(level)
+        level = int(ok[-1])
+        ok = ok > 0
+        new = np.ones(e - s, bool)
+        new[1:] = (h[1:] != h[:-1]) | ~ok[:-1]
+        new[start[np.searchsorted(start, s):np.searchsorted(start, e)] - s] = True
+        new &= ok
+        end = np.ones(e - s, bool)
+        end[:-1] = new[1:] | ~ok[1:]
+        end &= ok
+        first = np.flatnonzero(new)
+        firsts.append(first + s), lasts.append(np.flatnonzero(end) + s), keys.append(h[first])
+    first, last, key = np.concatenate(firsts), np.concatenate(lasts), np.concatenate(keys)
+    cut = (first[1:] % TILE == 0) & (first[1:] == last[:-1] + 1) & (key[1:] == key[:-1])
+    cut &= ~_among(first[1:], start)
+    keep = np.append(True, ~cut)[: len(first)]
+    return first[keep], last[np.append(~cut, True)[: len(first)]], key[keep]
 
 
 class Queue:
@@ -267,9 +285,10 @@ def _pack(batches):
     squeeze = zstandard.ZstdCompressor(level=3)
 
     def row(ids, raw, rest):
-        lens = [len(r) for r in raw]
-        name = hashlib.blake2b(np.array([ids, lens], dtype=np.int64).tobytes(), digest_size=8).digest()
-        return int.from_bytes(name, "little", signed=True), ids, lens, rest, squeeze.compress(b"".join(raw))
+        lens, data = [len(r) for r in raw], b"".join(raw)
+        # chunks with one name hold the same ids and bytes, so whatever is told of one holds for the other
+        name = hashlib.blake2b(np.array([ids, lens], dtype=np.int64).tobytes() + data, digest_size=8).digest()
+        return int.from_bytes(name, "little", signed=True), ids, lens, rest, squeeze.compress(data)
 
     cols = ["chunk", "ids", "lens", "rest", "data"]
     ids, raw, rest, size = [], [], [], 0
