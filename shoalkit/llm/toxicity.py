@@ -14,6 +14,7 @@ tokens and no spans; without toxic labels no token is marked and every score is
 repeated rows score alike; empty tables give no rows; extra columns are ignored.
 """
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -195,8 +196,11 @@ def lexicon(train: DataFrame) -> set[str]:
     p0, q = F.lit(t / n), F.col("t") / F.col("n")
     rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - p0))).otherwise(0.0)
     kl = F.col("n") * (q * F.log(q / p0) + rest)
-    # chance of so many toxic documents is under exp(-kl); 14 allows for a million features
-    return {r["f"] for r in c.where((F.col("t") >= 3) & (q >= 0.6) & (kl >= 14)).orderBy(kl.desc(), "f").limit(5000).select("f").collect()}
+    c = c.where(F.col("t") >= 3).withColumn("kl", kl).withColumn("q", q)
+    c = stored(c, "toxic-features")
+    # chance of so many toxic documents is under exp(-kl): of all features tried, less than one passes by chance
+    least = math.log(max(1, c.count())) + 1
+    return {r["f"] for r in c.where((F.col("q") >= 0.6) & (F.col("kl") >= least)).orderBy(F.col("kl").desc(), "f").limit(5000).select("f").collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
@@ -245,20 +249,40 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     return model
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression on what ``_peaks`` reads, by Newton steps, lightly held to small slopes."""
-    z = np.column_stack([x, np.ones(len(x))])
-    beta = np.array([0.5, 0.0, 0.0, 0.0, 0.0])
+def _curve(x: np.ndarray, y: np.ndarray, hold: float = 0.05, steps: int = 100) -> np.ndarray:
+    """Logistic regression on what ``_peaks`` reads, lightly held to small slopes.
+
+    Newton steps, each halved until the loss falls, up to a flat gradient; where the fit
+    is no better than one score for all (the label share), that one stands.
+    """
     if len(y) == 0 or y.max() == 0:
         return np.array([0.5, 0.0, 0.0, 0.0, -3.0])
-    for _ in range(50):
+    z = np.column_stack([x, np.ones(len(x))])
+    ridge = hold * np.array([1.0, 1.0, 1.0, 1.0, 0.01])
+    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    beta = np.array([0.0, 0.0, 0.0, 0.0, np.log(share / (1 - share))])
+
+    def loss(b: np.ndarray) -> float:
+        u = z @ b
+        return float((np.logaddexp(0, u) - y * u).sum() + 0.5 * (ridge * b * b).sum())
+
+    now = constant = loss(beta)
+    best = beta
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(5)
-        step = np.linalg.solve(h, z.T @ (y - p) - 0.05 * beta)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        slope = z.T @ (p - y) + ridge * beta
+        if np.abs(slope).max() < 1e-6 * len(y):
+            break
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), slope)
+        size = 1.0
+        while size > 1e-8 and loss(beta - size * step) >= now:
+            size /= 2
+        if size <= 1e-8:
             break
-    return beta
+        beta = beta - size * step
+        now = loss(beta)
+        best = beta if now < constant else best
+    return best
 
 
 def _score(x: np.ndarray, curve: np.ndarray) -> np.ndarray:
