@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     lab = bounded_sample(lab.groupBy("doc_id").agg(F.max(label).alias("y")), "doc_id", rows)
     got = docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")  # `rows` ids at most
     got = got.select(statistics_udf(F.coalesce("text", F.lit(""))).alias("x"), "y").toPandas()
-    x = np.array(got["x"].tolist(), dtype=float).reshape(len(got), -1)
+    x = np.array(got["x"].tolist(), dtype=float).reshape(len(got), len(statistics("")))
     return fit(x, got["y"].to_numpy(dtype=float))
 
 
