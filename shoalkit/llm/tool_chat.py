@@ -8,19 +8,24 @@ before the object. Calls and answers of a conversation meet in a hash join on
 (conversation, id). Messages are ordered topologically: a call comes after the calls named
 in ``after`` and after those whose id an argument quotes as ``{"$ref": id}``, an answer
 after its call; levels are found by passing the largest known level along these links until
-nothing changes. Arguments are checked against JSON schemas by tool name. Every message
-becomes one row of canonical JSON: sorted keys, no spaces, UTF-8.
+nothing changes, where a chain takes a round for each doubling of its length. Arguments are
+checked against JSON schemas by tool name. Every message becomes one row of canonical JSON:
+sorted keys, no spaces, UTF-8, whole numbers as integers.
 
 Defined results: null texts become the empty string, null roles ``unknown``; text that is
-no such JSON object is an ordinary message; a missing link leaves ``linked`` false; links in
-a circle leave ``level`` null; of repeated ids the earliest call is the one linked; calls
-without schema are valid when their arguments are an object; repeated rows stay; rows are
-never gathered by conversation, so a conversation may be of any length; empty tables give
-no rows; extra columns are ignored.
+no such JSON object is an ordinary message, and so is one with numbers that are not finite
+or nesting over 100; arguments like that are invalid; half characters stand as escapes; a
+missing link leaves ``linked`` false; links in a circle leave ``level`` null; of repeated
+ids the earliest call is the one linked; calls without schema are valid when their
+arguments are an object; repeated rows stay; rows are never gathered by conversation, so a
+conversation may be of any length; empty tables give no rows; extra columns are ignored.
 """
 
 import json
+import math
+import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +37,43 @@ PARSED = "json string, calls array<struct<id:string,name:string,valid:boolean,ne
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+#: Arrays and objects within each other; what is nested deeper is no JSON here.
+DEPTH = 100
+
+
+def _plain(text: str) -> str:
+    """Half characters (surrogates of a JSON escape that lacks its other half) as their escapes."""
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    return _plain(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False))
+
+
+def _number(text: str) -> int | float:
+    """A JSON number with point or exponent; whole ones as integers, so that 1.0, 1e0 and 1 are one."""
+    x = float(text)
+    if x in (math.inf, -math.inf):
+        raise ValueError("beyond a double")
+    return int(x) if x.is_integer() and abs(x) < 1 << 53 else x
+
+
+def _no_number(text: str):
+    raise ValueError(f"{text} is no JSON")
+
+
+def read(text: str):
+    """The JSON value of a text; ValueError where there is none, a number is not finite or the nesting is over ``DEPTH``."""
+    try:
+        value = json.loads(text, parse_float=_number, parse_constant=_no_number)
+    except RecursionError as e:
+        raise ValueError("nested too deep") from e
+    level = [value]
+    for _ in range(DEPTH):
+        level = [y for x in level if isinstance(x, dict | list) for y in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return value
+    raise ValueError("nested too deep")
 
 
 def fits(value, schema: dict) -> bool:
@@ -64,7 +104,7 @@ def _id(value) -> str | None:
     """An id as text; None for what is no string or integer."""
     if isinstance(value, int) and not isinstance(value, bool):
         return str(value)
-    return value if isinstance(value, str) else None
+    return _plain(value) if isinstance(value, str) else None
 
 
 def _refs(value) -> set[str]:
@@ -80,8 +120,8 @@ def parse(role: str | None, text: str | None, schemas: dict) -> dict:
     calls, answers, message = [], None, {"role": role, "content": text}
     if text.lstrip(" \t\r\n")[:1] == "{":
         try:
-            body = json.loads(text)
-        except (ValueError, RecursionError):
+            body = read(text)
+        except ValueError:
             body = {}
         if isinstance(body.get("tool_calls"), list):
             for c in body["tool_calls"]:
@@ -91,10 +131,10 @@ def parse(role: str | None, text: str | None, schemas: dict) -> dict:
                     args = f.get("arguments")
                     if isinstance(args, str):  # arguments are often sent as encoded JSON
                         try:
-                            args = json.loads(args)
-                        except (ValueError, RecursionError):
+                            args = read(args)
+                        except ValueError:
                             args = None
-                    name = str(f.get("name"))
+                    name = _plain(str(f.get("name")))
                     after = c.get("after") if isinstance(c.get("after"), list) else []
                     needs = sorted(({_id(x) for x in after} | _refs(args)) - {own, None})
                     calls.append({"id": own, "name": name, "valid": isinstance(args, dict) and fits(args, schemas.get(name, {})), "needs": needs})
@@ -140,29 +180,63 @@ def link(conversations: DataFrame, schemas: dict | None = None) -> DataFrame:
 
 
 def _levels(call: DataFrame) -> DataFrame:
-    """Each call with its level: 0 without known needs, else two above the highest (the answer lies between)."""
+    """Each call with its level: 0 without known needs, else two above the highest (the answer lies between).
+
+    A call with one need points at it; pointers double until they stand on a call with none
+    or several, so a chain of n calls takes log2(n) rounds. Calls with several needs get
+    their levels round by round, as soon as all they need have theirs; each round writes the
+    new ones only. What points into a circle, or waits for it, never gets a level.
+    """
     need = call.select("conv_id", "id", F.explode("needs").alias("need"))
     c = call.select(F.col("conv_id").alias("n_conv"), F.col("id").alias("n_id"))
     need = stored(need.join(c, (F.col("need") == F.col("n_id")) & F.col("conv_id").eqNullSafe(F.col("n_conv")), "left_semi"), "chat-needs")
-    waits = need.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id")).distinct()
-    same = (F.col("id") == F.col("w_id")) & F.col("conv_id").eqNullSafe(F.col("w_conv"))
-    done = call.select("conv_id", "id", "turn").join(waits, same, "left_anti").withColumn("level", F.lit(0))
-    if need.isEmpty():
-        return done
-    rest = need
-    done = stored(done, "chat-level")
+    waits = need.groupBy(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id")).agg(F.count("*").alias("n"), F.min("need").alias("to"))
+    waits = stored(waits, "chat-waits")
+    own = lambda a, b: (F.col(a) == F.col(b)) & F.col("conv_id").eqNullSafe(F.col("w_conv"))
+    free = call.select("conv_id", "id", "turn").join(waits, own("id", "w_id"), "left_anti").withColumn("level", F.lit(0))
+    if waits.isEmpty():
+        return free
+    single = waits.where("n = 1").select("w_conv", "w_id", "to")
+    most = single.groupBy("w_conv").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    # (call, call it stands on, links between them); a pointer is home where it meets no single call
+    open_, home, span = single.select(F.col("w_conv").alias("conv_id"), F.col("w_id").alias("id"), "to", F.lit(1).cast("long").alias("links")), [], 1
     while True:
-        k = done.select(F.col("conv_id").alias("d_conv"), F.col("id").alias("d_id"), F.col("level").alias("d_level"))
-        r = rest.join(k, (F.col("need") == F.col("d_id")) & F.col("conv_id").eqNullSafe(F.col("d_conv")), "left")
-        ready = r.groupBy("conv_id", "id").agg(F.max("d_level").alias("l"), F.max(F.col("d_id").isNull()).alias("open")).where("not open")
-        ready = stored(ready.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), (F.col("l") + 2).alias("level")), "chat-ready")
+        far = single.select(F.col("w_conv").alias("s_conv"), F.col("w_id").alias("s_id"))
+        open_ = open_.join(far, (F.col("to") == F.col("s_id")) & F.col("conv_id").eqNullSafe(F.col("s_conv")), "left")
+        open_ = stored(open_.select("conv_id", "id", "to", "links", F.col("s_id").isNull().alias("home")), "chat-pointers")
+        home.append(open_.where("home").drop("home"))
+        if span >= most or open_.where("not home").isEmpty():
+            break
+        jump = home[-1] if span == 1 else reduce(DataFrame.unionByName, home)
+        jump = jump.unionByName(open_.where("not home").drop("home"))
+        jump = jump.select(F.col("conv_id").alias("j_conv"), F.col("id").alias("j_id"), F.col("to").alias("j_to"), F.col("links").alias("j_links"))
+        open_ = open_.where("not home").join(jump, (F.col("to") == F.col("j_id")) & F.col("conv_id").eqNullSafe(F.col("j_conv")))
+        open_ = open_.select("conv_id", "id", F.col("j_to").alias("to"), (F.col("links") + F.col("j_links")).alias("links"))
+        span *= 2
+    home = reduce(DataFrame.unionByName, home)
+    # (call with several needs, the call it rests on, links between them)
+    rests = need.join(waits.where("n > 1").select("w_conv", "w_id"), own("id", "w_id"), "left_semi")
+    h = home.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), F.col("to").alias("h_to"), "links")
+    rests = rests.join(h, own("need", "w_id"), "left").select("conv_id", "id", F.coalesce("h_to", "need").alias("on"), F.coalesce("links", F.lit(0)).alias("links"))
+    rests = stored(rests, "chat-rests")
+    known, new, rest = [free.select("conv_id", "id", F.col("level").cast("long").alias("level"))], None, rests
+    while not rest.isEmpty():
+        new = known[-1].select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), "level")
+        # what rests on a call that got its level in the last round keeps that level
+        rest = rest.join(new, own("on", "w_id"), "left") if "best" not in rest.columns else rest.join(new, own("on", "w_id"), "left").withColumn("level", F.coalesce("level", "best"))
+        rest = stored(rest.select("conv_id", "id", "on", "links", F.col("level").alias("best")), "chat-rest")
+        ready = rest.groupBy("conv_id", "id").agg(F.max(F.col("best") + 2 * F.col("links") + 2).alias("level"), F.max(F.col("best").isNull()).alias("open"))
+        ready = stored(ready.where("not open").select("conv_id", "id", "level"), "chat-ready")
         if ready.isEmpty():
             break
-        new = call.select("conv_id", "id", "turn").join(ready, same).select("conv_id", "id", "turn", "level")
-        done = stored(done.unionByName(new), "chat-level")
-        rest = stored(rest.join(ready.drop("level"), same, "left_anti"), "chat-rest")
-    circle = rest.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id")).distinct()
-    return done.unionByName(call.select("conv_id", "id", "turn").join(circle, same, "left_semi").withColumn("level", F.lit(None).cast("int")))
+        known.append(ready)
+        gone = ready.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"))
+        rest = rest.join(gone, own("id", "w_id"), "left_anti")
+    known = stored(reduce(DataFrame.unionByName, known), "chat-levels")
+    base = known.select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), F.col("level").alias("base"))
+    chain = home.join(base, own("to", "w_id")).select("conv_id", "id", (F.col("base") + 2 * F.col("links")).alias("level"))
+    levels = known.unionByName(chain).select(F.col("conv_id").alias("w_conv"), F.col("id").alias("w_id"), "level")
+    return call.select("conv_id", "id", "turn").join(levels, own("id", "w_id"), "left").select("conv_id", "id", "turn", "level")
 
 
 #: Tools of the derived calls; the row's hash deals them.
