@@ -335,12 +335,41 @@ def _compare(percent: int):
 def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sets = stored(docs.mapInPandas(_sets(shingle), "doc_id long, n long, k1 long, k2 long"), "join-sets")
+
+    def signed(d: DataFrame) -> DataFrame:
+        # ids travel as text: beside a null one, pandas would hold them as doubles
+        got = d.select(F.col("doc_id").cast("string"), "text").mapInPandas(_sets(shingle), "doc_id string, n long, k1 long, k2 long")
+        return stored(got.withColumn("doc_id", F.col("doc_id").cast("long")), "join-sets")
+
+    sets = signed(docs)
+    known = sets.where("n > 0 and doc_id is not null")
+    several = known.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("lo"), F.max(F.struct("k1", "k2")).alias("hi")).where("lo <> hi")
+    several = stored(several.select(F.col("doc_id").alias("m_id")), "join-several")
+    if several.isEmpty():
+        comp = _components_of(docs, sets, None, shingle, percent).withColumnRenamed("id", "c_id")
+        out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("c_id"), "left")
+        return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
+    # ids with several texts: each text is a node of its own, linked to its id
+    own = docs.join(several, F.col("doc_id") == F.col("m_id"), "left")
+    own = own.select(F.when(F.col("m_id").isNotNull(), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id")).alias("doc_id"), "text", "m_id")
+    alias = stored(own.where("m_id is not null").select(F.col("doc_id").alias("a_id"), "m_id").distinct(), "join-aliases")
+    own = own.select("doc_id", "text")
+    sets = signed(own)
+    comp = _components_of(own, sets, alias.select(F.col("a_id").alias("a"), F.col("m_id").alias("b")), shingle, percent)
+    comp = stored(comp.join(alias, F.col("id") == F.col("a_id"), "left").select("id", "comp", F.coalesce("m_id", "id").alias("real")), "join-real")
+    least = comp.groupBy(F.col("comp").alias("l_comp")).agg(F.min("real").alias("component_id"))
+    comp = comp.join(least, F.col("comp") == F.col("l_comp")).select(F.col("id").alias("c_id"), "real", "component_id")
+    out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("c_id"), "left")
+    return out.select(F.coalesce("real", "doc_id").alias("doc_id"), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _components_of(docs: DataFrame, sets: DataFrame, known_links: DataFrame | None, shingle: int, percent: int) -> DataFrame:
+    """(id, comp) of the linked documents of ``docs``, whose ids have one text each; ``known_links``: more (a, b)."""
     known = sets.where("n > 0 and doc_id is not null")
     classes = stored(known.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("size")), "join-classes")
     again = known.select("doc_id", "k1", "k2", "n").join(classes.where("size > 1").select("k1", "k2", "n", "id"), ["k1", "k2", "n"]).where("doc_id <> id")
     copies = stored(again.select(F.col("id").alias("a"), F.col("doc_id").alias("b")), "join-copies")
-    # the first document stands for its class (an id with several texts for each of them)
+    # the first document stands for its class
     rep = docs.where("doc_id is not null").join(_few(copies, "b"), F.col("doc_id") == F.col("b"), "left_anti")
     member = rep.mapInPandas(_signed(shingle, percent), "doc_id long, sigs array<long>")
     member = member.select(F.explode("sigs").alias("sig"), F.col("doc_id").alias("id"))
@@ -371,9 +400,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85) ->
     left = left.join(about, F.col("id") == F.col("r_id")).drop("r_id")
     pairs = stored(left.groupBy("group").applyInPandas(_compare(percent), "x long, y long, cx long, cy long, gx long, gy long"), "join-left")
     more = stored(_verify(pairs, docs, shingle, percent), "join-links")
-    comp = components(links.unionByName(more).unionByName(copies)).withColumnRenamed("id", "c_id")
-    out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("c_id"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
+    links = links.unionByName(more).unionByName(copies)
+    return components(links if known_links is None else links.unionByName(known_links))
 
 
 def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,7 +409,17 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id (five words, 0.8)."""
+    """One document of each group of near copies stays, the one with the smallest id (five words, 0.8).
+
+    Rows that repeat an id and its text are one document; an id's different texts all stay
+    where the id does.
+    """
     c = jaccard_components(docs, shingle=5, percent=80).where("doc_id <> component_id").select(F.col("doc_id").alias("c_id")).distinct()
     ids = _few(stored(c, "near-copies"), "c_id")
-    return docs.join(ids, docs["doc_id"] == ids["c_id"], "left_anti")
+    kept = docs.join(ids, docs["doc_id"] == ids["c_id"], "left_anti")
+    again = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("r_id")), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    several = kept.join(again, F.col("doc_id") == F.col("r_id"), "left_semi")
+    one = several.groupBy("doc_id", F.xxhash64("text").alias("x"), F.md5(F.col("text").cast("binary")).alias("y")).agg(F.min(F.struct(*docs.columns)).alias("r"))
+    return kept.join(again, F.col("doc_id") == F.col("r_id"), "left_anti").unionByName(one.select("r.*"))
