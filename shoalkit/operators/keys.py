@@ -1,26 +1,27 @@
 """Global row numbers and composite keys without a single-partition window.
 
 ``row_number() over (order by ts)`` with no partition puts the whole table in one
-task. ``global_index`` instead range-partitions on the full sort key (Spark samples
-the composite key, so a timestamp shared by a third of the rows is still split by the
-tie-break), sorts inside partitions, tags each row with its partition and position,
-seals that layout with a reliable checkpoint in the shared checkpoint folder (or,
-with ``reliable=False``, a persist), counts rows per partition (one number per
-partition reaches the driver: bounded by the partition count, not by the data) and
-adds each partition's offset through a broadcast of one row per partition.
+task. ``global_index`` numbers narrow rows instead: the order columns alone (which name a
+row, as they hold an explicit tie-break) are range-partitioned -- Spark samples the
+composite key, so a timestamp shared by a third of the rows is still split by the
+tie-break --, sorted inside partitions and tagged with partition and position. That
+narrow layout is sealed with a reliable checkpoint in the shared checkpoint folder; rows
+are counted per partition (one number per partition reaches the driver: bounded by the
+partition count, not by the data), a broadcast of one row per partition turns positions
+into numbers, and the numbers join back to the rows on the order columns.
 
 Why the layout must be kept: the counts and the numbering are two jobs, and a range
-exchange planned twice samples its bounds twice. The checkpoint gives both one
-physical layout, survives executor loss without recomputation, and cuts the (often
-long) lineage out of every later plan, which keeps analysis of the downstream ETL
-plans cheap. A persist also keeps one RDD for both passes (lost blocks are recomputed
-through the same range bounds) and skips the write.
+exchange planned twice samples its bounds twice. The checkpoint gives both one physical
+layout, survives executor loss without recomputation, and holds nothing but the order
+columns; the rows themselves are neither sorted nor written, so what reads a few columns
+of an indexed table scans a few columns.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import pad_int, paste
@@ -30,46 +31,53 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def _order(c) -> Column:
-    return F.col(c).asc_nulls_last() if isinstance(c, str) else c
-
-
-def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
-                 partitions: int | None = None, reliable: bool = True,
-                 cache_input: bool = False) -> DataFrame:
-    """Gap-free 1..n (from ``start``) in ``order``; ties must be broken by ``order``.
-
-    The result does not depend on the partition count. Columns: ``df``'s plus ``name``.
-    Actions run here: the checkpoint write (or, persisted, the first pass) and the
-    per-partition row counts (one number per partition).
-    """
-    spark = df.sparkSession
-    cols = [_order(c) for c in order]
-    # the range exchange reads its input twice (bound sampling, then the shuffle write):
-    # keep the input for those two passes only
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if cache_input else df
+def _sealed(keys: DataFrame, partitions: int | None) -> DataFrame:
+    """The order columns, sorted over range partitions, with partition and position in ``_rid``."""
+    cols = [F.col(c).asc_nulls_last() for c in keys.columns]
     # without an explicit count AQE sizes the ranges from the data: it merges only
     # contiguous ranges, so partition order is still the global order
-    ranged = src.repartitionByRange(partitions, *cols) if partitions else src.repartitionByRange(*cols)
+    ranged = keys.repartitionByRange(partitions, *cols) if partitions else keys.repartitionByRange(*cols)
     ranged = ranged.sortWithinPartitions(*cols).withColumn("_rid", F.monotonically_increasing_id())
-    if reliable:
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
-        if cache_input:
-            src.unpersist()
-    else:
-        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(keys.sparkSession)
+    return ranged.checkpoint(eager=True)
+
+
+def _numbered(df: DataFrame, order: list[str], partitions: int | None) -> tuple[DataFrame, bool]:
+    """(distinct order values with the number of their first row and their rows, whether any repeat)."""
+    spark, ranged = df.sparkSession, _sealed(df.select(*order), partitions)
     pid = F.shiftright(F.col("_rid"), _POS_BITS)
-    counts = dict(ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect())
-    n_parts = max(counts) + 1 if counts else 1
+    rows = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()
+    counts = {r["_pid"]: r["_n"] for r in rows}
     offsets, acc = [], 0
-    for p in range(n_parts):
+    for p in range(max(counts, default=0) + 1):
         offsets.append(acc)
         acc += counts.get(p, 0)
     # one (partition, offset) row per partition: bounded by the partition count
     off = spark.createDataFrame(list(enumerate(offsets)), "_pid long, _off long")
-    out = ranged.join(F.broadcast(off), pid == F.col("_pid"))
-    idx = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(start)
+    at = F.col("_off") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK))
+    first = ranged.join(F.broadcast(off), pid == F.col("_pid")).groupBy(*order).agg(F.min(at).alias("_at"), F.count(F.lit(1)).alias("_n"))
+    return first, not first.filter("_n > 1").isEmpty()
+
+
+def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
+                 partitions: int | None = None) -> DataFrame:
+    """Gap-free 1..n (from ``start``) in the order of the columns ``order``, NULLs last.
+
+    The result does not depend on the partition count where ``order`` breaks all ties;
+    rows that share all order values are numbered by a hash of their other columns.
+    Columns: ``df``'s plus ``name``. Actions run here: the checkpoint of the order columns,
+    the per-partition row counts and the test for repeated order values.
+    """
+    order = list(order)
+    first, repeated = _numbered(df, order, partitions)
+    keys = first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], "_at", "_n")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)])
+    out = df.join(keys, same)
+    idx = F.col("_at") + F.lit(start)
+    if repeated:
+        rest = [c for c in df.columns if c not in order]
+        own = Window.partitionBy(*order).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+        idx = idx + F.row_number().over(own) - 1
     return out.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
 
 

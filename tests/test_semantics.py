@@ -87,14 +87,33 @@ def test_global_index_hot_timestamp_is_split(spark):
     # a third of the rows share one timestamp: the tie-break still orders and splits them
     rows = [(i, "2020-01-01 00:00:00" if i % 3 == 0 else f"2020-01-{1 + i % 28:02d} 01:00:00") for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, t string").select("k", F.to_timestamp_ntz("t").alias("t"))
-    got = keys.global_index(df, ["t", "k"], "i", partitions=8)
-    per_part = got.groupBy(F.spark_partition_id()).count().collect()
+    per_part = keys._sealed(df.select("t", "k"), 8).groupBy(F.spark_partition_id()).count().collect()
     assert max(r[1] for r in per_part) < 3000 / 3
+    got = keys.global_index(df, ["t", "k"], "i", partitions=8)
     pdf = got.toPandas().sort_values("i")
     assert list(pdf["i"]) == list(range(1, 3001))
     assert list(pdf.sort_values(["t", "k"])["k"]) == list(pdf["k"])
 
 
+def test_global_index_seals_order_columns_only(spark):
+    """Rows themselves are neither sorted nor written, and a narrow read stays narrow."""
+    from shoalkit.session import scratch_path
+    path = scratch_path(spark, "t-wide")
+    spark.range(1000).selectExpr("id AS k", "id % 7 AS t", "repeat('x', 200) AS wide").write.parquet(path)
+    got = keys.global_index(spark.read.parquet(path), ["t", "k"], "i")
+    plan = got.select("k", "i")._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD[t#" in plan and "ReadSchema: struct<k:bigint,t:bigint>" in plan
+    assert [r.k for r in got.orderBy("i").limit(3).collect()] == [0, 7, 14]
+
+
+def test_global_index_with_repeated_order_values(spark):
+    df = spark.createDataFrame([(k % 3, None if k % 4 else "a", k) for k in range(50)] + [(1, "a", 1)] * 2, "t int, s string, v int")
+    got = keys.global_index(df, ["t", "s"], "i", start=5).collect()
+    assert sorted(r.i for r in got) == list(range(5, 57))
+    order = [(r.t, r.s is None, r.s or "") for r in sorted(got, key=lambda r: r.i)]
+    assert order == sorted(order)
+
+
 def test_complete_grid_and_total(spark):
     df = spark.createDataFrame([("s1", "A", 2), ("s1", "B", 1), ("s2", "A", 4), ("s3", None, 1)],
                                "site string, sp string, n long")
