@@ -10,6 +10,10 @@ the meaning of HTML5 sections tells body from boilerplate there, and copies of t
 with other layouts (plain divs with classes, sidebars, notices, forms, comments) teach it
 to go by more than one tag.
 
+Text of formulas and objects belongs to the block around it; scripts, styles, graphics and
+choice lists are left out as wholes, where they are closed: an unclosed graphic or list
+hides nothing, an unclosed script the rest of the page, as in browsers.
+
 Defined results: null, empty and markup-only pages give an empty text; a page without any
 tag is one block; repeated rows give the same text; without pages nothing is trained and no
 row comes out; extra columns are ignored.
@@ -29,14 +33,23 @@ from .common import bounded_sample, table
 
 #: Pages the labeller is trained on at most (about; picked by a hash of the id).
 TRAIN_PAGES = 500
-PATH, WORDS, SIZES, HIDDEN, MAX_TRAIN = 128, 48, 4, 12, 80
+PATH, WORDS, SIZES, HIDDEN = 128, 48, 4, 12
+#: Blocks of a training window, and windows of a page at most, spread evenly over all of it.
+WINDOW, WINDOWS = 80, 6
+#: Steps of a fit at least, where the sample is small.
+STEPS = 100
 
 #: Element names of HTML (fixed values).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
           "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-RAW = "script|style|noscript|template|textarea|title|svg|iframe|object|select|math"
-PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+INLINE |= {"object", "math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "mover", "munder",
+           "munderover", "mtable", "mtr", "mtd", "mstyle", "mpadded", "menclose", "semantics"}
+#: Raw text up to the end tag (or the page's end), and elements left out as a whole where they are closed.
+RAW = "script|style|textarea|title|iframe"
+WHOLE = {"svg", "select", "noscript", "template", "annotation"}
+PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+LOWER = {c: c + 32 for c in range(65, 91)}  # keeps every position, unlike lower()
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[A-Za-z]+")
 #: Sections whose text is not the article's, by HTML5 element and by usual class words.
@@ -49,7 +62,8 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, float]]:
     """(path, text, share of linked characters) of each leaf block, in page order."""
     out, stack, buf = [], [], []
     linked = [0, 0]  # depth of open links, characters inside them
-    at = 0
+    at = past = 0
+    low, unclosed = "", set()
 
     def flush():
         if buf:
@@ -61,6 +75,8 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, float]]:
         linked[1] = 0
 
     for m in PIECE.finditer(html):
+        if m.start() < past:
+            continue
         if m.start() > at:
             buf.append(text := html[at:m.start()])
             linked[1] += len(text) if linked[0] else 0
@@ -68,6 +84,13 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], str, float]]:
         name = (m[3] or "").lower()
         if not name:
             continue
+        if name in WHOLE and not m[2] and name not in unclosed:
+            low = low or html.translate(LOWER)
+            if (end := low.find(f"</{name}", at)) >= 0:
+                end = low.find(">", end)
+                at = past = len(html) if end < 0 else end + 1
+                continue
+            unclosed.add(name)  # it hides nothing: what follows is read as usual
         if name in INLINE:
             if name == "br":
                 buf.append(" ")
@@ -269,16 +292,18 @@ def relaid(page, r: np.random.Generator):
 
 def train(pages: DataFrame, limit: int = TRAIN_PAGES) -> Labeller:
     """Fit a labeller on about ``limit`` pages, half of it again in other layouts."""
-    got = bounded_sample(pages.select("page_id", F.substring(F.coalesce("html", F.lit("")), 1, 100_000).alias("html")), "page_id", limit).toPandas()
+    got = bounded_sample(pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")), "page_id", limit).toPandas()
     r = np.random.default_rng(11)
     x, y = [], []
     for html in got["html"]:
         page = blocks(html)
         for p, lab in ((page, teacher(page)), relaid(page, r)) if page else ():
-            x.append(vectors(p[:MAX_TRAIN])), y.append(lab[:MAX_TRAIN])
+            v = vectors(p)  # of the whole page, as in scoring
+            for a in np.unique(np.linspace(0, max(0, len(v) - WINDOW), WINDOWS).astype(int)):
+                x.append(v[a:a + WINDOW]), y.append(lab[a:a + WINDOW])
     model = Labeller()
     if x:
-        model.fit(x, y)
+        model.fit(x, y, epochs=max(6, -(-STEPS * 48 // len(x))))
     return model
 
 
