@@ -181,3 +181,28 @@ def test_pipeline_keeps_clean_documents(spark):
     clean = lab.where("toxic = 0")
     assert kept.join(clean, "doc_id", "left_semi").count() >= 0.95 * d.join(clean, "doc_id", "left_semi").count()
     assert corpus_pipeline.run(spark, sf).count() >= 0.5 * d.count()
+
+
+# ---- pages ----
+
+@pytest.mark.parametrize("html, texts", [
+    ("<p>Choose <select><option>x<option>y</select> end</p>", ["Choose end"]),
+    ("<p>x <math><mi>a</mi><mo>+</mo><mn>1</mn></math> y</p>", ["x a+1 y"]),
+    ("<p>see <object data=x><b>this</b> text</object></p>", ["see this text"]),
+    ("<title-block><p>kept</p></title-block><p>too", ["kept", "too"]), ("<select-menu>a</select-menu><p>b</p>", ["a", "b"]),
+    ("<p>a</p><svg><path d='x'><p>b</p><p>c</p>", ["a", "b", "c"]), ("<p>a</p><SVG><text>no</text></Svg ><p>b</p>", ["a", "b"]),
+    ("<p>a<noscript>b<p>c", ["a", "b", "c"]), ("<p>a</p><script>x<p>y", ["a"]), ("<scripture>a</scripture>", ["a"]),
+    ("<svg>" * 3000 + "<p>a" * 3, ["a"] * 3), ("<p>İ<svg>x</svg>b", ["İb"]), ("<p>a<svg>b</svg", ["a"])])
+def test_no_content_is_lost(html, texts):
+    from shoalkit.llm.html_extract import blocks
+    assert [t for _, t, _ in blocks(html)] == texts
+
+
+def test_long_pages_train_on_all_parts(spark):
+    """The boilerplate after a long article is learnt from windows at its end."""
+    from shoalkit.llm import html_extract
+    body = "".join(f"<p>Paragraph {k} of a long story about rivers and boats.</p>" for k in range(300))
+    page = f"<body><nav><a href=/>Home</a></nav><article>{body}</article><footer><p>All rights reserved</p></footer></body>"
+    pages = spark.createDataFrame([(k, "u", page.replace("story", f"story{k}")) for k in range(12)], "page_id long, url string, html string")
+    got = html_extract.extract(pages, html_extract.train(pages)).first()
+    assert got.text.count("\n") == 299 and "rights" not in got.text and "Home" not in got.text
