@@ -14,9 +14,8 @@ from ..functions.nulls import r_round, strict_mean
 
 # Largest number of distinct right-hand combinations ``complete`` ships to the
 # executors as a literal list (one expression node each). Above it the values travel
-# as a broadcast table of chunks (up to MAX_BROADCAST_VALUES values in total).
+# as a table of chunks, broadcast or shuffled as AQE decides by their bytes.
 MAX_LITERAL_VALUES = 1_000
-MAX_BROADCAST_VALUES = 5_000_000
 _CHUNK = 10_000
 
 
@@ -98,8 +97,7 @@ def expand_grid(left: DataFrame, right_values: DataFrame, right_cols,
     stages), so it is counted first: up to ``bound`` values it travels as a literal
     array that each left row explodes (no shuffle, no join). Above the bound the right
     set is split into chunks of ``chunk`` values, each left row is repeated once per
-    chunk, and the pairs come from an equi-join on the chunk number (the chunk table is
-    broadcast when the value count is within ``MAX_BROADCAST_VALUES``).
+    chunk, and the pairs come from an equi-join on the chunk number.
     """
     right_cols = list(right_cols)
     types = {f.name: f.dataType for f in right_values.schema.fields if f.name in right_cols}
@@ -120,8 +118,6 @@ def expand_grid(left: DataFrame, right_values: DataFrame, right_cols,
               .withColumn("_chunk", F.pmod(F.xxhash64(*right_cols), F.lit(n_chunks)))
               .groupBy("_chunk")
               .agg(F.collect_list(F.struct(*right_cols)).alias("_vals")))
-    if n_values <= MAX_BROADCAST_VALUES:
-        chunks = F.broadcast(chunks)  # size checked above: n_values values in n_chunks rows
     reps = left.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)).cast("array<bigint>")))
     return (reps.join(chunks, "_chunk")
             .withColumn("_grid", F.explode("_vals"))

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import in_set, lenient_sum, r_round, safe_div, strict_sum
 from ..operators.aggregate import MAX_LITERAL_VALUES, _literal_rows, expand_grid
 from ..operators.joins import life_stage
+from ..session import ensure_checkpoint_dir
 
 # Fixed run timestamp stamped as last_modified (the reference uses now(); a parameter
 # keeps products reproducible).
@@ -44,7 +44,8 @@ def _site_item_counts(sites: DataFrame, items: DataFrame, item: str, out_item: s
     if values is None:
         # the seen items are read off the counts, which the grid then uses again: keep
         # them (they are far smaller than the fish) instead of aggregating the fish twice
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+        ensure_checkpoint_dir(counts.sparkSession)
+        counts = counts.checkpoint()
         values = _literal_rows(counts, [item], bound)
     per_site = (counts.groupBy("site_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct(item, "_n"))).alias("_m")))

@@ -82,11 +82,16 @@ def strip_batch(proofed: dict, upload_id: int) -> dict:
 
 
 def proof_batch(batch: dict) -> tuple[dict, dict]:
-    """(rows that can be loaded, rejected rows) by table, parents before children."""
+    """(rows that can be loaded, rejected rows) by table, parents before children.
+
+    Each clean table is sealed with a reliable checkpoint: its children are held against it.
+    """
     clean, rejected = {}, {}
     for name in LOAD_ORDER:
         if batch.get(name) is not None:
-            clean[name], rejected[name] = split_rows(batch[name], name, clean)
+            ensure_checkpoint_dir(batch[name].sparkSession)
+            good, rejected[name] = split_rows(batch[name], name, clean)
+            clean[name] = good.checkpoint()
     return clean, rejected
 
 

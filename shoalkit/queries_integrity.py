@@ -196,7 +196,6 @@ def _q_batch_loaded(spark, d):
     raw = proofed_batch(T(spark, d))
     raw["meta"] = load.assign_meta_ids(raw["meta"], None)
     clean, _ = load.proof_batch(load.strip_batch(raw, 1))
-    clean = {n: df.checkpoint() for n, df in clean.items()}
     root = scratch_path(spark, "store")
     violations, written, _ = load.load_batch(spark, clean, root)
     if written != list(clean):

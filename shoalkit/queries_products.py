@@ -8,6 +8,8 @@ from .catalog import AS_OF_SQL, T, W, YEARS, register
 from .functions.geo import EPSG_UTM12N, utm_sql, utm_xy
 from .plans import effort, products, views
 from .queries_relational import _ROLLUP_SQL, year_tables
+from .session import scratch_path
+from .sources.daily import read_daily, write_daily
 
 _Y = ", ".join(str(y) for y in YEARS)
 WATER_YEAR = 2024
@@ -114,11 +116,17 @@ register("dp_water", W("daily", "stations") + f"""
 SELECT j.*, st.sta_name, st.rvr_code, {AS_OF_SQL} AS last_modified FROM j LEFT JOIN stations st ON j.staid = st.staid""")(
     lambda spark, d: products.water_product(T(spark, d).daily, T(spark, d).stations, WATER_YEAR))
 
+def _q_daily(spark, d):
+    """Daily values landed as station text, read back, one parameter and statistic of one station."""
+    landed = (T(spark, d).daily.filter(F.col("code") != "other").groupBy("staid", "date", "code", "stat")
+              .agg(F.avg("val").alias("val"), F.max("qualcode").alias("qualcode")))
+    got = read_daily(spark, write_daily(landed, scratch_path(spark, "daily")))
+    return products.daily_values(got, "09261000", "00060", "00003", f"{WATER_YEAR - 1}-12-31", f"{WATER_YEAR}-12-31", "discharge")
+
+
 register("src_daily_values", W("daily") + f"""
 SELECT staid, date, avg(val) AS discharge FROM daily WHERE staid = '09261000' AND code = '00060' AND stat = '00003'
-  AND date BETWEEN DATE '{WATER_YEAR - 1}-12-31' AND DATE '{WATER_YEAR}-12-31' GROUP BY staid, date""")(
-    lambda spark, d: products.daily_values(T(spark, d).daily, "09261000", "00060", "00003",
-                                           f"{WATER_YEAR - 1}-12-31", f"{WATER_YEAR}-12-31", "discharge"))
+  AND date BETWEEN DATE '{WATER_YEAR - 1}-12-31' AND DATE '{WATER_YEAR}-12-31' GROUP BY staid, date""")(_q_daily)
 
 register("dp_cpue_life_stage", W("site", "fish", "stage_bounds") + f"""
 , s AS (SELECT site_id, el_sec, river AS rvr_code, reach AS rch_code, startdatetime FROM site WHERE year IN ({_Y}))

@@ -9,6 +9,8 @@ from .operators import distribution as dist
 from .operators import profile as prof
 from .plans import products
 from .queries_products import _SITE_P_SQL, _SITE_P_TABLES
+from .session import scratch_path
+from .sources import store
 
 register("hist_fixed_width", W("site") + """
 , b AS (SELECT reach, CAST(floor((start_rmi - CAST(0 AS DOUBLE)) / CAST(5 AS DOUBLE)) AS BIGINT) AS bin FROM site
@@ -73,3 +75,43 @@ def _q_labels(spark, d):
 
 
 register("prof_labels", W(*_SITE_P_TABLES) + _SITE_P_SQL + f"\nSELECT *, {AS_OF_SQL} AS last_modified FROM sp")(_q_labels)
+
+
+_STORED = ["site_id", "year", "reach", "pass", "el_sec", "start_rmi", "crew"]
+_NUMBERS = ["year", "pass", "el_sec", "start_rmi"]
+
+
+def _q_store_profile(spark, d):
+    """Profile of a stored table from the states of three loads, held against the rows: exact
+    counts and ends, and whether the estimates are within their errors."""
+    site = T(spark, d).site.select("upload_id", *_STORED)
+    root = scratch_path(spark, "store")
+    for low, high in ((1, 1), (2, 2), (3, 4)):
+        store.append(spark, {"site": site.filter(F.col("upload_id").between(low, high)).drop("upload_id")}, root, sketch=True)
+    got = store.profile(spark, root, "site")
+    said = {r["column"]: r for r in got.collect()}  # a row a column
+    tests = []
+    for c in _STORED:
+        n = F.count_distinct(c)
+        tests.append((F.abs(n - F.lit(said[c]["n_distinct"])) <= F.greatest(F.lit(1), n * 0.04)).alias(f"d_{c}"))
+        for q in (25, 50, 75) if c in _NUMBERS else ():
+            v = F.lit(float(said[c][f"q{q}"]))
+            below, upto = F.avg((F.col(c) < v).cast("int")), F.avg((F.col(c) <= v).cast("int"))
+            tests.append(((below <= q / 100 + 0.01) & (upto >= q / 100 - 0.01)).alias(f"q{q}_{c}"))
+    one = site.agg(*tests)
+    rows = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"d_{c}").alias("distinct_ok"),
+                              (F.col(f"q25_{c}") & F.col(f"q50_{c}") & F.col(f"q75_{c}") if c in _NUMBERS else F.lit(True)).alias("quantiles_ok")) for c in _STORED])
+    ok = one.select(F.explode(rows).alias("r")).select("r.*")
+    got = got.join(ok, F.col("column") == F.col("c"))
+    return got.select("column", "n", "n_missing", "min", "max", F.when(F.col("column").isin("reach", "crew"), F.col("mode")).alias("mode"), "distinct_ok", "quantiles_ok")
+
+
+def _store_profile_sql():
+    mode = lambda c: f"""(SELECT min(v) FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS k FROM site WHERE {c} IS NOT NULL GROUP BY 1
+      QUALIFY rank() OVER (ORDER BY count(*) DESC) = 1))"""
+    return W("site") + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n, count(*) - count({c}) AS n_missing, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max,
+  {mode(c) if c in ("reach", "crew") else "CAST(NULL AS VARCHAR)"} AS mode, true AS distinct_ok, true AS quantiles_ok FROM site""" for c in _STORED)
+
+
+register("prof_store", _store_profile_sql())(_q_store_profile)

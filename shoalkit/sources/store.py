@@ -31,11 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.integrity import LOAD_ORDER, STORE_RULES
+from ..operators.sketch import column_states, merge_states, read_states
 
 #: Filter bits per key and file; ranges the keys asked for are grouped into.
 BITS, RANGES = 12, 64
+#: What a batch writes for a table: its rows, key index and column states.
+BESIDE = ("data", "keys", "states")
 FILES = "name string, bytes long, rows long, md5 string, low string, high string"
-MANIFEST = f"version long, source string, tables array<struct<`table`:string,path:string,schema:string,bits:int,files:array<struct<{FILES}>>>>"
+MANIFEST = f"version long, source string, tables array<struct<`table`:string,path:string,schema:string,bits:int,sketched:boolean,files:array<struct<{FILES}>>>>"
 
 
 class Conflict(RuntimeError):
@@ -158,8 +161,8 @@ def checksums(spark: SparkSession, folder: str, pattern: str) -> list[dict]:
     return sorted((r.asDict() for r in raw.collect()), key=lambda f: f["name"])
 
 
-def stage(spark: SparkSession, df: DataFrame, root: str, table: str, token: str) -> dict:
-    """Write a table's files and key index; the manifest's entry for them."""
+def stage(spark: SparkSession, df: DataFrame, root: str, table: str, token: str, sketch: bool = False) -> dict:
+    """Write a table's files, key index and (if asked for) column states; the manifest's entry for them."""
     root, path = root.rstrip("/"), f"data/{table}/batch={token}"
     df.write.parquet(f"{root}/{path}")
     files = {f["name"]: {**f, "rows": 0, "low": None, "high": None} for f in checksums(spark, f"{root}/{path}", "*.parquet")}
@@ -173,7 +176,9 @@ def stage(spark: SparkSession, df: DataFrame, root: str, table: str, token: str)
         word, mask = _word(F.col("key"), bits)
         index = got.select("name", word.alias("word"), mask.alias("mask")).groupBy("name", "word").agg(F.bit_or("mask").alias("bits"))
         index.write.parquet(f"{root}/keys/{table}/batch={token}")
-    return {"table": table, "path": path, "schema": df.schema.json(), "bits": bits, "files": sorted(files.values(), key=lambda f: f["name"])}
+    if sketch:
+        column_states(spark.read.schema(df.schema).parquet(f"{root}/{path}")).write.parquet(f"{root}/states/{table}/batch={token}")
+    return {"table": table, "path": path, "schema": df.schema.json(), "bits": bits, "sketched": sketch, "files": sorted(files.values(), key=lambda f: f["name"])}
 
 
 def commit(spark: SparkSession, root: str, entries: list[dict], source: str | None = None, expect: int | None = None) -> int:
@@ -193,8 +198,10 @@ def commit(spark: SparkSession, root: str, entries: list[dict], source: str | No
             return last + 1
 
 
-def append(spark: SparkSession, tables: dict, root: str, source: str | None = None, expect: int | None = None) -> int:
-    """Load tables as one batch, parents before children; the commit's number."""
+def append(spark: SparkSession, tables: dict, root: str, source: str | None = None, expect: int | None = None,
+           sketch: bool = False) -> int:
+    """Load tables as one batch, parents before children; the commit's number. ``sketch``: keep
+    each table's column states beside its files (see ``profile``)."""
     if source is not None:
         for m in manifests(spark, root):
             if m["source"] == source:
@@ -202,14 +209,25 @@ def append(spark: SparkSession, tables: dict, root: str, source: str | None = No
     token = uuid.uuid4().hex
     names = [n for n in LOAD_ORDER if tables.get(n) is not None]
     try:
-        return commit(spark, root, [stage(spark, tables[n], root, n, token) for n in names], source, expect)
+        return commit(spark, root, [stage(spark, tables[n], root, n, token, sketch) for n in names], source, expect)
     except Conflict:
         for n in names:
-            _remove(spark, f"{root.rstrip('/')}/data/{n}/batch={token}")
-            _remove(spark, f"{root.rstrip('/')}/keys/{n}/batch={token}")
+            for kind in BESIDE:
+                _remove(spark, f"{root.rstrip('/')}/{kind}/{n}/batch={token}")
         raise
 
 
+def profile(spark: SparkSession, root: str, table: str, quantiles=(0.25, 0.5, 0.75), version: int | None = None) -> DataFrame | None:
+    """Column profile of a stored table from the states of its batches; only rows of batches
+    that were loaded without states are read."""
+    entries = _named(manifests(spark, root, version), table)
+    root, states = root.rstrip("/"), []
+    if with_ := [f"{root}/states/{table}/{e['path'].rsplit('/', 1)[1]}" for e in entries if e["sketched"]]:
+        states.append(spark.read.parquet(*with_))
+    states += [column_states(spark.read.schema(_schema([e])).parquet(f"{root}/{e['path']}")) for e in entries if not e["sketched"]]
+    return read_states(merge_states(reduce(DataFrame.unionByName, states)), quantiles) if states else None
+
+
 # ---- the key index ----
 
 def with_keys(spark: SparkSession, root: str, table: str, keys: DataFrame, version: int | None = None) -> DataFrame | None:
@@ -312,7 +330,7 @@ def vacuum(spark: SparkSession, root: str, snapshots: list[str] = (), keep: set[
         for batch in listing(spark, f"{root}/data/{table}"):
             path = f"data/{table}/{batch}"
             if path not in named and batch not in keep:
-                _remove(spark, f"{root}/{path}")
-                _remove(spark, f"{root}/keys/{table}/{batch}")
+                for kind in BESIDE:
+                    _remove(spark, f"{root}/{kind}/{table}/{batch}")
                 gone.append(path)
     return gone
