@@ -1,11 +1,15 @@
 """Document fingerprints from closed syncmers, DataFrame operations only.
 
 A text is read as symbols: runs of letters or digits cut every ``PIECE`` characters, and
-any other non-space character alone. Of the ``K`` symbols in a row (the k-mer), inner
+any other non-space character alone; letters of scripts written without spaces, and those
+of a run that come after its first ``RUN``, are symbols of their own, so that an insertion
+shifts the cuts of a short run at most. Of the ``K`` symbols in a row (the k-mer), inner
 substrings are ``S`` symbols long; the k-mer is an anchor when its smallest inner
 substring (by hash) is the first or the last one. That depends on the k-mer alone, so an
-edit moves no anchor outside its reach. The fingerprint lists the anchors' hashes in
-text order; likeness is shared over all distinct anchors (Jaccard).
+edit moves no anchor outside its reach. An anchor is a hash and a position (the number of
+its first symbol); the fingerprint lists the hashes in text order. ``likeness`` is shared
+over all distinct anchors (Jaccard); ``chain_likeness`` compares each anchor with its
+successor and how often they occur, so that repeats and passages in another order count; ``positions`` gives an anchor's places in a text for positional matching.
 
 Symbols instead of single characters: SQL functions take about 1 microsecond per element,
 and the corpus has several characters per symbol; the scheme itself is unchanged.
@@ -27,15 +31,17 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-PIECE, K, S = 4, 6, 2
-SYMBOL = r"[\p{L}\p{N}]{1,%d}|[^\s\p{L}\p{N}]" % PIECE
+PIECE, RUN, K, S = 4, 24, 6, 2
+#: Scripts written without spaces between words (fixed values).
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+SYMBOL = rf"[{UNSPACED}]|(?<=[\p{{L}}\p{{N}}]{{{RUN}}})[\p{{L}}\p{{N}}]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]{{1,{PIECE}}}|[^\s\p{{L}}\p{{N}}]"
 #: Characters of text an id bucket aims at.
 BUCKET_CHARS = 8 << 20
 MAX_BUCKETS = 8192
 
 
-def _anchors(symbols: Column) -> Column:
-    """Closed syncmers of an array of symbols, as 64-bit hashes in text order."""
+def _anchors(symbols: Column, places: bool = False) -> Column:
+    """Closed syncmers of an array of symbols, as 64-bit hashes (or positions) in text order."""
     inner = K - S  # index of a k-mer's last inner substring
 
     def pick(subs: Column) -> Column:
@@ -43,13 +49,15 @@ def _anchors(symbols: Column) -> Column:
             return F.least(F.get(subs, i), F.get(subs, i + inner)) <= F.least(*[F.get(subs, i + j) for j in range(1, inner)])
 
         at = F.filter(F.sequence(F.lit(0), F.size(symbols) - K), edge)
+        if places:
+            return at
         return F.transform(at, lambda i: F.xxhash64(*[F.get(subs, i + j) for j in range(0, inner + 1, S)]))
 
     hashed = F.transform(F.slice(symbols, 1, F.size(symbols) - (S - 1)),
                          lambda w, i: F.xxhash64(w, *[F.get(symbols, i + j) for j in range(1, S)]))
     subs = F.flatten(F.transform(F.array(hashed), pick))
-    whole = F.array(F.xxhash64(F.array_join(symbols, " ")))
-    return F.when(F.size(symbols) == 0, F.array().cast("array<bigint>")).when(F.size(symbols) < K, whole).otherwise(subs)
+    whole = F.array(F.lit(0)) if places else F.array(F.xxhash64(F.array_join(symbols, " ")))
+    return F.when(F.size(symbols) == 0, F.array().cast("array<int>" if places else "array<bigint>")).when(F.size(symbols) < K, whole).otherwise(subs)
 
 
 def symbols_of(text: Column) -> Column:
@@ -68,6 +76,29 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((na + nb) == 0, F.lit(1.0)).otherwise(both / (na + nb - both))
 
 
+def _chain(anchors: Column) -> Column:
+    """Each anchor with its successor (0 after the last); the first four of equal links differ."""
+    links = F.transform(anchors, lambda a, i: F.xxhash64(a, F.coalesce(F.get(anchors, i + 1), F.lit(0).cast("bigint"))))
+
+    def numbered(x: Column, i: Column, ordered: Column) -> Column:
+        before = [F.coalesce(F.get(ordered, i - j) == x, F.lit(False)).cast("int") for j in (1, 2, 3)]
+        return F.xxhash64(x, before[0] + before[1] + before[2])
+
+    return F.flatten(F.transform(F.array(F.array_sort(links)), lambda o: F.transform(o, lambda x, i: numbered(x, i, o))))
+
+
+def chain_likeness(a: Column, b: Column) -> Column:
+    """Shared links of two anchor lists, each as often as both have it (four times at most), over all links."""
+    return likeness(_chain(a), _chain(b))
+
+
+def positions(docs: DataFrame) -> DataFrame:
+    """Per row and anchor: doc_id, at (number of its first symbol), anchor."""
+    d = docs.select("doc_id", symbols_of(F.col("text")).alias("s"))
+    d = d.select("doc_id", F.flatten(F.transform(F.array("s"), lambda s: _anchors(s, True))).alias("at"), F.flatten(F.transform(F.array("s"), lambda s: _anchors(s))).alias("anchor"))
+    return d.select("doc_id", F.explode(F.arrays_zip("at", "anchor")).alias("x")).select("doc_id", F.col("x.at").alias("at"), F.col("x.anchor").alias("anchor"))
+
+
 def _bucket(col: Column, cuts: list[int], lo: int = 0) -> Column:
     """Number of sorted cuts at or below ``col``, by halving."""
     if not cuts:
@@ -105,7 +136,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 def _anchors_of(name: str) -> Column:
     # one level of transform binds the symbols, so that they are found once
-    return F.flatten(F.transform(F.array(symbols_of(F.col(name))), _anchors))
+    return F.flatten(F.transform(F.array(symbols_of(F.col(name))), lambda s: _anchors(s)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
