@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shoalkit.llm import quality, shingle_join, suffix_dedup, tool_chat, toxicity
+from shoalkit.llm import fingerprint, quality, shingle_join, suffix_dedup, tool_chat, toxicity
 from shoalkit.llm.shingle_join import shingle_sets
 
 CHAT = "conv_id long, turn long, role string, text string"
@@ -206,3 +206,81 @@ def test_long_pages_train_on_all_parts(spark):
     pages = spark.createDataFrame([(k, "u", page.replace("story", f"story{k}")) for k in range(12)], "page_id long, url string, html string")
     got = html_extract.extract(pages, html_extract.train(pages)).first()
     assert got.text.count("\n") == 299 and "rights" not in got.text and "Home" not in got.text
+
+
+# ---- fingerprints ----
+
+UNSPACED = ("CJK", "HIRAGANA", "KATAKANA", "THAI", "LAO", "KHMER", "MYANMAR")
+
+
+def symbols(text):
+    import unicodedata
+    out, run, piece = [], 0, ""
+    for c in text + "\0":
+        word = unicodedata.category(c)[0] in "LN"
+        single = word and (unicodedata.name(c, "").startswith(UNSPACED) or run >= fingerprint.RUN)
+        if piece and (not word or single or len(piece) == fingerprint.PIECE):
+            out.append(piece)
+            piece = ""
+        if single or not word and not c.isspace() and c != "\0":
+            out.append(c)
+        elif word:
+            piece += c
+        run = run + 1 if word else 0
+    return out
+
+
+def spark_hash(*parts):
+    """Spark's xxhash64 of several strings or longs."""
+    import xxhash
+    h = 42
+    for x in parts:
+        h = xxhash.xxh64(x.encode() if isinstance(x, str) else int(x).to_bytes(8, "little", signed=True), seed=h).intdigest()
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def anchors_of(text):
+    s, k, inner = symbols(text), fingerprint.K, fingerprint.S
+    if len(s) < k:
+        return [(0, spark_hash(" ".join(s)))] if s else []
+    sub = [spark_hash(*s[i:i + inner]) for i in range(len(s) - inner + 1)]
+    last = k - inner
+    at = [i for i in range(len(s) - k + 1) if min(sub[i], sub[i + last]) <= min(sub[i + 1:i + last])]
+    return [(i, spark_hash(*[sub[i + j] for j in range(0, last + 1, inner)])) for i in at]
+
+
+def test_anchors_and_likeness_recomputed(spark):
+    r = random.Random(12)
+    words = ["".join(r.choice("abcdeé1") for _ in range(r.randint(1, 9))) for _ in range(50)]
+    text = " ".join(r.choice(words) for _ in range(300))
+    han = "".join(chr(r.randint(0x4E00, 0x9000)) for _ in range(400))
+    long = "".join(r.choice("abcdefghij") for _ in range(300))
+    half = text.split()
+    texts = [text, han, long, "x" + han, "x" + long, "", "one", "a, b. c! d", " ".join(half[150:] + half[:150]), text + " " + text, "ぁあ漢字 abc漢def" * 9, " \t\n"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got: dict = {}
+    for x in fingerprint.positions(d).collect():
+        got.setdefault(x.doc_id, []).append((x.at, x.anchor))
+    want = {i: anchors_of(t) for i, t in enumerate(texts) if anchors_of(t)}
+    assert {i: sorted(v) for i, v in got.items()} == want
+    sets = {i: {h for _, h in anchors_of(t)} for i, t in enumerate(texts)}
+    jaccard = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert jaccard(1, 3) > 0.9 and jaccard(2, 4) > 0.7  # one inserted character keeps most anchors of unspaced text
+    pairs = spark.createDataFrame([(0, 0), (0, 8), (0, 9), (1, 3), (5, 11), (0, 5)], "a int, b int")
+    named = d.select("doc_id", fingerprint._anchors_of("text").alias("n"))
+    both = pairs.join(named.withColumnRenamed("n", "x"), F.col("a") == F.col("doc_id")).drop("doc_id").join(named.withColumnRenamed("n", "y"), F.col("b") == F.col("doc_id"))
+    rows = {(q.a, q.b): (q.flat, q.chain) for q in both.select("a", "b", fingerprint.likeness(F.col("x"), F.col("y")).alias("flat"), fingerprint.chain_likeness(F.col("x"), F.col("y")).alias("chain")).collect()}
+    assert rows[0, 0] == (1.0, 1.0) and rows[5, 11] == (1.0, 1.0) and rows[0, 5] == (0.0, 0.0)
+    assert rows[1, 3][0] == jaccard(1, 3)
+    assert rows[0, 9][0] > 0.9 and rows[0, 9][1] < 0.6  # a text twice
+    assert rows[0, 8][1] < rows[0, 8][0]  # passages in another order
+    for (a, b), (_, chain) in rows.items():
+        links = [{}, {}]
+        for n, i in ((0, a), (1, b)):
+            h = [x for _, x in anchors_of(texts[i])]
+            for p, q in zip(h, [*h[1:], 0]):
+                links[n][p, q] = links[n].get((p, q), 0) + 1
+        links = [{key: min(v, 4) for key, v in x.items()} for x in links]
+        shared = sum(min(v, links[1].get(key, 0)) for key, v in links[0].items())
+        total = sum(links[0].values()) + sum(links[1].values()) - shared
+        assert chain == (shared / total if total else 1.0)
