@@ -60,11 +60,12 @@ def _numbered(df: DataFrame, order: list[str], partitions: int | None) -> tuple[
 
 
 def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, ties=()) -> DataFrame:
     """Gap-free 1..n (from ``start``) in the order of the columns ``order``, NULLs last.
 
-    The result does not depend on the partition count where ``order`` breaks all ties;
-    rows that share all order values are numbered by a hash of their other columns.
+    The result does not depend on the partition count. Rows that share all order values
+    (a key that a capture repeats) are numbered by the columns ``ties``, then by a hash of
+    their other columns.
     Columns: ``df``'s plus ``name``. Actions run here: the checkpoint of the order columns,
     the per-partition row counts and the test for repeated order values.
     """
@@ -76,7 +77,7 @@ def global_index(df: DataFrame, order, name: str = "index", start: int = 1,
     idx = F.col("_at") + F.lit(start)
     if repeated:
         rest = [c for c in df.columns if c not in order]
-        own = Window.partitionBy(*order).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+        own = Window.partitionBy(*order).orderBy(*[F.col(c).asc_nulls_last() for c in ties], F.xxhash64(*rest) if rest else F.lit(0))
         idx = idx + F.row_number().over(own) - 1
     return out.select(*[F.col(c) for c in df.columns], idx.cast("long").alias(name))
 

@@ -83,7 +83,7 @@ def fish_rows(raw: DataFrame, samp_n: DataFrame, native=NATIVE) -> DataFrame:
     """Cleaned fish with site keys, datetime, index and corrected mile (no points yet)."""
     f = keyed_join(clean_fish(raw, native), samp_n, {"key_a": "key_a"}, "left", null_safe=True)
     f = f.withColumn("datetime", date_time(F.to_date("t_stamp"), F.col("time")))
-    f = global_index(f, ["datetime", "key_aa"], "f_index")
+    f = global_index(f, ["datetime", "key_aa"], "f_index", ties=["tot_length", "weight", "st_length"])
     f = _rmi_corrected(f)
     return f.select("f_index", F.col("key_aa").alias("fish_id"), "site_id", "reach", "rmi", "datetime", "species",
                     "tot_length", "weight", "sex", "rep_cond", "tubercles", "ray_ct", "disp", "fish_notes", "key_a",

@@ -51,7 +51,8 @@ FISH_ETL_SQL = SITE_ETL_SQL + f"""
 , fj AS (SELECT fr.*, k.site_id, k.reach,
     try_strptime(strftime(k.t_stamp, '%Y-%m-%d') || ' ' || fr.time, '%Y-%m-%d %H:%M:%S') AS datetime
   FROM fr LEFT JOIN km k ON fr.key_a IS NOT DISTINCT FROM k.key_a)
-, f1 AS (SELECT row_number() OVER (ORDER BY datetime ASC NULLS LAST, key_aa) AS f_index, key_aa AS fish_id, site_id, reach,
+, f1 AS (SELECT row_number() OVER (ORDER BY datetime ASC NULLS LAST, key_aa, tot_length NULLS LAST, weight NULLS LAST,
+    st_length NULLS LAST) AS f_index, key_aa AS fish_id, site_id, reach,
     CASE WHEN reach IN ('DESO', 'ECHO') THEN rmi + 120 ELSE rmi END AS rmi, datetime, species, tot_length, weight,
     sex, rep_cond, tubercles, ray_ct, disp, fish_notes, key_a, ilon, ilat FROM fj)
 , pts AS (SELECT site_id, rmi, avg(ilon) AS ilon, avg(ilat) AS ilat FROM f1 GROUP BY site_id, rmi HAVING avg(ilon) IS NOT NULL)

@@ -19,8 +19,8 @@ _SERIES = r"^(.+)_(\d{5})_(\d{5})$"
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """One row per station, day and series: staid, date, code, stat, val, qualcode, series, value.
 
-    ``val`` is NULL where the value is empty or a mark (such as ``Ice`` or ``Eqp``), which ``value``
-    keeps; a row with fewer cells than its section has columns lacks the last ones.
+    ``val`` is NULL where the value is a mark (such as ``Ice`` or ``Eqp``), which ``value`` keeps; a
+    day whose cell and mark of a series are empty or missing has no row of it.
     """
     files = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "\r", "").alias("text"))
     # a section starts where a line of column names does
@@ -34,9 +34,10 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
     marks = F.map_from_arrays("names", "cells")
     d = rows.select(at("site_no").alias("staid"), F.try_to_date(F.substring(at("datetime"), 1, 10)).alias("date"), marks.alias("m"), F.explode(series).alias("x"))
     value = F.nullif(F.trim("x.cells"), F.lit(""))
-    return d.select("staid", "date", F.regexp_extract("x.names", _SERIES, 2).alias("code"), F.regexp_extract("x.names", _SERIES, 3).alias("stat"),
+    out = d.select("staid", "date", F.regexp_extract("x.names", _SERIES, 2).alias("code"), F.regexp_extract("x.names", _SERIES, 3).alias("stat"),
                     value.try_cast("double").alias("val"), F.nullif(F.try_element_at("m", F.concat("x.names", F.lit("_cd"))), F.lit("")).alias("qualcode"),
                     F.regexp_extract("x.names", _SERIES, 1).alias("series"), value.alias("value"))
+    return out.filter("value is not null or qualcode is not null")
 
 
 def write_daily(daily: DataFrame, path: str) -> str:

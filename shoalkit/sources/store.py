@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import uuid
 from bisect import bisect_left
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -200,7 +201,7 @@ def commit(spark: SparkSession, root: str, entries: list[dict], source: str | No
 
 def append(spark: SparkSession, tables: dict, root: str, source: str | None = None, expect: int | None = None,
            sketch: bool = False) -> int:
-    """Load tables as one batch, parents before children; the commit's number. ``sketch``: keep
+    """Load tables as one batch; the commit's number. ``sketch``: keep
     each table's column states beside its files (see ``profile``)."""
     if source is not None:
         for m in manifests(spark, root):
@@ -209,7 +210,9 @@ def append(spark: SparkSession, tables: dict, root: str, source: str | None = No
     token = uuid.uuid4().hex
     names = [n for n in LOAD_ORDER if tables.get(n) is not None]
     try:
-        return commit(spark, root, [stage(spark, tables[n], root, n, token, sketch) for n in names], source, expect)
+        with ThreadPoolExecutor(max_workers=4) as pool:  # tables are staged independently of each other
+            entries = list(pool.map(lambda n: stage(spark, tables[n], root, n, token, sketch), names))
+        return commit(spark, root, entries, source, expect)
     except Conflict:
         for n in names:
             for kind in BESIDE:
