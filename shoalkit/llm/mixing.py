@@ -65,6 +65,11 @@ def _rate(lam: Column, x: Column, cap: float) -> Column:
     return F.least(F.lit(float(cap)), F.exp(F.least(lam * x, F.lit(50.0))))
 
 
+def _exact_sum(x: Column) -> Column:
+    """A sum that does not depend on the order in which partial sums meet, so that reruns agree."""
+    return F.sum(x.cast("decimal(38,9)")).cast("double")
+
+
 def balance(groups: DataFrame, goal: DataFrame, cap: float, tol: float = 1e-7, steps: int = 60) -> DataFrame:
     """(source, target, source_size, mean, lam): the dual's root for each source.
 
@@ -80,7 +85,7 @@ def balance(groups: DataFrame, goal: DataFrame, cap: float, tol: float = 1e-7, s
         r = _rate(F.col("lam"), x, cap)
         words = F.col("size") * F.col("n_docs") * r
         at = g.withColumnRenamed("n", "n_docs").join(state.where("lam is not null"), F.col("g_source").eqNullSafe(F.col("source")))
-        at = at.groupBy("source").agg(F.sum(words).alias("got"), F.sum(F.when(r < cap, words * x).otherwise(0.0)).alias("slope"))
+        at = at.groupBy("source").agg(_exact_sum(words).alias("got"), _exact_sum(F.when(r < cap, words * x).otherwise(0.0)).alias("slope"))
         s = state.join(at.withColumnRenamed("source", "a_source"), F.col("source").eqNullSafe(F.col("a_source")), "left")
         off = F.col("got") / F.col("target") - 1
         lo = F.when(off < 0, F.col("lam")).otherwise(F.col("lo"))
