@@ -47,6 +47,8 @@ U = np.uint64
 KMER, CHUNK, GROUP, SHARD = 20, 3 << 20, 1 << 20, 1 << 20
 #: Windows hashed at a time (their arrays fit a core's cache).
 TILE = 1 << 16
+#: Windows or bytes of fragments that are looked up or compared at a time.
+PIECE = 1 << 18
 #: Queue entries held in memory by one sort before queues spill.
 MEMORY = 8 << 20
 #: Windows with one smallest hash that stay together; a chunk tells their number from MANY on.
@@ -392,10 +394,29 @@ def _singles(width: int, groups: int):
     return run
 
 
+def _alike(b: np.ndarray, p: np.ndarray, q: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Whether the strings of ``lens`` bytes at ``p`` and at ``q`` are equal, some at a time."""
+    out = np.ones(len(p), bool)
+    for x in _slices(lens):
+        n = lens[x]
+        j = _spread(np.zeros(len(n), np.int64), n - 1)
+        differ = b[np.repeat(p[x], n) + j] != b[np.repeat(q[x], n) + j]
+        out[x] = ~np.logical_or.reduceat(differ, np.cumsum(n) - n)
+    return out
+
+
+def _slices(n: np.ndarray) -> list[slice]:
+    """Slices whose ``n`` come to about ``PIECE``."""
+    cut = np.unique(np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), PIECE))).tolist()
+    return [slice(p, q) for p, q in zip(cut, [*cut[1:], len(n)])]
+
+
 def _runs(row, known: tuple[np.ndarray, np.ndarray, np.ndarray], width: int, shards: int):
     """A chunk's fragments with shared keys: (ids, ends, data, runs, fragments, shard, least id).
 
-    runs: arrays of document, first window, windows, fragment's number; the others by number.
+    runs: arrays of document, first window, windows, fragment's number; fragments: arrays of place
+    and bytes, by number as the others. Fragments stay arrays: as heavy keys grow with the corpus
+    they may be as many as the chunk's windows.
     """
     ids, ends, data = _unpack(row)
     shared, heavy, windows = known
@@ -405,39 +426,30 @@ def _runs(row, known: tuple[np.ndarray, np.ndarray, np.ndarray], width: int, sha
     keep = _among(key, shared)
     first, last, key = first[keep], last[keep], key[keep]
     hot = _among(key, heavy)
-    walk, like = np.arange(len(first)), None
     if hot.any():  # one window a fragment
         at = _spread(first[hot], last[hot])
         h = window_hashes(b, at, width)
         keep = _among(h, windows)
         at, h = at[keep], h[keep]
-        n = int((~hot).sum())
         first, last, key = np.append(first[~hot], at), np.append(last[~hot], at), np.append(key[~hot], h)
-        # of equal windows the one with the smallest id stands for all
-        order = np.lexsort((ids[np.searchsorted(ends, at, side="right")], h))
-        head = np.append(True, np.diff(h[order]) != 0)[: len(h)]
-        like = np.zeros(len(h), dtype=np.int64)
-        like[order] = order[head][np.cumsum(head) - 1]
-        view, own = np.lib.stride_tricks.sliding_window_view(b, width), like == np.arange(len(h))
-        for k in range(0, len(at), 1 << 16):
-            x = slice(k, k + (1 << 16))
-            own[x] |= (view[at[x]] != view[at[like[x]]]).any(axis=1)
-        walk, like = np.append(np.arange(n), n + np.flatnonzero(own)), (n + np.flatnonzero(~own), n + like[~own])
-    doc = np.searchsorted(ends, first, side="right")
-    frags: dict[bytes, int] = {}
-    shard, least, number = [], [], []
-    for i, p, q, s in zip(ids[doc[walk]].tolist(), first[walk].tolist(), (last[walk] + width).tolist(), (key[walk] % U(shards)).tolist()):
-        k = frags.setdefault(data[p:q], len(shard))
-        if k == len(shard):
-            shard.append(s), least.append(i)
-        elif i < least[k]:
-            least[k] = i
-        number.append(k)
-    numbers = np.zeros(len(first), dtype=np.int64)
-    numbers[walk] = number
-    if like is not None:
-        numbers[like[0]] = numbers[like[1]]
-    return ids, ends, data, (doc, first, last - first + 1, numbers), list(frags), np.array(shard, dtype=np.int64), np.array(least, dtype=np.int64)
+        order = np.argsort(first, kind="stable")
+        first, last, key = first[order], last[order], key[order]
+        del at, h, order
+    doc, n = np.searchsorted(ends, first, side="right"), last - first + 1
+    # of fragments with one name, if equal, the one with the smallest id stands for all
+    name = _mix(window_hashes(b, first, width) * _R + window_hashes(b, last, width) + n.astype(np.uint64))
+    order = np.lexsort((ids[doc], name))
+    head = np.append(True, np.diff(name[order]) != 0)[: len(order)]
+    like = np.zeros(len(order), dtype=np.int64)
+    like[order] = order[head][np.cumsum(head) - 1]
+    del name, order, head
+    own = n != n[like]
+    rest = np.flatnonzero(~own & (like != np.arange(len(like))))
+    own[rest] = ~_alike(b, first[rest], first[like[rest]], n[rest] + width - 1)
+    like[own] = np.flatnonzero(own)
+    reps = np.flatnonzero(like == np.arange(len(like)))
+    runs = doc, first, n, np.searchsorted(reps, like)
+    return ids, ends, data, runs, (first[reps], n[reps] + width - 1), (key[reps] % U(shards)).astype(np.int64), ids[doc[reps]]
 
 
 def _by_shard(shard: np.ndarray):
@@ -458,10 +470,11 @@ def _fragments(width: int, shards: int):
     def run(chunks: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         known, squeeze, out = _keys_of(keys), zstandard.ZstdCompressor(level=3), []
         for row in chunks.itertuples():
-            _, _, _, _, frags, shard, least = _runs(row, known, width, shards)
-            size = np.array([len(f) for f in frags], dtype=np.int64)
+            _, _, data, _, (place, size), shard, least = _runs(row, known, width, shards)
+            b = np.frombuffer(data, np.uint8)
             for s, x in _by_shard(shard):
-                out.append((s, row.chunk, squeeze.compress(b"".join([frags[k] for k in x.tolist()])), size[x].tobytes(), least[x].tobytes()))
+                body = b[_spread(place[x], place[x] + size[x] - 1)]
+                out.append((s, row.chunk, squeeze.compress(body.tobytes()), size[x].tobytes(), least[x].tobytes()))
         return pd.DataFrame(out, columns=["shard", "chunk", "data", "lens", "docs"])
     return run
 
@@ -500,33 +513,32 @@ def _cleaned(width: int, shards: int, text: bool):
         firsts = known[known["firsts"].notna()]
         out = []
         for row in chunks.itertuples():
-            ids, ends, data, (doc, first, n, number), frags, shard, _ = _runs(row, keys, width, shards)
-            size = np.array([len(f) - width + 1 for f in frags], dtype=np.int64)
-            place, found, p = np.zeros(len(frags), dtype=np.int64), np.zeros(int(size.sum()), dtype=np.int64), 0
+            ids, ends, data, (doc, first, n, number), (_, size), shard, _ = _runs(row, keys, width, shards)
+            size = size - width + 1
+            place, found, p = np.zeros(len(size), dtype=np.int64), np.zeros(int(size.sum()), dtype=np.int64), 0
             got = dict(zip(firsts["shard"].tolist(), firsts["firsts"]))
             for s, x in _by_shard(shard):
                 m = int(size[x].sum())
                 place[x] = p + np.cumsum(size[x]) - size[x]
                 found[p:p + m] = np.frombuffer(zstandard.ZstdDecompressor().decompress(got[s], max_output_size=8 * m), np.int64)
                 p += m
-            del frags
             hit = np.zeros(len(data), bool)
-            cut = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), 1 << 18))
-            for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(n)]):
-                x = slice(lo, hi)
-                j = _spread(np.zeros(hi - lo, np.int64), n[x] - 1)
+            for x in _slices(n):
+                j = _spread(np.zeros(len(n[x]), np.int64), n[x] - 1)
                 at = np.repeat(first[x], n[x]) + j
                 hit[at[found[np.repeat(place[number[x]], n[x]) + j] < np.repeat(ids[doc[x]], n[x])]] = True
+            del doc, first, n, number, place, found
             total = np.cumsum(hit, dtype=np.int32)
             total[width:] -= total[:-width].copy()
             gone = total > 0
+            del hit, total
             b = np.frombuffer(data, np.uint8)
             start = np.append(0, ends[:-1])
             edge = gone.copy()
             edge[1:] &= ~gone[:-1]
             some = start[start < ends]
             edge[some] = gone[some]
-            removed, spans = (np.diff(np.append(0, np.append(0, np.cumsum(x))[ends])).tolist() for x in (gone, edge))
+            removed, spans = (np.diff(np.append(0, np.append(np.int32(0), np.cumsum(x, dtype=np.int32))[ends])).tolist() for x in (gone, edge))
             for k, (s, e) in enumerate(zip(start.tolist(), ends.tolist())):
                 kept = b[s:e][~gone[s:e]].tobytes() if removed[k] else data[s:e]
                 out.append((int(ids[k]), e - s, removed[k], spans[k], hashlib.sha256(kept).hexdigest(),
