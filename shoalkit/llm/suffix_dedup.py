@@ -411,12 +411,28 @@ def _slices(n: np.ndarray) -> list[slice]:
     return [slice(p, q) for p, q in zip(cut, [*cut[1:], len(n)])]
 
 
+class Fragments:
+    """Fragments by number, kept as their places in a chunk's bytes and their lengths."""
+
+    def __init__(self, data: bytes, place: np.ndarray, size: np.ndarray):
+        self.data, self.place, self.size = data, place, size
+
+    def __len__(self) -> int:
+        return len(self.place)
+
+    def __iter__(self):
+        return (self.data[p:p + n] for p, n in zip(self.place, self.size))
+
+    def joined(self, x: np.ndarray) -> bytes:
+        """Those numbered ``x``, end to end."""
+        return np.frombuffer(self.data, np.uint8)[_spread(self.place[x], self.place[x] + self.size[x] - 1)].tobytes()
+
+
 def _runs(row, known: tuple[np.ndarray, np.ndarray, np.ndarray], width: int, shards: int):
     """A chunk's fragments with shared keys: (ids, ends, data, runs, fragments, shard, least id).
 
-    runs: arrays of document, first window, windows, fragment's number; fragments: arrays of place
-    and bytes, by number as the others. Fragments stay arrays: as heavy keys grow with the corpus
-    they may be as many as the chunk's windows.
+    runs: arrays of document, first window, windows, fragment's number; the others by number.
+    Fragments stay arrays: as heavy keys grow with the corpus, they may be as many as the windows.
     """
     ids, ends, data = _unpack(row)
     shared, heavy, windows = known
@@ -449,7 +465,7 @@ def _runs(row, known: tuple[np.ndarray, np.ndarray, np.ndarray], width: int, sha
     like[own] = np.flatnonzero(own)
     reps = np.flatnonzero(like == np.arange(len(like)))
     runs = doc, first, n, np.searchsorted(reps, like)
-    return ids, ends, data, runs, (first[reps], n[reps] + width - 1), (key[reps] % U(shards)).astype(np.int64), ids[doc[reps]]
+    return ids, ends, data, runs, Fragments(data, first[reps], n[reps] + width - 1), (key[reps] % U(shards)).astype(np.int64), ids[doc[reps]]
 
 
 def _by_shard(shard: np.ndarray):
@@ -470,11 +486,9 @@ def _fragments(width: int, shards: int):
     def run(chunks: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
         known, squeeze, out = _keys_of(keys), zstandard.ZstdCompressor(level=3), []
         for row in chunks.itertuples():
-            _, _, data, _, (place, size), shard, least = _runs(row, known, width, shards)
-            b = np.frombuffer(data, np.uint8)
+            _, _, _, _, frags, shard, least = _runs(row, known, width, shards)
             for s, x in _by_shard(shard):
-                body = b[_spread(place[x], place[x] + size[x] - 1)]
-                out.append((s, row.chunk, squeeze.compress(body.tobytes()), size[x].tobytes(), least[x].tobytes()))
+                out.append((s, row.chunk, squeeze.compress(frags.joined(x)), frags.size[x].tobytes(), least[x].tobytes()))
         return pd.DataFrame(out, columns=["shard", "chunk", "data", "lens", "docs"])
     return run
 
@@ -513,8 +527,8 @@ def _cleaned(width: int, shards: int, text: bool):
         firsts = known[known["firsts"].notna()]
         out = []
         for row in chunks.itertuples():
-            ids, ends, data, (doc, first, n, number), (_, size), shard, _ = _runs(row, keys, width, shards)
-            size = size - width + 1
+            ids, ends, data, (doc, first, n, number), frags, shard, _ = _runs(row, keys, width, shards)
+            size = frags.size - width + 1
             place, found, p = np.zeros(len(size), dtype=np.int64), np.zeros(int(size.sum()), dtype=np.int64), 0
             got = dict(zip(firsts["shard"].tolist(), firsts["firsts"]))
             for s, x in _by_shard(shard):
