@@ -93,6 +93,20 @@ def _batch(spark, n=300):
     return {"meta": meta, "site": make(site, "site"), "fish": make(fish, "fish"), "pittag": make(pit, "pittag")}
 
 
+def test_large_tables_are_split_in_turns_with_the_same_rows(spark, monkeypatch):
+    batch = _batch(spark)
+    rows = lambda out: {n: sorted(map(str, df.collect())) for n, df in out.items()}
+    once, turned_away = load.proof_batch(batch)
+    monkeypatch.setattr(session, "TURN_ROWS", 20)
+    calls = []
+    real = load.split_rows
+    monkeypatch.setattr(load, "split_rows", lambda df, name, parents: calls.append(name) or real(df, name, parents))
+    clean, rejected = load.proof_batch(batch)
+    assert calls.count("fish") > 10 and calls.count("meta") == 2
+    assert rows(clean) == rows(once) and rows(rejected) == rows(turned_away)
+    assert clean["fish"].count() > 50 and rejected["fish"].count() > 50
+
+
 def test_checks_of_a_load_leave_no_shuffle_files(spark):
     batch = {name: session.sealed(df) for name, df in _batch(spark, 20000).items()}
     had = _shuffle_bytes(spark)
@@ -101,3 +115,8 @@ def test_checks_of_a_load_leave_no_shuffle_files(spark):
     assert sum(n for f, n in now.items() if f not in had) < 2000  # the question whether one is an error
     assert not written and violations.where("rule = 'foreign_key'").count() > 0
     assert all("/fish-violations" not in f or spark.read.parquet(f).columns == ck.VIOLATION_COLS for f in violations.inputFiles())
+
+
+def test_copies_are_found_without_a_copy_of_the_row(spark):
+    good, _ = ck.split_rows(_batch(spark)["fish"], "fish")
+    assert "lag(" not in good._jdf.queryExecution().optimizedPlan().toString()
